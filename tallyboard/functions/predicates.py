@@ -29,5 +29,10 @@ def above(c: Column, bound: float, floating: bool = True) -> Column:
 
 
 def all_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Equality of two column lists; a null key matches nothing."""
+    return reduce(and_, (a == b for a, b in zip(left, right, strict=True)))
+
+
+def all_null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
     """Null-safe equality of two column lists: null keys match null keys."""
     return reduce(and_, (a.eqNullSafe(b) for a, b in zip(left, right, strict=True)))

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallyboard.functions import all_equal
+from tallyboard.functions import all_equal, all_null_safe_equal
 
 # A side is broadcast only after it has been measured to be within both bounds.
 BROADCAST_ROWS = 500_000
@@ -62,20 +62,26 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataTyp
     return [t["item"] for t in top or [] if t["count"] >= (HOT_ROWS if hot_rows is None else hot_rows)]
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                   right_keys: Sequence[str], how: str) -> DataFrame:
-    """Join where null keys match null keys; the right key columns are dropped."""
+def key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+             how: str, nulls_match: bool = True) -> DataFrame:
+    """Equi-join whose right key columns are dropped. Null keys match null keys.
+
+    For keys known to hold no null, ``nulls_match=False`` plans plain equality;
+    a side that was grouped or joined on these keys before is then not shuffled
+    again.
+    """
     # Own names for the right keys keep the condition unambiguous.
     own = {k: f"__{k}" for k in right_keys}
     renamed = right.withColumnsRenamed(own)
-    cond = all_equal([_name(k) for k in left_keys], [_name(own[k]) for k in right_keys])
+    equal = all_null_safe_equal if nulls_match else all_equal
+    cond = equal([_name(k) for k in left_keys], [_name(own[k]) for k in right_keys])
     return left.join(renamed, cond, how).drop(*own.values())
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               right_keys: Sequence[str] | None = None, how: str = "left",
-              hot_rows: int | None = None) -> DataFrame:
-    """Null-safe join for a left side in which a few keys may own most rows.
+              hot_rows: int | None = None, nulls_match: bool = True) -> DataFrame:
+    """Join for a left side in which a few keys may own most rows.
 
     Rows of hot keys stay where they are and meet a broadcast of the right rows
     for just those keys; all other rows take the ordinary shuffle join. Every
@@ -87,43 +93,49 @@ def skew_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     types = [left.schema[k].dataType for k in left_keys]
     hot = hot_key_hashes(left, left_keys, types, hot_rows)
     if not hot:
-        return null_safe_join(left, right, left_keys, right_keys, how)
+        return key_join(left, right, left_keys, right_keys, how, nulls_match)
     in_left = _key_hash(left, left_keys, types).isin(hot)
     in_right = _key_hash(right, right_keys, types).isin(hot)
     hot_right = right.where(in_right)
     rows, size = measured_size(hot_right)
     if rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
-        return null_safe_join(left, right, left_keys, right_keys, how)
-    cold = null_safe_join(left.where(~in_left), right.where(~in_right), left_keys, right_keys, how)
-    return cold.unionByName(null_safe_join(left.where(in_left), F.broadcast(hot_right),
-                                           left_keys, right_keys, how))
+        return key_join(left, right, left_keys, right_keys, how, nulls_match)
+    cold = key_join(left.where(~in_left), right.where(~in_right), left_keys, right_keys, how, nulls_match)
+    return cold.unionByName(key_join(left.where(in_left), F.broadcast(hot_right),
+                                     left_keys, right_keys, how, nulls_match))
 
 
-def merge_stats(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+def merge_stats(tables: Sequence[DataFrame], keys: Sequence[str], nulls_match: bool = True) -> DataFrame:
     """Inner join of n stats tables on keys that are unique in each of them.
 
-    All joins use the same keys, so the tables are shuffled once each.
+    All joins use the same keys, so each table is shuffled once at most.
     """
-    return reduce(lambda a, b: null_safe_join(a, b, keys, keys, "inner"), tables)
+    return reduce(lambda a, b: key_join(a, b, keys, keys, "inner", nulls_match), tables)
 
 
 def with_standings(stats: DataFrame, standings: DataFrame, keys: Sequence[str] = ("Tm",)) -> DataFrame:
     """Stats left join standings: a few dozen teams per season, broadcast when measured small."""
-    return null_safe_join(stats, broadcast_if_small(standings), keys, keys, "left")
+    return key_join(stats, broadcast_if_small(standings), keys, keys, "left")
 
 
-def with_awards(stats: DataFrame, awards: DataFrame) -> DataFrame:
-    """Stats left join award votes on player and season; traded players repeat their share."""
-    awards = broadcast_if_small(awards.withColumn("__season", F.col("award_season")))
-    return null_safe_join(stats, awards, ["Player", "season"], ["Player", "__season"], "left")
+def with_awards(stats: DataFrame, awards: DataFrame, landed: bool = True, nulls_match: bool = True) -> DataFrame:
+    """Stats left join award votes on player and season; traded players repeat their share.
+
+    A landed award table is measured and broadcast when small. Votes that are
+    still to be computed would be computed twice by that; with ``landed=False``
+    the choice is left to run-time planning.
+    """
+    awards = awards.withColumn("__season", F.col("award_season"))
+    awards = broadcast_if_small(awards) if landed else awards
+    return key_join(stats, awards, ["Player", "season"], ["Player", "__season"], "left", nulls_match)
 
 
-def missing_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                 right_keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+def missing_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+                 hot_rows: int | None = None, nulls_match: bool = True) -> DataFrame:
     """Left rows whose key the right side lacks; repeated left rows stay repeated.
 
     The right side shrinks to distinct keys before it is shuffled, and hot left
     keys are joined apart.
     """
     keys = right.select(*[_name(k) for k in right_keys]).distinct()
-    return skew_join(left, keys, left_keys, right_keys, "left_anti", hot_rows)
+    return skew_join(left, keys, left_keys, right_keys, "left_anti", hot_rows, nulls_match)

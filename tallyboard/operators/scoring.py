@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import logging
 import pickle
 from collections.abc import Callable, Mapping, Sequence
@@ -99,15 +98,6 @@ def load_pipeline_scorer(path: str, features: Sequence[str]) -> Scorer:
     return pipeline_scorer(PipelineModel.load(path), features)
 
 
-_loaded: dict[str, object] = {}
-
-
-def _unpickled(digest: str, payload) -> object:
-    if digest not in _loaded:  # once per Python worker
-        _loaded[digest] = pickle.loads(payload.value)
-    return _loaded[digest]
-
-
 def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str]) -> Scorer:
     """Score by a pickled estimator with a ``predict(matrix)`` method, batch by batch.
 
@@ -115,11 +105,11 @@ def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str])
     """
     if len(payload) > MODEL_BYTES:
         raise ValueError(f"model of {len(payload)} bytes is above the bound of {MODEL_BYTES}")
-    digest, shared = hashlib.sha256(payload).hexdigest(), spark.sparkContext.broadcast(payload)
+    shared = spark.sparkContext.broadcast(pickle.loads(payload))  # each worker unpacks it once
 
     @F.pandas_udf("double")
     def predict(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(_unpickled(digest, shared).predict(batch.to_numpy(dtype=float)))
+        return pd.Series(shared.value.predict(batch.to_numpy(dtype=float)))
 
     def score(df: DataFrame, out: str) -> DataFrame:
         columns = [F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)]

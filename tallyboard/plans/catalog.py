@@ -11,7 +11,7 @@ from tallyboard import schemas as S
 from tallyboard.functions import np_round, rank_text, season_label
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.plans import jobs, league
-from tallyboard.session import scratch_path, scratch_table
+from tallyboard.session import scratch_path, scratch_table, spread
 from tallyboard.sinks import land, new_rows, overwrite_partitions, write_report_csv, write_table
 from tallyboard.sources import (award_rows, read_dated_ranks, read_player_stats, read_seasons, read_table,
                                 union_seasons)
@@ -97,7 +97,7 @@ def stats_nway_inner(spark, sf_dir):
              ("R", F.max("l_quantity").alias("mx_per_game"))]
     keys = ["l_suppkey", "l_linenumber"]
     return joins.merge_stats([item.where(F.col("l_returnflag") == flag).groupBy(*keys).agg(measure)
-                              for flag, measure in parts], keys)
+                              for flag, measure in parts], keys, nulls_match=False)
 
 
 @register("SELECT c_custkey, n.n_name AS team FROM customer LEFT JOIN "
@@ -121,7 +121,7 @@ def award_left_fill(spark, sf_dir):
     stats = orders.groupBy(*key, "season").agg(F.count(F.lit(1)).alias("n"))
     votes = orders.where("o_orderpriority = '1-URGENT'").groupBy(*key, F.col("season").alias("award_season")).agg(
         F.max("o_totalprice").alias("Share"), F.lit("1").alias("Rank"))
-    filled, _ = clean.observed(clean.fill_share(joins.with_awards(stats, votes)), "labelled", ["Share"])
+    filled, _ = clean.observed(clean.fill_share(joins.with_awards(stats, votes, landed=False, nulls_match=False)), "labelled", ["Share"])
     return filled.select(F.col("Player").alias("player"), "season", "n", F.col("Share").alias("share"))
 
 
@@ -129,7 +129,7 @@ def award_left_fill(spark, sf_dir):
           "(SELECT 1 FROM lineitem l WHERE l.l_orderkey=o.o_orderkey)")
 def missing_keys_anti(spark, sf_dir):
     return joins.missing_keys(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
-                              table(spark, sf_dir, "lineitem"), ["o_orderkey"], ["l_orderkey"])
+                              table(spark, sf_dir, "lineitem"), ["o_orderkey"], ["l_orderkey"], nulls_match=False)
 
 
 # --- checks ------------------------------------------------------------------
@@ -330,7 +330,7 @@ def html_table_extract(spark, sf_dir):
         tag("tr", tag("td", rank), tag("td", tag("b", F.col("o_orderpriority"))), tag("td", "1"),
             tag("td", F.col("o_totalprice").cast("string"))),
         F.lit("</table><table><tr><td>99</td></tr></table>"))
-    pages = table(spark, sf_dir, "orders").select(
+    pages = spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", F.concat(F.lit("/awards/awards_"), F.year("o_orderdate").cast("string"), F.lit(".html")).alias("url"),
         html.alias("html"))
     return award_rows(pages, keys=["o_orderkey"])
@@ -340,8 +340,8 @@ def html_table_extract(spark, sf_dir):
 def parquet_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
-    overwrite_partitions(orders.withColumn("snapshot_day", F.date_format("o_orderdate", "yyyy_MM")), path, ["snapshot_day"])
-    write_table(read_table(spark, path).drop("snapshot_day"), f"{path}-processed")
+    overwrite_partitions(orders.withColumn("season_year", F.year("o_orderdate")), path, ["season_year"])
+    write_table(read_table(spark, path).drop("season_year"), f"{path}-processed")
     return read_table(spark, f"{path}-processed")
 
 

@@ -142,6 +142,6 @@ def final_report(final: DataFrame, stats: DataFrame, by: Sequence[str] = (),
         quality.assert_unique(stats, keys, "stats")
     wanted = ranked.select(*keys)
     stats = stats.join(wanted if by else F.broadcast(wanted), keys, "left_semi")
-    joined = joins.null_safe_join(final, stats, keys, keys, "left")
+    joined = joins.key_join(final, stats, keys, keys, "left")
     return clean.report_columns(joined.withColumnRenamed("final_rank", S.REPORT_RANK), layout,
                                 [*by, S.REPORT_RANK])

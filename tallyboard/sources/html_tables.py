@@ -9,14 +9,19 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyboard import schemas as S
 from tallyboard.functions import rank_text, season_label
 
+# The parser travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ATTRIBUTES = r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)"
 _MARKUP = re.compile(
     r"<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|"
@@ -28,14 +33,15 @@ _BREAKS = {"br", "p", "div", "li"}
 
 class _Cell:
     def __init__(self, header: bool, attributes: str):
-        spans = {k.lower(): int(v) for k, v in _SPAN.findall(attributes)}
+        spans = {k.lower(): int(v) for k, v in _SPAN.findall(attributes)} if attributes else {}
         self.header = header
         self.across = min(max(spans.get("colspan", 1), 1), _MAX_SPAN)
         self.down = max(spans.get("rowspan", 1), 1)
         self.parts: list[str] = []
 
     def text(self) -> str:
-        return " ".join(entities.unescape("".join(self.parts)).split())
+        text = "".join(self.parts)
+        return " ".join((entities.unescape(text) if "&" in text else text).split())
 
 
 def _rows_of_first_table(page: str) -> list[tuple[bool, list[_Cell]]] | None:
@@ -111,39 +117,46 @@ def parse_first_table(page: str) -> tuple[list[str], list[list[str]]] | None:
     return header, body
 
 
-def first_tables(pages: DataFrame, keys: Sequence[str], html: str = "html",
+def first_tables(pages: DataFrame, keys: Sequence[str], columns: Sequence[str], html: str = "html",
                  on_missing: str = "raise") -> DataFrame:
-    """Rows of each page's first table: keys, ``row_no``, ``header`` and ``cells`` arrays.
+    """Rows of each page's first table: keys, ``row_no``, and the named columns as text.
 
-    A page without a table raises, or is left out with ``on_missing="skip"``;
-    then pages without a table tag never reach Python.
+    Names are looked up in the last header row; a row that is too short gives
+    null. A page without a table or without a named column raises, or is left
+    out with ``on_missing="skip"``; then pages without a table tag never reach
+    Python.
     """
-    if on_missing == "skip":
+    skip = on_missing == "skip"
+    if skip:
         pages = pages.where(F.lower(html).contains("<table"))
-    key_fields = [pages.schema[k] for k in keys]
-    strings = T.ArrayType(T.StringType())
-    schema = T.StructType([*key_fields, T.StructField("row_no", T.LongType()),
-                           T.StructField("header", strings), T.StructField("cells", strings)])
+    schema = T.StructType([*[pages.schema[k] for k in keys], T.StructField("row_no", T.LongType()),
+                           *[T.StructField(c, T.StringType()) for c in columns]])
+    width, names = len(keys), schema.names
+    arrow_types = [pa.int64(), *[pa.string()] * len(columns)]
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for *key, page in batch.itertuples(index=False, name=None):
+            pages_at: list[int] = []
+            out: list[list] = [[] for _ in arrow_types]
+            for page_no, page in enumerate(batch.column(width).to_pylist()):
                 table = parse_first_table(page or "")
-                if table is None:
-                    if on_missing == "skip":
+                if table is None or not set(columns) <= set(table[0]):
+                    if skip:
                         continue
-                    raise ValueError(f"no table in page {key}")
-                out += [(*key, i, table[0], cells) for i, cells in enumerate(table[1])]
-            yield pd.DataFrame(out, columns=schema.names)
-
-    return pages.select(*keys, F.col(html)).mapInPandas(extract, schema)
-
-
-def cell(name: str) -> Column:
-    """The cell under a header name; null where the row is too short or lacks it."""
-    at = F.array_position(F.col("header"), F.lit(name))
-    return F.when(at > 0, F.get(F.col("cells"), (at - 1).cast("int")))
+                    raise ValueError(f"no table with {list(columns)} in page "
+                                     f"{[batch.column(k)[page_no].as_py() for k in range(width)]}")
+                at = [table[0].index(c) for c in columns]
+                for row_no, cells in enumerate(table[1]):
+                    pages_at.append(page_no)
+                    out[0].append(row_no)
+                    for values, i in zip(out[1:], at):
+                        values.append(cells[i] if i < len(cells) else None)
+            taken = pa.array(pages_at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).take(taken) for k in range(width)]
+                + [pa.array(v, t) for v, t in zip(out, arrow_types)], names)
+
+    return pages.select(*keys, F.col(html)).mapInArrow(extract, schema)
 
 
 def award_rows(pages: DataFrame, url: str = "url", html: str = "html",
@@ -152,8 +165,8 @@ def award_rows(pages: DataFrame, url: str = "url", html: str = "html",
     year = F.regexp_extract(F.col(url), S.AWARD_URL_YEAR, 1)
     dated = pages.withColumn("__year", F.when(year != "", year.cast("int")).otherwise(
         F.raise_error(F.concat(F.lit("no season in url "), F.col(url)))))
-    rows = first_tables(dated, ["__year", *keys], html, on_missing)
+    rows = first_tables(dated, ["__year", *keys], ["Rank", "Player", "Share"], html, on_missing)
     return rows.select(
-        *keys, rank_text(cell("Rank")).alias("Rank"), cell("Player").alias("Player"),
-        F.nullif(F.trim(cell("Share")), F.lit("")).cast("double").alias("Share"),
+        *keys, rank_text(F.col("Rank")).alias("Rank"), "Player",
+        F.nullif(F.trim("Share"), F.lit("")).cast("double").alias("Share"),
         season_label(F.col("__year")).alias("award_season"))

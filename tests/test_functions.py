@@ -1,0 +1,54 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyboard.functions import (above, differs, nan_to_null, not_in, np_round, rank_text, required,
+                                  season_label, strip_marker)
+
+
+def test_np_round_is_half_even_on_the_scaled_double(make):
+    values = [0.5, 1.5, 2.5, 12.25, 0.285, 1.005, -0.4, -2.5, 2241.6, 1e15 + 0.5]
+    df = make([(v,) for v in values], "x double")
+    got = df.select(*[np_round(F.col("x"), d).alias(f"r{d}") for d in range(4)]).collect()
+    for v, row in zip(values, got):
+        for d in range(4):
+            assert row[d] == np.round(v, d)
+    assert math.copysign(1, got[6][0]) == 1.0  # -0.4 gives 0.0, not -0.0
+
+
+def test_np_round_agrees_with_numpy_on_random_values(spark):
+    df = spark.range(20000).select((F.rand(7) * 200 - 100).alias("x"))
+    got = df.select("x", np_round(F.col("x"), 2).alias("a"), np_round(F.col("x"), 3).alias("b")).toPandas()
+    assert (got.a == np.round(got.x, 2)).all() and (got.b == np.round(got.x, 3)).all()
+
+
+def test_season_label(make):
+    got = make([("2007",), ("2000",), ("2024",)], "y string").select(season_label(F.col("y"))).collect()
+    assert [r[0] for r in got] == ["2006-07", "1999-00", "2023-24"]
+
+
+def test_rank_text_and_marker(make):
+    df = make([("10T", "Ann Example*"), ("1", "*B*"), (None, None)], "r string, p string")
+    got = df.select(rank_text(F.col("r")), strip_marker(F.col("p"))).collect()
+    assert [tuple(r) for r in got] == [("10", "Ann Example"), ("1", "B"), (None, None)]
+
+
+def test_exclusions_keep_nulls(make):
+    df = make([("a",), ("b",), (None,)], "x string")
+    assert [r.x for r in df.where(not_in(F.col("x"), ["a"])).collect()] == ["b", None]
+    assert [r.x for r in df.where(differs(F.col("x"), "b")).collect()] == ["a", None]
+
+
+def test_nan_is_missing_and_never_above(make):
+    df = make([(float("nan"),), (2.0,), (1.0,), (None,)], "x double")
+    assert [r.x for r in df.where(above(F.col("x"), 1.0)).collect()] == [2.0]
+    assert [r[0] for r in df.select(nan_to_null(F.col("x"))).collect()] == [None, 2.0, 1.0, None]
+
+
+def test_required_raises_on_null(make):
+    df = make([(1,), (None,)], "x int")
+    with pytest.raises(Exception, match="no x"):
+        df.select(required(F.col("x"), "no x")).collect()
+    assert df.where("x is not null").select(required(F.col("x"), "no x")).first()[0] == 1
