@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard import schemas as S
 from tallyboard.operators import clean, joins, quality, ranking, scoring
+from tallyboard.session import scratch_table
 from tallyboard.sinks import append_jdbc, overwrite_partitions, write_rank_csv, write_report_csv, write_table
 from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_standings, read_table
 from tallyboard.streaming import BatchSink, ingest_new_files
 
+log = logging.getLogger(__name__)
+
 _YEAR = "season_year"
 
 
@@ -34,7 +38,7 @@ def current_snapshot(spark: SparkSession, raw: str, out: str, season: str, at: d
     stats = clean.add_season(clean.add_snapshot_date(stats, at), F.col(_YEAR)).drop(_YEAR)
     stats = clean.enforce_types(stats, S.COLUMN_TYPES)
     day = at.strftime("%Y_%m_%d")
-    overwrite_partitions(stats.withColumn("snapshot_day", F.lit(day)), out, ["snapshot_day"])
+    overwrite_partitions(stats.withColumn("snapshot_day", F.lit(day)), out, ["snapshot_day"], gather=False)
     return read_table(spark, out).where(F.col("snapshot_day") == day)
 
 
@@ -66,8 +70,9 @@ def training_set(spark: SparkSession, history: str, awards: str, out: str,
     votes = read_table(spark, awards, S.AWARD_SCHEMA)
     if not quality.names_match(votes, stats, labels, strict):
         raise quality.QualityError("not all award players occur in the stats")
-    labelled = clean.fill_share(joins.with_awards(stats, votes))
-    write_table(clean.enforce_types(labelled, S.TRAINING_TYPES), out)
+    labelled, counts = clean.observed(joins.with_awards(stats, votes), "training_set", ["Share"])
+    write_table(clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES), out)
+    log.info("%s rows, %s of them with a share", counts.get["rows"], counts.get["Share"])
     return read_table(spark, out)
 
 
@@ -130,18 +135,17 @@ def final_report(final: DataFrame, stats: DataFrame, by: Sequence[str] = (),
                  player: str = "PLAYER", validate: bool = True) -> DataFrame:
     """Final order left join stats, one row on each side per player, as report columns.
 
-    ``validate`` raises when either side repeats a player. A single run is one
-    top-n list, so its players go to the stats scan as a broadcast filter and
-    only their rows are joined; with several runs the join is left to run-time
-    planning.
+    ``validate`` raises when either side repeats a player. The final order is a
+    top-n list per run: it is written once, and when it measures small it goes to
+    the stats scan as a broadcast filter, so that only its players' rows are joined.
     """
     keys = [*by, player]
+    final = scratch_table(final, "final")
     ranked = final.where(F.col(player).isNotNull())
     if validate:
         quality.assert_unique(ranked, keys, "final ranks")
         quality.assert_unique(stats, keys, "stats")
-    wanted = ranked.select(*keys)
-    stats = stats.join(wanted if by else F.broadcast(wanted), keys, "left_semi")
+    stats = stats.join(joins.broadcast_if_small(ranked.select(*keys)), keys, "left_semi")
     joined = joins.key_join(final, stats, keys, keys, "left")
     return clean.report_columns(joined.withColumnRenamed("final_rank", S.REPORT_RANK), layout,
                                 [*by, S.REPORT_RANK])

@@ -12,19 +12,24 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def _gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    # Without this every task would write a small file into every partition. A
+    # partition that holds much of the data is split over many tasks at run time.
+    return df.hint("rebalance", *[F.col(c) for c in by])
+
+
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], gather: bool = True) -> None:
     """Replace just the partitions present in ``df``; a re-run of one day or season changes no other.
 
-    Rows are brought together by partition so that each gets few files; a
-    partition that holds much of the data is split over many tasks at run time.
+    ``gather=False`` saves the shuffle when all rows go to one partition anyway.
     """
-    (df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    df = _gathered(df, by) if gather else df
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
 def land(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Write a whole table laid out by partition columns."""
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
+    _gathered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def _write_csv(df: DataFrame, path: str, by: Sequence[str]) -> None:

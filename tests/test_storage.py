@@ -1,0 +1,198 @@
+import datetime
+
+import pytest
+from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, functions as F, types as T
+
+from tallyboard import session
+from tallyboard.sinks import (DatabaseWriteError, append_jdbc, existing_keys, land, new_rows, overwrite_partitions,
+                              write_rank_csv, write_report_csv, write_table)
+from tallyboard.sources import (read_dated_ranks, read_player_stats, read_seasons, read_standings, read_table,
+                                union_seasons)
+from tallyboard.streaming import append_batches, append_new_to_jdbc, event_keys, ingest_new_files
+
+from .conftest import rows
+
+
+def test_overwriting_one_partition_leaves_the_others(spark, make):
+    path = session.scratch_path(spark, "days")
+    overwrite_partitions(make([(1, "d1"), (2, "d2")], "x int, snapshot_day string"), path, ["snapshot_day"])
+    again = make([(3, "d2"), (4, "d2")], "x int, snapshot_day string")
+    for _ in range(2):
+        overwrite_partitions(again, path, ["snapshot_day"])
+    assert rows(read_table(spark, path)) == [(1, "d1"), (3, "d2"), (4, "d2")]
+
+
+def test_write_table_replaces_and_special_names_survive(spark, make):
+    path = session.scratch_path(spark, "table")
+    df = make([(0.5, 180.0)], "`W/L%_team` double, `Height (cm)` double")
+    write_table(df, path)
+    write_table(df, path)
+    assert read_table(spark, path).columns == df.columns and read_table(spark, path).count() == 1
+
+
+def test_season_reads_prune_partitions(spark, plan):
+    base = session.scratch_path(spark, "raw")
+    df = spark.range(60).selectExpr("id", "2000 + id % 3 AS season_year")
+    land(df, f"{base}/stats/info=totals", ["season_year"])
+    land(df, f"{base}/standings", ["season_year"])
+    got = read_player_stats(spark, base, "totals", ["2001"])
+    assert "PartitionFilters: [isnotnull(season_year" in plan(got)
+    assert got.count() == 20 and read_standings(spark, base, ["2000", "2002"]).count() == 40
+    with pytest.raises(ValueError):
+        read_player_stats(spark, base, "shots", ["2001"])
+
+
+def test_season_labels_select_by_their_first_year(spark):
+    path = session.scratch_path(spark, "history")
+    land(spark.range(4).selectExpr("id", "2006 + id AS season_year"), path, ["season_year"])
+    assert rows(read_seasons(spark, path, ["2007", "2008-09"])) == [(1, 2007), (2, 2008)]
+
+
+def test_union_seasons_aligns_names(make):
+    got = union_seasons([make([(1, "a")], "x int, y string"), make([("b", 2)], "y string, x int"), make([(3,)], "x int")])
+    assert rows(got) == sorted([(1, "a"), (2, "b"), (3, None)], key=repr)
+
+
+def test_filters_and_columns_reach_the_scan(spark, plan):
+    path = session.scratch_path(spark, "scan")
+    write_table(spark.range(10).selectExpr("id", "id * 1.5D AS PTS_PERGAME", "'t' AS unused"), path)
+    from tallyboard.operators.clean import candidates
+    text = plan(candidates(read_table(spark, path), {"PTS_PERGAME": 3}, {}).select("id"))
+    assert "GreaterThan(PTS_PERGAME,3.0)" in text and "unused" not in text
+
+
+def test_csv_round_trip_per_run(spark, make):
+    df = make([("d1", 1, "a", 0.1), ("d1", 2, "b", 0.25), ("d2", 1, "c", 1e-7)], "run string, pos int, name string, share double")
+    for writer in (write_rank_csv, write_report_csv):
+        path = session.scratch_path(spark, "csv")
+        writer(df, path, ["run"])
+        writer(df, path, ["run"])
+        got = spark.read.schema(df.schema).option("header", True).csv(path).select(*df.columns)
+        assert rows(got) == rows(df)
+    single = session.scratch_path(spark, "csv")
+    write_report_csv(df, single)
+    assert len([f for f in spark.read.format("binaryFile").load(single + "/*.csv").select("path").collect()]) == 1
+
+
+def test_dated_ranks_take_their_date_from_the_path(spark, make):
+    path = session.scratch_path(spark, "ranks")
+    write_rank_csv(make([("31_01_2024", 1, "a"), ("01_02_2024", 1, "b")], "run string, pos int, p string"), path, ["run"])
+    schema = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("p", T.StringType())])
+    assert rows(read_dated_ranks(spark, path, schema)) == sorted(
+        [(1, "a", datetime.date(2024, 1, 31)), (1, "b", datetime.date(2024, 2, 1))], key=repr)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        assert session.shared_folder(spark) == folder.rstrip("/")
+    assert session.scratch_path(spark, "a").startswith(session.shared_folder(spark))
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+
+
+def test_spread_only_widens_narrow_inputs(spark):
+    assert session.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(100, numPartitions=20)
+    assert session.spread(wide) is wide
+
+
+# No database runs here, so the writer and reader at the JDBC border are replaced.
+
+def test_append_jdbc_appends_and_wraps_errors(make, monkeypatch):
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **k: calls.append((a, k)))
+    df = make([(1,)], "x int")
+    for _ in range(2):
+        append_jdbc(df, "jdbc:x", "public.stats", {"user": "u"})
+    assert calls == [(("jdbc:x", "public.stats"), {"mode": "append", "properties": {"user": "u"}})] * 2
+
+    def broken(self, *a, **k):
+        raise OSError("refused")
+    monkeypatch.setattr(DataFrameWriter, "jdbc", broken)
+    with pytest.raises(DatabaseWriteError, match="public.stats: refused"):
+        append_jdbc(df, "jdbc:x", "public.stats")
+
+
+KEYS = ["season", "snapshot_date", "Player", "Tm"]
+ROW = "season string, snapshot_date date, Player string, Tm string, PTS int"
+
+
+def _day(d):
+    return datetime.date(2024, 1, d)
+
+
+def test_existing_keys_read_only_the_batch_range(make, monkeypatch):
+    stored = make([("2023-24", _day(1), "a", "X", 5), ("2023-24", _day(2), "a", "X", 6), ("2023-24", _day(4), "a", "X", 7)], ROW)
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: stored)
+    batch = make([("2023-24", _day(2), "a", "X", 6), ("2023-24", _day(3), "a", "X", 8)], ROW)
+    known = existing_keys(batch, "jdbc:x", "t", KEYS, "snapshot_date")
+    assert known.columns == KEYS and [r.snapshot_date for r in known.collect()] == [_day(2)]
+    assert [r.PTS for r in new_rows(batch, known).collect()] == [8]
+
+
+def test_repeated_stream_batch_adds_nothing_to_the_database(spark, make, monkeypatch):
+    table = []
+
+    def write(self, url, name, mode, properties):
+        table.extend(self._df.collect())
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: spark.createDataFrame(table, ROW))
+    sink = append_new_to_jdbc("jdbc:x", "t", KEYS)
+    batch = make([("2023-24", _day(2), "a", "X", 6), ("2023-24", _day(2), "b", None, 8)], ROW)
+    sink(batch, 0)
+    sink(batch, 0)
+    assert len(table) == 2
+
+
+def test_stream_takes_each_file_once(spark, make):
+    folder, out, check = (session.scratch_path(spark, n) for n in ("in", "out", "check"))
+    schema = T.StructType([T.StructField("x", T.LongType())])
+
+    def run():
+        ingest_new_files(spark, folder, schema, check, append_batches(out)).awaitTermination()
+        return sorted(r.x for r in read_table(spark, out).collect())
+
+    spark.range(3).withColumnRenamed("id", "x").coalesce(1).write.parquet(folder)
+    assert run() == [0, 1, 2]
+    assert run() == [0, 1, 2]
+    spark.range(3, 5).withColumnRenamed("id", "x").coalesce(1).write.mode("append").parquet(folder)
+    assert run() == [0, 1, 2, 3, 4]
+
+
+def test_a_repeated_batch_replaces_itself(spark, make):
+    out = session.scratch_path(spark, "out")
+    sink = append_batches(out)
+    sink(make([(1,)], "x int"), 0)
+    sink(make([(2,)], "x int"), 1)
+    sink(make([(2,)], "x int"), 1)
+    assert rows(read_table(spark, out).select("x")) == [(1,), (2,)]
+
+
+def test_event_keys_take_every_record_and_decode(make):
+    def event(*keys):
+        return '{"Records": [' + ", ".join('{"s3": {"object": {"key": "%s"}}}' % k for k in keys) + "]}"
+    df = make([(event("data/raw/players/2024_01_31.parquet", "data/raw/players/a+b%2Fc.parquet"),),
+               (event("other/x.parquet"),)], "event string")
+    assert rows(event_keys(df)) == [("data/raw/players/2024_01_31.parquet",), ("data/raw/players/a b/c.parquet",)]
+
+
+def test_scratch_table_is_read_from_files(spark, plan):
+    got: DataFrame = session.scratch_table(spark.range(5).select((F.col("id") * 2).alias("x")))
+    assert rows(got) == [(0,), (2,), (4,), (6,), (8,)] and "Scan parquet" in plan(got)
