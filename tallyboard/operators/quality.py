@@ -73,14 +73,17 @@ def name_match(awards: DataFrame, stats: DataFrame, award_keys: Sequence[str] =
     With only the player as key, a player counts as found whatever the season;
     add the season columns to the keys for the strict form.
     """
-    wanted = awards.select(*dict.fromkeys([season, *award_keys])).distinct()
-    known = stats.select(*[F.col(f"`{k}`").alias(f"__known_{i}") for i, k in enumerate(stats_keys)]
-                         ).distinct().withColumn("__found", F.lit(1))
-    cond = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"__known_{i}"))
-                                       for i, k in enumerate(award_keys)])
-    return wanted.join(known, cond, "left").groupBy(F.col(season)).agg(
-        F.count(F.lit(1)).alias("n_award"),
-        F.count_if(F.col("__found").isNull()).alias("n_unmatched"))
+    keys = [f"__{i}" for i in range(len(award_keys))]
+    wanted = awards.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(award_keys, keys, strict=True)],
+                           F.struct(F.col(season).alias("season")).alias("__season"), F.lit(False).alias("__known"))
+    known = stats.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(stats_keys, keys, strict=True)],
+                         F.lit(None).cast(wanted.schema["__season"].dataType).alias("__season"),
+                         F.lit(True).alias("__known"))
+    # Both sides meet in one grouping, reduced map-side to a key's few seasons; null keys match.
+    names = wanted.unionByName(known).groupBy(*keys).agg(
+        F.collect_set("__season").alias("seasons"), F.bool_or("__known").alias("known"))
+    return names.select(F.explode("seasons").alias("s"), "known").groupBy(F.col("s.season").alias(season)).agg(
+        F.count(F.lit(1)).alias("n_award"), F.count_if(~F.col("known")).alias("n_unmatched"))
 
 
 def names_match(awards: DataFrame, stats: DataFrame, seasons: Sequence[str],

@@ -13,20 +13,38 @@ from tallyboard.session import scratch_table
 # monotonically_increasing_id puts the partition number above this bit.
 _PARTITION_BITS = 33
 
+# Rows of one group that a single task may number: they are narrow and can spill.
+GROUP_ROWS = 5_000_000
 
-def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "pos") -> DataFrame:
+
+def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "pos",
+             group_rows: int = GROUP_ROWS) -> DataFrame:
     """Unique 1-based position of every row in its group, however large the group.
 
-    A window over the group would put a whole group, such as all rows of one of
-    five models, into one task. Here the rows are range-partitioned on (group,
-    order), numbered within their partition, and written; a table of at most
-    (groups + partitions) rows then gives each run of a group its starting
-    position. ``order`` must end in columns that make rows of a group distinct.
+    The rows are written once and the largest group is measured. Groups that fit a
+    task are numbered by a window; beyond that, positions are worked out across
+    partitions. ``order`` must end in columns that make rows of a group distinct.
+    """
+    rows = scratch_table(df, "ranked")
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest > group_rows:
+        return _rank_across_partitions(rows, by, order, name)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint")
+    return rows.withColumn(name, rank)
+
+
+def _rank_across_partitions(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Positions in groups too large for one task, such as all rows of one of five models.
+
+    The rows are range-partitioned on (group, order), numbered within their
+    partition, and written; a table of at most (groups + partitions) rows then
+    gives each run of a group its starting position.
     """
     layout = [F.col(c) for c in by] + list(order)
     numbered = (df.repartitionByRange(*layout).sortWithinPartitions(*layout)
                 .withColumn("__row", F.monotonically_increasing_id()))
-    rows = scratch_table(numbered, "rank").withColumn(
+    rows = scratch_table(numbered, "numbered").withColumn(
         "__part", F.shiftright(F.col("__row"), _PARTITION_BITS))
     runs = rows.groupBy(*by, "__part").agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,26 +80,25 @@ def top_models(scored: DataFrame, n: int = 10, by: Sequence[str] = (), player: s
     return best.withColumn("share", np_round(F.col("share"), 3))
 
 
+def _per_model(model: str, value: str) -> Column:
+    # One value per model and row, so any aggregate that skips nulls picks it; unlike a
+    # pivot this takes a single shuffle.
+    return F.max(F.when(F.col("model") == model, F.col(value)))
+
+
 def wide_ranks(top: DataFrame, models: Sequence[str] = S.MODELS, by: Sequence[str] = (),
                player: str = "player") -> DataFrame:
     """Top-n rows side by side: ``MVP RANK m`` and ``MVP SHARE m`` per model, one row per position."""
-    wide = top.groupBy(*by, "pos").pivot("model", list(models)).agg(
-        F.first(player).alias("player"), F.first("share").alias("share"))
-    out = [F.col(c) for c in [*by, "pos"]]
-    for m in models:
-        out += [F.col(f"`{m}_player`").alias(f"MVP RANK {m}"), F.col(f"`{m}_share`").alias(f"MVP SHARE {m}")]
-    return wide.select(*out)
+    return top.groupBy(*by, "pos").agg(*[c for m in models for c in (
+        _per_model(m, player).alias(f"MVP RANK {m}"), _per_model(m, "share").alias(f"MVP SHARE {m}"))])
 
 
 def wide_results(ranked: DataFrame, models: Sequence[str] = S.MODELS, by: Sequence[str] = (),
                  player: str = "player") -> DataFrame:
     """One row per player with share and rank of every model; players some model lacks are left out."""
-    wide = ranked.groupBy(*by, player).pivot("model", list(models)).agg(
-        F.first("share").alias("share"), F.first("pos").alias("pos"))
-    out = [F.col(c) for c in [*by, player]]
-    for m in models:
-        out += [F.col(f"`{m}_share`").alias(f"PREDICTED MVP SHARE {m}"), F.col(f"`{m}_pos`").alias(f"MVP RANK {m}")]
-    return wide.dropna(subset=[f"{m}_pos" for m in models]).select(*out)
+    wide = ranked.groupBy(*by, player).agg(*[c for m in models for c in (
+        _per_model(m, "share").alias(f"PREDICTED MVP SHARE {m}"), _per_model(m, "pos").alias(f"MVP RANK {m}"))])
+    return wide.dropna(subset=[f"MVP RANK {m}" for m in models])
 
 
 def consensus(top: DataFrame, by: Sequence[str] = (), player: str = "player", n: int = 10,

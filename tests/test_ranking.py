@@ -24,23 +24,29 @@ def many_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_rank_all_equals_a_window(spark, many_partitions):
+@pytest.mark.parametrize("group_rows", [10, 10_000])
+def test_rank_all_equals_a_window(spark, many_partitions, group_rows):
     """One group holds a third of the rows and spans partitions; one group is null."""
     df = spark.range(6000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('g', id % 40) END AS g",
         "CAST(hash(id) % 50 AS DOUBLE) AS v", "id")
     order = [F.col("v").desc(), F.col("id").asc()]
-    got = ranking.rank_all(df, ["g"], order)
+    got = ranking.rank_all(df, ["g"], order, group_rows=group_rows)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert got.columns == ["g", "v", "id", "pos"]
     assert rows(got) == rows(want)
-    one = ranking.rank_all(df, [], order).select("pos")
+    one = ranking.rank_all(df, [], order, group_rows=group_rows).select("pos")
     assert rows(one) == sorted([(i,) for i in range(1, 6001)], key=repr)
 
 
-def test_rank_all_has_no_window_over_the_groups(spark, plan):
-    got = ranking.rank_all(spark.range(100).selectExpr("id % 5 AS g", "id"), ["g"], [F.col("id").asc()])
-    assert "row_number" not in plan(got)
+def test_large_groups_are_not_windowed(spark, plan):
+    df = spark.range(100).selectExpr("id % 5 AS g", "id")
+    assert "row_number" in plan(ranking.rank_all(df, ["g"], [F.col("id").asc()], group_rows=20))
+    assert "row_number" not in plan(ranking.rank_all(df, ["g"], [F.col("id").asc()], group_rows=19))
+
+
+def test_rank_all_of_nothing(make):
+    assert ranking.rank_all(make([], "g int, v int"), ["g"], [F.col("v").asc()]).count() == 0
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
