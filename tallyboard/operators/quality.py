@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyboard.operators.joins import missing_keys
 from tallyboard.operators.ranking import rank_all
@@ -79,11 +79,13 @@ def name_match(awards: DataFrame, stats: DataFrame, award_keys: Sequence[str] =
     known = stats.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(stats_keys, keys, strict=True)],
                          F.lit(None).cast(wanted.schema["__season"].dataType).alias("__season"),
                          F.lit(True).alias("__known"))
-    # Both sides meet in one grouping, reduced map-side to a key's few seasons; null keys match.
-    names = wanted.unionByName(known).groupBy(*keys).agg(
-        F.collect_set("__season").alias("seasons"), F.bool_or("__known").alias("known"))
-    return names.select(F.explode("seasons").alias("s"), "known").groupBy(F.col("s.season").alias(season)).agg(
-        F.count(F.lit(1)).alias("n_award"), F.count_if(~F.col("known")).alias("n_unmatched"))
+    # Both sides shrink map-side to distinct (key, season) rows, stats to one row per key;
+    # then a key's few rows see whether one of them comes from the stats. Null keys match.
+    names = wanted.unionByName(known).groupBy(*keys, "__season").agg(F.bool_or("__known").alias("__known"))
+    found = F.max("__known").over(Window.partitionBy(*keys))
+    return names.withColumn("__found", found).where(F.col("__season").isNotNull()).groupBy(
+        F.col("__season.season").alias(season)).agg(
+        F.count(F.lit(1)).alias("n_award"), F.count_if(~F.col("__found")).alias("n_unmatched"))
 
 
 def names_match(awards: DataFrame, stats: DataFrame, seasons: Sequence[str],

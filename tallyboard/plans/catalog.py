@@ -116,7 +116,7 @@ stats AS (SELECT o_custkey AS player, year(o_orderdate) AS season, count(*) AS n
 SELECT s.player, s.season, s.n, coalesce(a.share,0) AS share
 FROM stats s LEFT JOIN award a ON s.player=a.player AND s.season=a.yr""")
 def award_left_fill(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("season", F.year("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").withColumn("season", F.year("o_orderdate").cast("bigint"))
     key = [F.col("o_custkey").alias("Player")]
     stats = orders.groupBy(*key, "season").agg(F.count(F.lit(1)).alias("n"))
     votes = orders.where("o_orderpriority = '1-URGENT'").groupBy(*key, F.col("season").alias("award_season")).agg(
@@ -154,7 +154,8 @@ WITH a AS (SELECT DISTINCT year(o_orderdate) AS season, o_orderkey AS k FROM ord
 SELECT a.season, count(*) AS n_award, count(*) FILTER (WHERE l.l_orderkey IS NULL) AS n_unmatched
 FROM a LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) l ON a.k=l.l_orderkey GROUP BY 1""")
 def award_name_match(spark, sf_dir):
-    awards = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("season"), F.col("o_orderkey").alias("Player"))
+    awards = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").cast("bigint").alias("season"), F.col("o_orderkey").alias("Player"))
     return quality.name_match(awards, table(spark, sf_dir, "lineitem"), ["Player"], ["l_orderkey"], "season")
 
 
@@ -302,7 +303,8 @@ def season_union(spark, sf_dir):
     overwrite_partitions(old, base, ["season_year"])
     overwrite_partitions(new, base, ["season_year"])
     late = read_seasons(spark, base, ["1998", "2000"], orders.schema)
-    return union_seasons([late, read_seasons(spark, base, ["1996"], orders.drop("pri").schema)])
+    early = read_seasons(spark, base, ["1996"], orders.drop("pri").schema)
+    return union_seasons([late, early]).withColumn("season_year", F.col("season_year").cast("bigint"))
 
 
 @register("SELECT l_orderkey, l_linenumber, l_quantity, year(l_shipdate) AS season_year "
@@ -314,7 +316,8 @@ def landed_partition_scan(spark, sf_dir):
                      F.col("l_returnflag")).alias("info"))
     base = scratch_path(spark, "raw")
     land(item, f"{base}/stats", ["info", "season_year"])
-    return read_player_stats(spark, base, "totals", ["1997", "2000"])
+    rows = read_player_stats(spark, base, "totals", ["1997", "2000"])
+    return rows.withColumn("season_year", F.col("season_year").cast("bigint"))
 
 
 @register("SELECT o_orderkey, CAST(o_custkey%20 AS VARCHAR) AS \"Rank\", o_orderpriority AS \"Player\", "
@@ -380,8 +383,9 @@ def append_new_rows(spark, sf_dir):
 def stream_file_ingest(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     out, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "checkpoint")
+    source = f"{sf_dir}/events.parquet*"  # a stream's source is a folder or a pattern, not a single file
     for _ in range(2):  # the second run finds nothing new
-        ingest_new_files(spark, sf_dir, schema, checkpoint, append_batches(out), "events.parquet").awaitTermination()
+        ingest_new_files(spark, source, schema, checkpoint, append_batches(out)).awaitTermination()
     return read_table(spark, out).select("event_id", "user_id", "event_type", "value")
 
 
