@@ -124,7 +124,7 @@ def consensus(top: DataFrame, by: Sequence[str] = (), player: str = "player", n:
     votes = ballots.withColumn("__total", total).groupBy(*by, "pos", player).agg(
         F.count(F.lit(1)).alias("votes"),
         F.count_if(F.col("model").isin(list(tie_break))).alias("tie_votes"),
-        F.first("__total").alias("total"), F.min("mo").alias("seen"))
+        F.coalesce(F.first("__total"), F.lit(0)).alias("total"), F.min("mo").alias("seen"))
     preference = F.struct(
         (F.col("votes") < majority).alias("a"), (F.col("tie_votes") < tie_majority).alias("b"),
         (-F.col("total")).alias("c"), (-F.col("votes")).alias("d"), F.col("seen"),

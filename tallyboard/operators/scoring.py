@@ -6,12 +6,15 @@ import logging
 import pickle
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyboard.functions import nan_to_null
+
 log = logging.getLogger(__name__)
 
 # A scorer adds one double column of the given name to a table of features.
@@ -126,13 +129,46 @@ def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str])
 
 # --- scoring -----------------------------------------------------------------
 
-def score_models(df: DataFrame, scorers: Mapping[str, Scorer | Callable[[], Scorer]],
-                 keys: Sequence[str], on_error: str = "raise") -> tuple[DataFrame, dict[str, str]]:
+def save_features(spark: SparkSession, features: Sequence[str], path: str) -> None:
+    spark.createDataFrame(list(enumerate(features)), "i int, feature string") \
+        .coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_features(spark: SparkSession, path: str) -> list[str]:
+    return [r["feature"] for r in spark.read.parquet(path).orderBy("i").collect()]  # one row per feature
+
+
+def load_scorers(spark: SparkSession, folder: str, models: Sequence[str], features: Sequence[str],
+                 on_error: str = "raise") -> tuple[dict[str, Scorer], dict[str, str]]:
+    """Scorers of the named models, and the models skipped with the reason.
+
+    ``{folder}/{model}.dat`` is a pickled estimator, ``{folder}/{model}`` a stored
+    Spark ML pipeline.
+    """
+    scorers: dict[str, Scorer] = {}
+    skipped: dict[str, str] = {}
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dat").load(folder)
+    pickled = {unquote(r["path"]).rsplit("/", 1)[-1] for r in files.select("path").collect()}  # one row per model
+    for model in models:
+        try:
+            scorers[model] = (load_pickled_scorer(spark, f"{folder}/{model}.dat", features) if f"{model}.dat" in pickled
+                              else load_pipeline_scorer(f"{folder}/{model}", features))
+        except Exception as e:
+            if on_error != "skip":
+                raise
+            log.warning("model %s skipped: %s", model, e)
+            skipped[model] = str(e)
+    return scorers, skipped
+
+
+def score_models(df: DataFrame, scorers: Mapping[str, Scorer], keys: Sequence[str],
+                 on_error: str = "raise") -> tuple[DataFrame, dict[str, str]]:
     """Long table (keys, mo, model, share) of every model's score, and the models skipped.
 
     Scorers add columns side by side, so the features are read once; the columns
-    are then turned into rows. With ``on_error="skip"`` a model that cannot be
-    loaded or planned is reported in the second result instead of raising.
+    are then turned into rows. A NaN score counts as missing. With
+    ``on_error="skip"`` a model that cannot be planned is reported in the second
+    result instead of raising.
     """
     added: list[tuple[int, str, str]] = []
     skipped: dict[str, str] = {}
@@ -153,5 +189,5 @@ def score_models(df: DataFrame, scorers: Mapping[str, Scorer | Callable[[], Scor
     if not added:
         raise ValueError("no model could score")
     rows = [v for mo, model, column in added
-            for v in (F.lit(mo), F.lit(model), F.col(column).cast("double"))]
+            for v in (F.lit(mo), F.lit(model), nan_to_null(F.col(column).cast("double")))]
     return wide.select(*keys, F.stack(F.lit(len(added)), *rows).alias("mo", "model", "share")), skipped

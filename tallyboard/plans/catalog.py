@@ -13,8 +13,7 @@ from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.plans import jobs, league
 from tallyboard.session import scratch_path, scratch_table, spread
 from tallyboard.sinks import land, new_rows, overwrite_partitions, write_report_csv, write_table
-from tallyboard.sources import (award_rows, read_dated_ranks, read_player_stats, read_seasons, read_table,
-                                union_seasons)
+from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, union_seasons
 from tallyboard.streaming import append_batches, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,10 +282,9 @@ def rank_evolution(spark, sf_dir):
     top = ranking.top_n(best, ["d"], [F.col("v").desc(), F.col("user_id").asc()], 10)
     path = scratch_path(spark, "ranks")
     write_report_csv(top.select(F.date_format("d", "dd_MM_yyyy").alias("run"), "pos", "user_id"), path, ["run"])
-    dated = read_dated_ranks(spark, path, T.StructType([
-        T.StructField("pos", T.LongType()), T.StructField("user_id", T.LongType())]))
-    return ranking.rank_history(dated, "run_date", [F.col("pos")], "user_id").select(
-        F.col("Date").alias("d"), F.col("Predicted MVP Rank").alias("user_id"), F.col("Rank").alias("rk"))
+    schema = T.StructType([T.StructField("pos", T.LongType()), T.StructField("user_id", T.LongType())])
+    history = jobs.rank_evolution(spark, path, f"{path}-history", player="user_id", schema=schema)
+    return history.select(F.col("Date").alias("d"), F.col("Predicted MVP Rank").alias("user_id"), F.col("Rank").alias("rk"))
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -475,7 +473,7 @@ def score_and_rank_job(spark, sf_dir):
     base = scratch_path(spark, "scored")
     seasons = [str(y) for y in range(1995, 2002)]
     history = jobs.historical_seasons(spark, raw, f"{base}/historical", seasons)
-    snapshot = clean.scoring_names(clean.drop_total_rows(history)).join(league.attributes(spark, sf_dir), "PLAYER", "left")
+    snapshot = jobs.scoring_snapshot(clean.drop_total_rows(history), league.attributes(spark, sf_dir))
     layout = {k: v for k, v in S.REPORT_COLUMNS.items() if k not in ("Minutes", "AST", "STL", "BLK", "3P%", "FT%")}
     scorers = {m: scoring.expression_scorer(e) for m, e in zip(S.MODELS, _JOB_SCORES, strict=True)}
     return jobs.score_and_rank(snapshot, scorers, f"{base}/out", by=["season"], layout=layout)

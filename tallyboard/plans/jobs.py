@@ -12,7 +12,8 @@ from tallyboard import schemas as S
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.session import scratch_table
 from tallyboard.sinks import append_jdbc, overwrite_partitions, write_rank_csv, write_report_csv, write_table
-from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_standings, read_table
+from tallyboard.sources import (award_rows, read_dated_ranks, read_player_stats, read_seasons, read_standings,
+                                read_table)
 from tallyboard.streaming import BatchSink, ingest_new_files
 
 log = logging.getLogger(__name__)
@@ -69,7 +70,9 @@ def training_set(spark: SparkSession, history: str, awards: str, out: str,
     stats = clean.drop_total_rows(read_seasons(spark, history, seasons)).drop(_YEAR)
     votes = read_table(spark, awards, S.AWARD_SCHEMA)
     if not quality.names_match(votes, stats, labels, strict):
-        raise quality.QualityError("not all award players occur in the stats")
+        missing = quality.missing_players(votes, stats).limit(20).collect()
+        raise quality.QualityError("not all award players occur in the stats, such as "
+                                   + ", ".join(f"{r['Player']} {r['award_season']}" for r in missing))
     labelled, counts = clean.observed(joins.with_awards(stats, votes), "training_set", ["Share"])
     write_table(clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES), out)
     log.info("%s rows, %s of them with a share", counts.get["rows"], counts.get["Share"])
@@ -89,6 +92,12 @@ def ingest_stream(spark: SparkSession, folder: str, schema: T.StructType, checkp
     ingest_new_files(spark, folder, schema, checkpoint, sink, glob).awaitTermination()
 
 
+def scoring_snapshot(landed: DataFrame, attributes: DataFrame) -> DataFrame:
+    """A landed snapshot under the scoring job's names, with the players' attributes joined."""
+    return joins.key_join(clean.scoring_names(landed), joins.broadcast_if_small(attributes),
+                          ["PLAYER"], ["PLAYER"], "left")
+
+
 def scored_candidates(snapshot: DataFrame, scaler: scoring.Scaler | None,
                       scorers: Mapping[str, scoring.Scorer], by: Sequence[str] = (),
                       on_error: str = "raise", **projection) -> tuple[DataFrame, DataFrame, dict[str, str]]:
@@ -149,3 +158,15 @@ def final_report(final: DataFrame, stats: DataFrame, by: Sequence[str] = (),
     joined = joins.key_join(final, stats, keys, keys, "left")
     return clean.report_columns(joined.withColumnRenamed("final_rank", S.REPORT_RANK), layout,
                                 [*by, S.REPORT_RANK])
+
+
+def rank_evolution(spark: SparkSession, ranks: str, out: str, order: str = "pos",
+                   player: str = "MVP RANK FINAL", **reading) -> DataFrame:
+    """Collect the rank files of all dated runs into one history, landed by date.
+
+    Only the runs found are replaced, so the history can grow run by run.
+    """
+    dated = read_dated_ranks(spark, ranks, **reading)
+    history = ranking.rank_history(dated, "run_date", [F.col(order).cast("int")], player)
+    overwrite_partitions(history, out, ["Date"])
+    return read_table(spark, out)

@@ -68,7 +68,8 @@ def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give a Python stage all cores when its input comes in fewer pieces than that.
 
-    Large inputs come in more pieces and are left as they are.
+    Large inputs come in more pieces and are left as they are. Meant for a table
+    scan: counting the pieces of a plan with shuffles would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def read_dated_ranks(spark: SparkSession, path: str, schema: T.StructType,
+def read_dated_ranks(spark: SparkSession, path: str, schema: T.StructType | None = None,
                      pattern: str = r"(\d{2}_\d{2}_\d{4})", date_format: str = "dd_MM_yyyy",
                      date: str = "run_date") -> DataFrame:
-    """CSV rank files of many runs; each row's date is taken from its file's path."""
-    files = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path)
+    """CSV rank files of many runs; each row's date is taken from its file's path.
+
+    Without a schema the header names the columns and all of them are text.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    files = reader.option("header", True).option("recursiveFileLookup", True).csv(path)
     text = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
     return files.withColumn(date, F.to_date(text, date_format))

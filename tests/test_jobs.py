@@ -110,7 +110,7 @@ def test_history_awards_and_training_set(spark, raw, make, caplog):
 
 def test_an_unknown_award_player_stops_the_training_set(spark, raw, make):
     base, seasons, _, _ = history(spark, raw, make, award_page(2007, ("1", "Nobody", 0.5)))
-    with pytest.raises(quality.QualityError, match="award players"):
+    with pytest.raises(quality.QualityError, match="such as Nobody 2006-07"):
         jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", seasons)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_table(spark, f"{base}/processed")
@@ -221,3 +221,22 @@ def test_candidate_bounds_reach_the_landed_scan(spark, raw, plan):
     text = plan(clean.candidates(clean.scoring_names(landed), {"PTS_PERGAME": 13.5}, {"SEED": 16}).select("PLAYER"))
     assert "GreaterThan(PTS_per_game,13.5)" in text and "LessThanOrEqual(Seed,16)" in text
     assert "FG%" not in text.split("ReadSchema")[1]
+
+
+def test_rank_evolution_grows_run_by_run(spark, make):
+    from tallyboard.sinks import write_rank_csv
+    path, out = scratch_path(spark, "ranks"), scratch_path(spark, "history")
+    for day in ("31_01_2024", "01_02_2024"):
+        wide = make([(2, "B", "x"), (1, "A", day)], "pos int, `MVP RANK FINAL` string, other string")
+        write_rank_csv(wide, f"{path}/rank_{day}")
+        for _ in range(2):
+            got = jobs.rank_evolution(spark, path, out)
+    assert got.columns == ["Rank", "Predicted MVP Rank", "Date"]
+    assert rows(got.selectExpr("Rank", "`Predicted MVP Rank`", "date_format(Date, 'dd/MM/yyyy')")) == [
+        (1, "A", "01/02/2024"), (1, "A", "31/01/2024"), (2, "B", "01/02/2024"), (2, "B", "31/01/2024")]
+
+
+def test_scoring_snapshot_joins_attributes(make):
+    landed = make([("A", "UTA", 10), ("B", "BOS", 5)], "Player string, Tm string, PTS_totals int")
+    got = jobs.scoring_snapshot(landed, make([("A", 200.0)], "PLAYER string, HEIGHT double"))
+    assert rows(got) == sorted([("A", "UTA", 10, 200.0), ("B", "BOS", 5, None)], key=repr)

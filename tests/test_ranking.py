@@ -149,3 +149,12 @@ def test_one_row_per_player(make):
     df = make([("a", "X", 10), ("a", "Y", 20), ("a", "Z", 20), ("b", "X", 1)], "p string, t string, g int")
     got = ranking.one_row_per_player(df, ["p"], [F.col("g").desc(), F.col("t").asc()])
     assert rows(got) == [("a", "Y", 20), ("b", "X", 1)]
+
+
+def test_missing_shares_come_last_and_add_nothing(make):
+    df = make([(0, "SVM", "a", None), (0, "SVM", "b", 0.1), (1, "Random Forest", "a", None), (1, "Random Forest", "c", 0.2)],
+              "mo int, model string, player string, share double")
+    top = ranking.top_models(df, 2)
+    assert rows(top.select("model", "player", "pos")) == [
+        ("Random Forest", "a", 2), ("Random Forest", "c", 1), ("SVM", "a", 2), ("SVM", "b", 1)]
+    assert rows(ranking.consensus(top)) == [(1, "c"), (2, "a")]

@@ -91,3 +91,24 @@ def test_too_large_a_model_is_refused(spark, monkeypatch):
     monkeypatch.setattr(scoring, "MODEL_BYTES", 3)
     with pytest.raises(ValueError, match="above the bound"):
         scoring.pickled_scorer(spark, b"1234", FEATURES)
+
+
+def test_scorers_load_by_model_name(spark, table, tmp_path):
+    (tmp_path / "Random Forest.dat").write_bytes(pickle.dumps(SimpleNamespace(predict=operator.methodcaller("sum", axis=1))))
+    with pytest.raises(Exception):
+        scoring.load_scorers(spark, str(tmp_path), ["SVM", "Random Forest"], FEATURES)
+    scorers, skipped = scoring.load_scorers(spark, str(tmp_path), ["SVM", "Random Forest"], FEATURES, on_error="skip")
+    assert list(scorers) == ["Random Forest"] and list(skipped) == ["SVM"]
+    assert scoring.score_models(table, scorers, ["PLAYER"])[0].count() == 20
+
+
+def test_feature_lists_keep_their_order(spark):
+    path = scratch_path(spark, "features")
+    scoring.save_features(spark, ["b", "a", "WS/48_ADVANCED"], path)
+    assert scoring.load_features(spark, path) == ["b", "a", "WS/48_ADVANCED"]
+
+
+def test_nan_scores_count_as_missing(make):
+    df = make([("a", float("nan")), ("b", 1.0)], "PLAYER string, x double")
+    got, _ = scoring.score_models(df, {"m": scoring.expression_scorer("x")}, ["PLAYER"])
+    assert rows(got) == sorted([("a", 0, "m", None), ("b", 0, "m", 1.0)], key=repr)
