@@ -11,8 +11,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tallyboard import schemas as S
-from tallyboard.functions import (above, differs, nan_to_null, not_in, np_round, required,
-                                  season_label, strip_marker)
+from tallyboard.functions import above, differs, not_in, np_round, required, season_label, strip_marker
 
 log = logging.getLogger(__name__)
 
@@ -75,30 +74,14 @@ def add_season(df: DataFrame, year: str | Column) -> DataFrame:
     return df.withColumn("season", season_label(F.lit(year) if isinstance(year, str) else year))
 
 
-def _zero(data_type: T.DataType) -> Column | None:
-    if isinstance(data_type, T.StringType):
-        return F.lit("0")
-    if isinstance(data_type, T.NumericType):
-        return F.lit(0).cast(data_type)
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.lit("1970-01-01").cast(data_type)
-    return None
-
-
-def _missing_to_null(field: T.StructField) -> Column:
-    floating = isinstance(field.dataType, (T.DoubleType, T.FloatType))
-    return nan_to_null(F.col(f"`{field.name}`")) if floating else F.col(f"`{field.name}`")
-
-
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null and NaN to zero (text: ``"0"``, time: the epoch); all columns by default."""
-    wanted = set(df.columns if columns is None else columns)
-    out = []
-    for field in df.schema.fields:
-        zero = _zero(field.dataType) if field.name in wanted else None
-        c = F.col(f"`{field.name}`") if zero is None else F.coalesce(_missing_to_null(field), zero)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+    wanted = list(df.columns if columns is None else columns)
+    times = [f.name for f in df.schema.fields if f.name in wanted
+             and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    filled = df.na.fill(0, wanted).na.fill("0", wanted)
+    return filled.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("1970-01-01").cast(df.schema[c].dataType))
+                               for c in times}) if times else filled
 
 
 def enforce_types(df: DataFrame, column_types: Mapping[str, str], fill: str = "declared",
@@ -115,9 +98,8 @@ def enforce_types(df: DataFrame, column_types: Mapping[str, str], fill: str = "d
             log.info("column %r not found", name)
     filled = fill_zero(df, None if fill == "all" else [c for c in df.columns if c in column_types])
     targets = {**cast_only, **column_types}
-    return filled.select(*[
-        F.col(f"`{c}`").cast(targets[c]).alias(c) if c in targets else F.col(f"`{c}`")
-        for c in df.columns])
+    return filled.selectExpr(*[f"CAST(`{c}` AS {targets[c]}) AS `{c}`" if c in targets else f"`{c}`"
+                               for c in df.columns])
 
 
 def fill_share(df: DataFrame) -> DataFrame:

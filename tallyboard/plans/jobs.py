@@ -38,9 +38,14 @@ def current_snapshot(spark: SparkSession, raw: str, out: str, season: str, at: d
     stats = _season_stats(spark, raw, [season])
     stats = clean.add_season(clean.add_snapshot_date(stats, at), F.col(_YEAR)).drop(_YEAR)
     stats = clean.enforce_types(stats, S.COLUMN_TYPES)
-    day = at.strftime("%Y_%m_%d")
-    overwrite_partitions(stats.withColumn("snapshot_day", F.lit(day)), out, ["snapshot_day"], gather=False)
-    return read_table(spark, out).where(F.col("snapshot_day") == day)
+    stats = stats.withColumn("snapshot_day", F.lit(at.strftime("%Y_%m_%d")))
+    overwrite_partitions(stats, out, ["snapshot_day"], gather=False)
+    return snapshot_of(spark, out, at.strftime("%Y_%m_%d"), stats.schema)
+
+
+def snapshot_of(spark: SparkSession, out: str, day: str, schema: T.StructType | None = None) -> DataFrame:
+    """One landed day; the other days' files are not opened."""
+    return read_table(spark, out, schema).where(F.col("snapshot_day") == day)
 
 
 def historical_seasons(spark: SparkSession, raw: str, out: str, seasons: Iterable[str | int]) -> DataFrame:
@@ -48,8 +53,9 @@ def historical_seasons(spark: SparkSession, raw: str, out: str, seasons: Iterabl
     seasons = [str(s) for s in seasons]
     stats = clean.fill_zero(_season_stats(spark, raw, seasons))
     stats = clean.add_season(stats, F.col(_YEAR))
-    overwrite_partitions(clean.enforce_types(stats, S.COLUMN_TYPES, fill="all"), out, [_YEAR])
-    return read_seasons(spark, out, seasons)
+    stats = clean.enforce_types(stats, S.COLUMN_TYPES, fill="all")
+    overwrite_partitions(stats, out, [_YEAR])
+    return read_seasons(spark, out, seasons, stats.schema)
 
 
 def award_votes(pages: DataFrame, out: str) -> DataFrame:
@@ -74,16 +80,16 @@ def training_set(spark: SparkSession, history: str, awards: str, out: str,
         raise quality.QualityError("not all award players occur in the stats, such as "
                                    + ", ".join(f"{r['Player']} {r['award_season']}" for r in missing))
     labelled, counts = clean.observed(joins.with_awards(stats, votes), "training_set", ["Share"])
-    write_table(clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES), out)
+    typed = clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES)
+    write_table(typed, out)
     log.info("%s rows, %s of them with a share", counts.get["rows"], counts.get["Share"])
-    return read_table(spark, out)
+    return read_table(spark, out, typed.schema)
 
 
 def ingest_batch(spark: SparkSession, snapshots: str, day: str, url: str, table: str,
                  properties: Mapping[str, str] | None = None) -> None:
     """Append one landed day to the relational table."""
-    append_jdbc(read_table(spark, snapshots).where(F.col("snapshot_day") == day).drop("snapshot_day"),
-                url, table, properties)
+    append_jdbc(snapshot_of(spark, snapshots, day).drop("snapshot_day"), url, table, properties)
 
 
 def ingest_stream(spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str, sink: BatchSink,
@@ -126,8 +132,9 @@ def score_and_rank(snapshot: DataFrame, scorers: Mapping[str, scoring.Scorer], o
     projected, scores, skipped = scored_candidates(snapshot, scaler, scorers, by, on_error, **projection)
     models = [m for m in scorers if m not in skipped]
     # Ranks are written before they are used twice: n rows per model and run.
-    write_table(ranking.top_models(scores, n, by, "PLAYER"), f"{out}/top")
-    top = read_table(spark, f"{out}/top")
+    best = ranking.top_models(scores, n, by, "PLAYER")
+    write_table(best, f"{out}/top")
+    top = read_table(spark, f"{out}/top", best.schema)
     final = ranking.consensus(top, by, "PLAYER", n)
     wide = ranking.wide_ranks(top, models, by, "PLAYER").join(
         final.select(*by, F.col("final_rank").alias("pos"), F.col("PLAYER").alias("MVP RANK FINAL")),
