@@ -8,11 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard import schemas as S
-from tallyboard.functions import np_round, rank_text, season_label
+from tallyboard.functions import np_round, rank_text
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.plans import jobs, league
-from tallyboard.session import scratch_path, scratch_table, spread
-from tallyboard.sinks import land, new_rows, overwrite_partitions, write_report_csv, write_table
+from tallyboard.session import scratch_path, spread
+from tallyboard.sinks import append_new, append_table, land, overwrite_partitions, write_report_csv, write_table
 from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, union_seasons
 from tallyboard.streaming import append_batches, ingest_new_files
 
@@ -59,7 +59,7 @@ def null_safe_exclusion(spark, sf_dir):
 @register("SELECT o_orderkey, CAST(year(o_orderdate)-1 AS VARCHAR) || '-' || "
           "substr(CAST(year(o_orderdate) AS VARCHAR),3) AS season, "
           "TIMESTAMP '2024-01-31 10:00:00' AS snapshot_date FROM orders")
-def season_label_and_date(spark, sf_dir):
+def season_label(spark, sf_dir):
     df = table(spark, sf_dir, "orders")
     df = clean.add_season(df, F.year("o_orderdate"))
     return clean.add_snapshot_date(df, datetime(2024, 1, 31, 10)).select("o_orderkey", "season", "snapshot_date")
@@ -362,7 +362,7 @@ def append_twice(spark, sf_dir):
     path = scratch_path(spark, "appended")
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     for _ in range(2):
-        rows.write.mode("append").parquet(path)
+        append_table(rows, path)
     return read_table(spark, path)
 
 
@@ -372,8 +372,7 @@ def append_new_rows(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     rows = customer.select("c_custkey", "c_name")
     write_table(customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name"), path)
-    # The new rows are fixed in a table of their own before the target changes.
-    scratch_table(new_rows(rows, read_table(spark, path), ["c_custkey"]), "new_rows").write.mode("append").parquet(path)
+    append_new(rows, path, ["c_custkey"])
     return read_table(spark, path)
 
 

@@ -1,5 +1,6 @@
-from tallyboard.sinks.files import (land, overwrite_partitions, write_rank_csv, write_report_csv, write_table)
+from tallyboard.sinks.files import (append_new, append_table, land, overwrite_partitions, write_rank_csv,
+                                    write_report_csv, write_table)
 from tallyboard.sinks.relational import DatabaseWriteError, append_jdbc, existing_keys, new_rows
 
-__all__ = ["DatabaseWriteError", "append_jdbc", "existing_keys", "land", "new_rows", "overwrite_partitions",
-           "write_rank_csv", "write_report_csv", "write_table"]
+__all__ = ["DatabaseWriteError", "append_jdbc", "append_new", "append_table", "existing_keys", "land", "new_rows",
+           "overwrite_partitions", "write_rank_csv", "write_report_csv", "write_table"]

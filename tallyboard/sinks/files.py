@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyboard.session import scratch_table
+from tallyboard.sinks.relational import new_rows
+
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a whole table. Write errors surface."""
@@ -32,6 +35,21 @@ def land(df: DataFrame, path: str, by: Sequence[str]) -> None:
     _gathered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def append_table(df: DataFrame, path: str) -> None:
+    """Append all rows. There is no key: a second run appends them again."""
+    df.write.mode("append").parquet(path)
+
+
+def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Append only the rows whose key the table does not hold yet, so a second run adds nothing.
+
+    The new rows are written aside first: they are found by reading the table
+    that is about to change.
+    """
+    held = df.sparkSession.read.parquet(path)
+    append_table(scratch_table(new_rows(df, held, keys), "new_rows"), path)
+
+
 def _write_csv(df: DataFrame, path: str, by: Sequence[str]) -> None:
     # Top-n tables: one small file per run. Without run columns it is a single run.
     df = df.repartition(*by) if by else df.coalesce(1)

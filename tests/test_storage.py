@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, functions as F, types as T
 
 from tallyboard import session
-from tallyboard.sinks import (DatabaseWriteError, append_jdbc, existing_keys, land, new_rows, overwrite_partitions,
+from tallyboard.sinks import (DatabaseWriteError, append_jdbc, append_new, append_table, existing_keys, land, new_rows, overwrite_partitions,
                               write_rank_csv, write_report_csv, write_table)
 from tallyboard.sources import (read_dated_ranks, read_player_stats, read_seasons, read_standings, read_table,
                                 union_seasons)
@@ -30,6 +30,17 @@ def test_write_table_replaces_and_special_names_survive(spark, make):
     assert read_table(spark, path).columns == df.columns and read_table(spark, path).count() == 1
 
 
+def test_append_twice_doubles_and_append_new_does_not(spark, make):
+    path = session.scratch_path(spark, "appended")
+    df = make([("a", None), ("b", "X")], "Player string, Tm string")
+    append_table(df, path)
+    append_new(df.union(make([("c", None)], "Player string, Tm string")), path, ["Player", "Tm"])
+    append_new(df, path, ["Player", "Tm"])
+    assert rows(read_table(spark, path)) == sorted([("a", None), ("b", "X"), ("c", None)], key=repr)
+    append_table(df, path)
+    assert read_table(spark, path).count() == 5
+
+
 def test_season_reads_prune_partitions(spark, plan):
     base = session.scratch_path(spark, "raw")
     df = spark.range(60).selectExpr("id", "2000 + id % 3 AS season_year")
