@@ -66,8 +66,11 @@ def clean_standings(df: DataFrame, season_keys: Sequence[str] = ()) -> DataFrame
 
 
 def add_snapshot_date(df: DataFrame, at: datetime) -> DataFrame:
-    """The run's timestamp is a job parameter, so a re-run gives the same rows."""
-    return df.withColumn("snapshot_date", F.lit(at).cast("timestamp_ntz"))
+    """The run's timestamp is a job parameter, so a re-run gives the same rows.
+
+    It goes in as text: a timestamp literal would pass through two time zones.
+    """
+    return df.withColumn("snapshot_date", F.lit(at.isoformat(" ")).cast("timestamp_ntz"))
 
 
 def add_season(df: DataFrame, year: str | Column) -> DataFrame:

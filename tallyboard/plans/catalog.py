@@ -14,7 +14,7 @@ from tallyboard.plans import jobs, league
 from tallyboard.session import scratch_path, spread
 from tallyboard.sinks import append_new, append_table, land, overwrite_partitions, write_report_csv, write_table
 from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, union_seasons
-from tallyboard.streaming import append_batches, ingest_new_files
+from tallyboard.streaming import append_batches, event_keys, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,6 +386,19 @@ def stream_file_ingest(spark, sf_dir):
     return read_table(spark, out).select("event_id", "user_id", "event_type", "value")
 
 
+@register("SELECT 'data/raw/players/' || event_type || ' ' || event_id || '.parquet' AS key FROM events "
+          "UNION ALL SELECT 'data/raw/players/day=' || CAST(ts AS DATE) || '.parquet' FROM events")
+def event_object_keys(spark, sf_dir):
+    def record(*name):
+        key = F.concat(F.lit("data/raw/"), *[F.url_encode(n.cast("string")) for n in name], F.lit(".parquet"))
+        return F.struct(F.struct(F.struct(key.alias("key")).alias("object")).alias("s3"))
+    notices = table(spark, sf_dir, "events").select(F.to_json(F.struct(F.array(
+        record(F.concat(F.lit("players/"), "event_type", F.lit(" "), F.col("event_id").cast("string"))),
+        record(F.concat(F.lit("players/day="), F.to_date("ts").cast("string"))),
+        record(F.concat(F.lit("other/"), F.col("event_id").cast("string")))).alias("Records"))).alias("event"))
+    return event_keys(notices)
+
+
 # --- jobs --------------------------------------------------------------------
 
 def _sql_list(values):
@@ -422,18 +435,41 @@ def current_snapshot_job(spark, sf_dir):
         "PER_advanced", "W_team", "W/L%_team", "Seed", "season", "snapshot_date")
 
 
-@register(f"""WITH {_LEAGUE},
-votes AS (SELECT season_year, player, round_even(max(pts)/1000,3) AS share FROM sums WHERE tm<>'TOT' GROUP BY 1,2
-  QUALIFY row_number() OVER (PARTITION BY season_year ORDER BY max(pts) DESC, player)<=15)
+_SEASONS = [str(y) for y in range(1995, 2002)]
+
+
+@register(f"""WITH {_LEAGUE}
+SELECT name AS "Player", tm AS "Tm", g AS "G_advanced", mp AS "MP_totals", mp_pg AS "MP_per_game", trb_pg AS "TRB_per_game",
+  vorp AS "VORP_advanced", coalesce(l,0) AS "L_team", coalesce(seed,0) AS "Seed", season FROM stats""")
+def historical_seasons_job(spark, sf_dir):
+    raw, _ = league.land_raw(spark, sf_dir)
+    return jobs.historical_seasons(spark, raw, scratch_path(spark, "historical"), _SEASONS).select(
+        "Player", "Tm", "G_advanced", F.col("FGA_totals").alias("MP_totals"), "MP_per_game", "TRB_per_game", "VORP_advanced",
+        "L_team", "Seed", "season")
+
+
+_VOTES = """
+votes AS (SELECT season_year, player, round_even(max(pts)/1000,3) AS share,
+  row_number() OVER (PARTITION BY season_year ORDER BY max(pts) DESC, player) AS place
+  FROM sums WHERE tm<>'TOT' GROUP BY 1,2 QUALIFY place<=15)"""
+
+
+@register(f"""WITH {_LEAGUE}, {_VOTES}
+SELECT CAST(place AS VARCHAR) AS "Rank", 'Player ' || player AS "Player", share AS "Share",
+  CAST(season_year-1 AS VARCHAR) || '-' || substr(CAST(season_year AS VARCHAR),3) AS award_season FROM votes""")
+def award_votes_job(spark, sf_dir):
+    return jobs.award_votes(league.award_pages(league.player_seasons(spark, sf_dir)), scratch_path(spark, "awards"))
+
+
+@register(f"""WITH {_LEAGUE}, {_VOTES}
 SELECT name AS "Player", tm AS "Tm", season, pts AS "PTS_totals", seed AS "Seed", coalesce(share,0) AS "Share"
 FROM stats LEFT JOIN votes USING(season_year, player) WHERE tm<>'TOT'""")
 def training_set_job(spark, sf_dir):
     raw, rows = league.land_raw(spark, sf_dir)
     base = scratch_path(spark, "training")
-    seasons = [str(y) for y in range(1995, 2002)]
-    jobs.historical_seasons(spark, raw, f"{base}/historical", seasons)
+    jobs.historical_seasons(spark, raw, f"{base}/historical", _SEASONS)
     jobs.award_votes(league.award_pages(rows), f"{base}/awards")
-    return jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", seasons, strict=True).select(
+    return jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", _SEASONS, strict=True).select(
         "Player", "Tm", "season", "PTS_totals", "Seed", "Share")
 
 
@@ -470,8 +506,7 @@ LEFT JOIN supplier u ON u.s_suppkey=p.player WHERE s.pos>0""")
 def score_and_rank_job(spark, sf_dir):
     raw, _ = league.land_raw(spark, sf_dir)
     base = scratch_path(spark, "scored")
-    seasons = [str(y) for y in range(1995, 2002)]
-    history = jobs.historical_seasons(spark, raw, f"{base}/historical", seasons)
+    history = jobs.historical_seasons(spark, raw, f"{base}/historical", _SEASONS)
     snapshot = jobs.scoring_snapshot(clean.drop_total_rows(history), league.attributes(spark, sf_dir))
     layout = {k: v for k, v in S.REPORT_COLUMNS.items() if k not in ("Minutes", "AST", "STL", "BLK", "3P%", "FT%")}
     scorers = {m: scoring.expression_scorer(e) for m, e in zip(S.MODELS, _JOB_SCORES, strict=True)}

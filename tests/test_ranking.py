@@ -92,6 +92,11 @@ def test_consensus_keeps_snapshots_apart(make):
     assert rows(got) == [(1, "ABCDE"), (2, "BACDE")]
 
 
+def test_consensus_shuffles_once_per_run_column(spark, make, plan):
+    df = make([(1, *r) for r in golden()], "day int, " + BALLOT)
+    assert plan(ranking.consensus(df, ["day"]), "simple").count("Exchange") == 1
+
+
 def test_consensus_special_cases(make):
     # Everyone named at position 2 is chosen at position 1 already.
     taken = [(0, "SVM", "a", 1, 0.9), (0, "SVM", "a", 2, 0.8)]
