@@ -16,7 +16,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with at least this many rows is joined apart from the others.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 64
-SKETCH_ITEMS = 10_000
+
+# Frequent keys are sketched in separate buckets of the key space, so that the sketches
+# of many tasks are merged by many tasks, too.
+SKETCH_BUCKETS = 64
+SKETCH_ITEMS = 1_024
 
 
 def _name(c: str) -> Column:
@@ -55,11 +59,16 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataTyp
                    hot_rows: int | None = None) -> list[int]:
     """Hashes of the keys that own at least ``hot_rows`` rows: at most HOT_KEYS of them.
 
-    A frequent-items sketch of fixed size per task; only the key columns are read.
+    Frequent-items sketches of fixed size per task; only the key columns are read
+    and at most HOT_KEYS rows reach the driver. Which keys are found decides how
+    rows travel, never what a join returns.
     """
     hashed = df.select(_key_hash(df, keys, types).alias("h"))
-    top = hashed.agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")).first()["top"]
-    return [t["item"] for t in top or [] if t["count"] >= (HOT_ROWS if hot_rows is None else hot_rows)]
+    buckets = hashed.groupBy(F.pmod(F.col("h"), F.lit(SKETCH_BUCKETS)).alias("bucket")).agg(
+        F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
+    found = buckets.select(F.explode("top").alias("t")).select("t.item", "t.count").where(
+        F.col("count") >= F.lit(HOT_ROWS if hot_rows is None else hot_rows))
+    return [r["item"] for r in found.orderBy(F.col("count").desc()).limit(HOT_KEYS).collect()]
 
 
 def key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
