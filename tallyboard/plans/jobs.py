@@ -12,8 +12,8 @@ from tallyboard import schemas as S
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.session import scratch_table
 from tallyboard.sinks import append_jdbc, overwrite_partitions, write_rank_csv, write_report_csv, write_table
-from tallyboard.sources import (award_rows, read_dated_ranks, read_player_stats, read_seasons, read_standings,
-                                read_table)
+from tallyboard.sources import (award_rows, read_awards, read_dated_ranks, read_player_stats, read_seasons,
+                                read_standings, read_table)
 from tallyboard.streaming import BatchSink, ingest_new_files
 
 log = logging.getLogger(__name__)
@@ -74,7 +74,7 @@ def training_set(spark: SparkSession, history: str, awards: str, out: str,
     seasons = [str(s) for s in seasons]
     labels = [f"{int(s[:4]) - 1}-{s[2:4]}" for s in seasons]
     stats = clean.drop_total_rows(read_seasons(spark, history, seasons)).drop(_YEAR)
-    votes = read_table(spark, awards, S.AWARD_SCHEMA)
+    votes = read_awards(spark, awards)
     if not quality.names_match(votes, stats, labels, strict):
         missing = quality.missing_players(votes, stats).limit(20).collect()
         raise quality.QualityError("not all award players occur in the stats, such as "

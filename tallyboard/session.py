@@ -54,6 +54,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: list[str] = []
+
+
 def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write once, read back: later stages restart from files, not from the whole lineage.
 
@@ -61,10 +64,18 @@ def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
     the columns it uses.
     """
     path = scratch_path(df.sparkSession, name)
+    _scratch.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this process, once no result that reads them is needed."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a Python stage all cores when its input comes in fewer pieces than that.
 

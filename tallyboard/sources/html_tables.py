@@ -27,6 +27,7 @@ _MARKUP = re.compile(
     r"<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|"
     r"<(/?)([a-z][a-z0-9]*)\b" + _ATTRIBUTES + ">", re.S | re.I)
 _SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?(\d+)", re.I)
+_HIDDEN = re.compile(r"style\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
 _MAX_SPAN = 1000  # the HTML standard's own bound for colspan
 _BREAKS = {"br", "p", "div", "li"}
 
@@ -45,39 +46,46 @@ class _Cell:
 
 
 def _rows_of_first_table(page: str) -> list[tuple[bool, list[_Cell]]] | None:
-    """Rows (in a head section?, cells) of the first table; None when there is no table.
+    """Rows (in a head section?, cells) of the first shown table; None when there is no table.
 
     End tags of cells and rows may be missing. A table inside a cell counts as
-    that cell's text.
+    that cell's text. Tables, rows and cells styled away are left out.
     """
-    rows: list[tuple[bool, list[_Cell]]] = []
-    depth, in_head, cell, at = 0, False, None, 0
+    rows: list[tuple[bool, list[_Cell]]] | None = None
+    depth, at = 0, 0
+    in_head = hidden_table = hidden_row = False
+    cell: _Cell | None = None
     for m in _MARKUP.finditer(page):
         if cell is not None:
             cell.parts.append(page[at:m.start()])
         at = m.end()
-        tag = (m[2] or "").lower()
-        closing = m[1] == "/"
-        if tag == "table":
-            depth += -1 if closing and depth else 0 if closing else 1
-            if closing and depth == 0:
+        tag, closing = (m[2] or "").lower(), m[1] == "/"
+        if tag == "table" and not closing:
+            if depth == 0:
+                rows, cell, hidden_table = [], None, _HIDDEN.search(m[3]) is not None
+            depth += 1
+        elif tag == "table" and depth:
+            depth -= 1
+            if depth == 0 and not hidden_table:
                 return rows
+            rows = None if depth == 0 else rows
         elif depth == 1 and tag in ("thead", "tbody", "tfoot"):
             in_head, cell = tag == "thead" and not closing, None
         elif depth == 1 and tag == "tr":
             cell = None
             if not closing:
+                hidden_row = _HIDDEN.search(m[3]) is not None
                 rows.append((in_head, []))
         elif depth == 1 and tag in ("td", "th"):
             cell = None
-            if not closing:
+            if not closing and not hidden_row and not _HIDDEN.search(m[3]):
                 if not rows:
                     rows.append((in_head, []))
                 cell = _Cell(tag == "th", m[3])
                 rows[-1][1].append(cell)
         elif cell is not None and tag in _BREAKS:
             cell.parts.append(" ")
-    return rows if depth or rows else None
+    return None if hidden_table else rows
 
 
 def parse_first_table(page: str) -> tuple[list[str], list[list[str]]] | None:
@@ -168,5 +176,6 @@ def award_rows(pages: DataFrame, url: str = "url", html: str = "html",
     rows = first_tables(dated, ["__year", *keys], ["Rank", "Player", "Share"], html, on_missing)
     return rows.select(
         *keys, rank_text(F.col("Rank")).alias("Rank"), "Player",
-        F.nullif(F.trim("Share"), F.lit("")).cast("double").alias("Share"),
+        # Thousands separators are dropped.
+        F.nullif(F.trim(F.translate("Share", ",", "")), F.lit("")).cast("double").alias("Share"),
         season_label(F.col("__year")).alias("award_season"))

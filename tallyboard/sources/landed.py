@@ -43,6 +43,12 @@ def read_standings(spark: SparkSession, base: str, seasons: Iterable[str | int],
     return read_seasons(spark, f"{base}/standings", seasons, schema)
 
 
+def read_awards(spark: SparkSession, path: str) -> DataFrame:
+    """Landed award votes. A season column named ``Season`` would collide with the stats' ``season``."""
+    votes = read_table(spark, path).withColumnRenamed("Season", "award_season")
+    return votes.select(*S.AWARD_SCHEMA.names)
+
+
 def union_seasons(tables: Sequence[DataFrame]) -> DataFrame:
     """All rows of several tables, columns matched by name, absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

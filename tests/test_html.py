@@ -46,6 +46,11 @@ def test_bad_share_raises(make):
         award_rows(pages).collect()
 
 
+def test_share_with_thousands_separator(make):
+    pages = make([("awards_2007", PAGE.replace("0.915", "1,234.5"))], "url string, html string")
+    assert max(r.Share for r in award_rows(pages).collect()) == 1234.5
+
+
 def test_keys_and_row_numbers(make):
     pages = make([(7, PAGE)], "id long, html string")
     assert rows(first_tables(pages, ["id"], ["PTS", "Rank"])) == [(7, 0, "27.1", "1"), (7, 1, "20.0", "10T")]
@@ -63,6 +68,9 @@ def test_keys_and_row_numbers(make):
     ("<table><thead><tr><th>a</th></tr></thead><tr><th>1</th></tr></table>", ["a"], [["1"]]),
     ("<table><tr><th>a</th></tr><tr><td>1</td></tr>", ["a"], [["1"]]),
     ("<table></table>", [], []),
+    ("<table style='display: none'><tr><td>x</td></tr></table><table><tr><th>a</th></tr><tr><td>1</td></tr></table>", ["a"], [["1"]]),
+    ('<table><tr><th>a</th><th style="display:none">h</th></tr><tr style="DISPLAY:NONE"><td>0</td></tr><tr><td>1</td></tr></table>',
+     ["a"], [["1"]]),
 ])
 def test_parse(html, header, body):
     assert parse_first_table(html) == (header, body)
@@ -70,3 +78,4 @@ def test_parse(html, header, body):
 
 def test_parse_without_table():
     assert parse_first_table("<p>text</p>") is None
+    assert parse_first_table("</table><table style='display:none'><tr><td>x") is None

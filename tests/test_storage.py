@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, functions a
 from tallyboard import session
 from tallyboard.sinks import (DatabaseWriteError, append_jdbc, append_new, append_table, existing_keys, land, new_rows, overwrite_partitions,
                               write_rank_csv, write_report_csv, write_table)
-from tallyboard.sources import (read_dated_ranks, read_player_stats, read_seasons, read_standings, read_table,
+from tallyboard.sources import (read_awards, read_dated_ranks, read_player_stats, read_seasons, read_standings, read_table,
                                 union_seasons)
 from tallyboard.streaming import append_batches, append_new_to_jdbc, event_keys, ingest_new_files
 
@@ -59,6 +59,14 @@ def test_season_labels_select_by_their_first_year(spark):
     assert rows(read_seasons(spark, path, ["2007", "2008-09"])) == [(1, 2007), (2, 2008)]
 
 
+def test_awards_are_read_under_either_season_name(spark, make):
+    for name in ("Season", "award_season"):
+        path = session.scratch_path(spark, "awards")
+        write_table(make([("1", "a", 0.5, "2006-07")], f"Rank string, Player string, Share double, {name} string"), path)
+        got = read_awards(spark, path)
+        assert got.columns == ["Rank", "Player", "Share", "award_season"] and rows(got) == [("1", "a", 0.5, "2006-07")]
+
+
 def test_union_seasons_aligns_names(make):
     got = union_seasons([make([(1, "a")], "x int, y string"), make([("b", 2)], "y string, x int"), make([(3,)], "x int")])
     assert rows(got) == sorted([(1, "a"), (2, "b"), (3, None)], key=repr)
@@ -118,6 +126,16 @@ def test_a_cluster_without_shared_folder_is_refused():
         session.shared_folder(Session())
 
 
+def test_scratch_tables_can_be_dropped(spark, make):
+    kept = session.scratch_path(spark, "kept")
+    write_table(make([(1,)], "x int"), kept)
+    path = session.scratch_table(make([(1,)], "x int")).inputFiles()[0].rsplit("/", 1)[0]
+    session.drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, path)
+    assert read_table(spark, kept).count() == 1
+
+
 def test_spread_only_widens_narrow_inputs(spark):
     assert session.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100, numPartitions=20)
