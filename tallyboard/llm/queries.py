@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyboard.llm import simhash
+from tallyboard.llm import pieces, simhash
 from tallyboard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,10 @@ def _query(f):
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.classes(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@_query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), model))
