@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyboard.llm import pieces, simhash
+from tallyboard.llm import language, pieces, simhash
 from tallyboard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), model))
+
+
+@_query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))

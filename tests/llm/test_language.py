@@ -1,0 +1,83 @@
+"""Held-out accuracy, and the tables against a plain convolution."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from tallyboard.llm import language as L, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    return L.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def plain(network, text):
+    """Probabilities of one window, filter by filter and position by position."""
+    data = list(text)
+    features = []
+    for w in L.WIDTHS:
+        kernel = network.filters[w]
+        places = range(max(1, len(data) - w + 1))
+        sums = [sum(network.embedding[data[i + o]] @ kernel[o] for o in range(w) if i + o < len(data)) for i in places]
+        features.append(np.maximum(np.max(sums, axis=0) + network.bias[w], 0))
+    z = np.exp(np.concatenate(features) @ network.dense + network.offset)
+    return z / z.sum()
+
+
+def test_tables_equal_plain_convolution(network):
+    texts = [b"a", b"ab", b"the", "là où été".encode(), b"x" * 255, bytes(range(97, 123)) * 9 + b"qu" * 11]
+    flat, starts, lengths, of = L.windows(texts, 253)
+    assert of.tolist() == list(range(len(texts)))
+    got = network.probabilities(L.padded(flat, starts, lengths), lengths, network.tables())
+    for t, g in zip(texts, got):
+        np.testing.assert_allclose(g, plain(network, t), atol=1e-4)
+
+
+def test_windows_cover_whole_texts():
+    sizes = [1, 255, 256, 257, 509, 510, 5000]
+    flat, starts, lengths, of = L.windows([bytes([65 + i]) * n for i, n in enumerate(sizes)], 253)
+    for i, n in enumerate(sizes):
+        mine = [(s - sum(sizes[:i]), l) for s, l, o in zip(starts, lengths, of) if o == i]
+        assert mine[0][0] == 0 and sum(mine[-1]) == n and all(1 <= l <= 256 for _, l in mine)
+        assert all(b == a + 253 and la == 256 for (a, la), (b, _) in zip(mine, mine[1:]))
+
+
+def test_query_accuracy_on_held_out(spark):
+    truth = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op1_language(spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(truth)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert all(0 <= r.score <= 1 for r in got)
+    hits = [r.lang_pred == truth[r.doc_id].lang for r in got if r.held_out]
+    print("held-out accuracy", np.mean(hits), len(hits))
+    assert np.mean(hits) >= 0.97
+
+
+def test_labels_and_ids_are_no_inputs(spark, network):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    changed = docs.selectExpr("doc_id + 1000 AS doc_id", "text", "'xx' AS lang", "'s' AS source")
+    a = [tuple(r)[2:] for r in L.identify(docs, network).collect()]
+    assert a == [tuple(r)[2:] for r in L.identify(changed, network).collect()]
+
+
+def test_edge_rows(spark, make, network):
+    rows = [(1, None, 0.5), (2, "", None), (3, "12 34 !?", 0.1), (None, "the and that", 0.2), (5, "é" * 300_000, 1.0),
+            (5, "é" * 300_000, 1.0)]
+    docs = make(rows, "doc_id bigint, text string, score double")
+    got = {r.doc_id: r for r in L.identify(docs, network).collect()}
+    assert {got[i].lang_pred for i in (1, 2, 3)} == {"und"} and got[1].score == 0
+    assert got[None].held_out is False and got[5].lang_pred in network.labels
+    assert L.identify(docs.limit(0), network).count() == 0
+    kept = L.keep_identified(docs, network, 0.0)
+    assert kept.columns == docs.columns and kept.count() == 3
+    assert L.learn(docs.limit(0).selectExpr("*", "'en' AS lang")) is None
+    assert {r.lang_pred for r in L.identify(docs, None).collect()} == {"und"}
+
+
+def test_one_language(spark, make):
+    docs = make([(i, "abc def", "en") for i in range(20)], "doc_id bigint, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in L.identify(docs, L.learn(docs)).collect()} == {("en", 1.0)}
