@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import language, pieces, simhash
+from tallyboard.llm import language, pieces, pseudonyms, simhash
 from tallyboard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,17 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs))
+
+
+# For the registered query alone; whoever pseudonymises real data keeps a key of their own.
+PSEUDONYM_KEY = "registered query"
+
+
+@_query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for personal data, and whether that changed it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    new = pseudonyms.pseudonymise_column(F.col("text"), PSEUDONYM_KEY)
+    return docs.select("doc_id", new.alias("text"),
+                       F.col("text").rlike(pseudonyms.ANY_KIND).alias("found"), F.col("text").alias("old")).select(
+        "doc_id", "text", (F.col("found") & ~F.col("text").eqNullSafe(F.col("old"))).alias("changed"))
