@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import language, pieces, pseudonyms, simhash
-from tallyboard.llm.common import table
+from tallyboard.llm import language, mixing, pieces, pseudonyms, simhash
+from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,14 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", new.alias("text"),
                        F.col("text").rlike(pseudonyms.ANY_KIND).alias("found"), F.col("text").alias("old")).select(
         "doc_id", "text", (F.col("found") & ~F.col("text").eqNullSafe(F.col("old"))).alias("changed"))
+
+
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    light = mixing.weigh(docs)
+    placed = mixing.place(docs.select("doc_id", "text", "source"), mixing.make_plan(light), "mixed")
+    size = word_count(F.col("text"))
+    return placed.select("doc_id", size.alias("size"), F.col("mixed.source_size").alias("source_size"),
+                         F.col("mixed.target").alias("target"), (size * F.size("mixed.shards")).alias("taken"))
