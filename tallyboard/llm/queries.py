@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import language, mixing, pieces, pseudonyms, simhash
+from tallyboard.llm import language, mixing, pieces, pseudonyms, sharding, simhash
 from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,41 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = word_count(F.col("text"))
     return placed.select("doc_id", size.alias("size"), F.col("mixed.source_size").alias("source_size"),
                          F.col("mixed.target").alias("target"), (size * F.size("mixed.shards")).alias("taken"))
+
+
+@_query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; row counts of shards differ by one at most."""
+    rows = sharding.assign(table(spark, sf_dir, "documents"), 40)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+ORACLE["op8_sharding"] = """
+WITH steps AS (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) t(i)),
+crc AS (SELECT list(v ORDER BY i) AS t FROM steps),
+texts AS (
+    SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) AS bytes, hex(encode(coalesce(text, ''))) AS h,
+           ('0x' || substr(md5(concat_ws(':', '1', doc_id, text)), 1, 15))::BIGINT AS key
+    FROM documents),
+rows AS (
+    SELECT doc_id, source, key, bytes + 16 AS size,
+           xor(list_reduce(list_prepend(4294967295::BIGINT,
+                   list_transform(range(bytes), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+    FROM texts, crc),
+ranked AS (
+    SELECT *, (row_number() OVER (PARTITION BY source ORDER BY key, doc_id, text_crc32, size) - 0.5)::DOUBLE
+              / count(*) OVER (PARTITION BY source) AS share
+    FROM rows),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY share, key, doc_id, text_crc32, size, source) - 1 AS place,
+           count(*) OVER () AS n
+    FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // n)::INT AS shard,
+       place - ((place * 40 // n) * n + 39) // 40 AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
