@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import language, mixing, pieces, pseudonyms, sharding, simhash
+from tallyboard.llm import language, mixing, pieces, pseudonyms, sharding, simhash, warc
 from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,26 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // n)::INT AS shard,
        place - ((place * 40 // n) * n + 39) // 40 AS slot, NULL::INT AS grown_shard
 FROM placed
 """
+
+
+@_query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op9_warc"] = """
+WITH digests AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+typed AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS response FROM digests),
+groups AS (SELECT *, list_transform(range(8), lambda k: ('0x' || substr(h, 5 * k + 1, 5))::INT) AS g FROM typed)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((g[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1, 1)), 'string_agg', '')
+           AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM groups
+"""

@@ -1,24 +1,15 @@
 """Shards of the interleaving: counts, mixture, reruns, and equality with SQL."""
 
-import os
 import zlib
 from collections import Counter
 
-import duckdb
-
 from tallyboard.llm import queries, sharding
-from tools.check import rows_of
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_query_equals_sql(spark):
-    con = duckdb.connect()
-    for f in os.listdir(SF):
-        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
-    got = queries.op8_sharding(spark, SF)
-    want = con.execute(queries.ORACLE["op8_sharding"])
-    assert rows_of(got.columns, got.collect()) == rows_of([d[0] for d in want.description], want.fetchall())
+def test_query_equals_sql(equals_sql):
+    equals_sql("op8_sharding")
 
 
 def test_plan_has_no_python(spark, plan):
