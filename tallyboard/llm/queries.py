@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import language, mixing, pieces, pseudonyms, sharding, simhash, warc
+from tallyboard.llm import aggregation, language, mixing, pieces, pseudonyms, sharding, simhash, warc
 from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,23 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
 FROM groups
 """
+
+
+@_query
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best integer inner products of every fiftieth vector."""
+    return aggregation.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+ORACLE["op5_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
