@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import aggregation, language, mixing, pieces, pseudonyms, sharding, simhash, warc
+from tallyboard.llm import aggregation, language, mixing, neighbours, pieces, pseudonyms, sharding, simhash, warc
 from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,9 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@_query
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors found for every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
