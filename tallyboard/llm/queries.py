@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyboard.llm import aggregation, language, mixing, neighbours, pieces, pseudonyms, sharding, simhash, warc
+from tallyboard.llm import aggregation, chat, language, mixing, neighbours, pieces, pseudonyms, sharding, simhash, warc
 from tallyboard.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest vectors found for every twentieth vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@_query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks the template's own marks, formatted and read back."""
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.windows(turns))
