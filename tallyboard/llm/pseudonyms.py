@@ -45,7 +45,11 @@ KINDS = {
     "card": r"(?<![0-9])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}"
             r"|3[47][0-9]{2}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])",
 }
-ANY_KIND = "|".join(f"(?:{p})" for p in KINDS.values())
+# One look at the next character rules out most kinds at most places.
+_NUMBERS = "|".join(KINDS[k] for k in ("phone", "ssn", "date", "address", "card"))
+ANY_KIND = rf"(?=[0-9+(])(?:{_NUMBERS})|(?=[AaPpSsTt]){KINDS['secret']}|{KINDS['email']}"
+# Every kind holds one of these characters; texts without them need no further look.
+TRIGGER = "[0-9@:=]"
 # Telling apart what was found; the first that fits. Phones and numbers differ in their separators.
 _SECRET = r"^(?i:(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?)"
 _SHAPES = {
@@ -55,6 +59,11 @@ _SHAPES = {
 }
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _long(c: Column) -> Column:
     return c.try_cast("bigint")
 
@@ -86,7 +95,7 @@ def feistel(index: Column, a: Column | int, b: Column | int, key: str, tweak: st
         right = F.when(turn % 2 == 1, F.pmod(s["right"] + mixed(s["left"], turn), b)).otherwise(s["right"])
         return F.struct(left.alias("left"), right.alias("right"))
 
-    start = F.struct(_quotient(index, b).alias("left"), F.pmod(index, b).alias("right"))
+    start = _let(index, lambda x: F.struct(_quotient(x, b).alias("left"), F.pmod(x, b).alias("right")))
     return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, step, lambda s: s["left"] * b + s["right"])
 
 
@@ -96,13 +105,16 @@ def _digits(m: Column) -> Column:
 
 def _fill(template: Column, digits: Column) -> Column:
     """The template with its digits replaced, one by one, by those given."""
-    def put(s: Column, c: Column) -> Column:
-        is_digit = c.between("0", "9")
-        return F.struct(F.concat(s["out"], F.when(is_digit, F.substr(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
-                        (s["at"] + is_digit.cast("int")).alias("at"))
+    def filled(digits: Column) -> Column:
+        def put(s: Column, c: Column) -> Column:
+            is_digit = c.between("0", "9")
+            new = F.when(is_digit, F.substr(digits, s["at"], F.lit(1))).otherwise(c)
+            return F.struct(F.concat(s["out"], new).alias("out"), (s["at"] + is_digit.cast("int")).alias("at"))
 
-    return F.aggregate(F.split(template, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), put,
-                       lambda s: s["out"])
+        return F.aggregate(F.split(template, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), put,
+                           lambda s: s["out"])
+
+    return _let(digits, filled)
 
 
 def _pad(number: Column, width: Column | int) -> Column:
@@ -115,32 +127,40 @@ def _power(exponent: Column) -> Column:
 
 def _permute_digits(digits: Column, key: str, tweak: str) -> Column:
     """A digit string of up to 17 places permuted among those of its length."""
-    n = F.length(digits)
-    low = F.floor(n / 2)
-    return _pad(feistel(_long(digits), _power(n - low), _power(low), key, tweak), n)
+    def permuted(d: Column) -> Column:
+        n = F.length(d)
+        low = F.floor(n / 2)
+        return _pad(feistel(_long(d), _power(n - low), _power(low), key, tweak), n)
+
+    return _let(digits, permuted)
 
 
 def check_digit(payload: Column) -> Column:
     """Luhn check digit of a digit string: every other digit, from the last, counts double."""
-    n = F.length(payload)
+    def check(payload: Column) -> Column:
+        n = F.length(payload)
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substr(payload, n - i + 1, F.lit(1)).try_cast("int")
-        double = d * 2
-        return total + F.when(i % 2 == 0, d).when(double > 9, double - 9).otherwise(double)
+        def add(total: Column, i: Column) -> Column:
+            d = F.substr(payload, n - i + 1, F.lit(1)).try_cast("int")
+            double = d * 2
+            return total + F.when(i % 2 == 0, d).when(double > 9, double - 9).otherwise(double)
 
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
-    return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10))
+        total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+        return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10))
+
+    return _let(payload, check)
 
 
 def _card(m: Column, key: str) -> Column:
-    d = _digits(m)
-    payload = F.substr(d, F.lit(1), F.length(d) - 1)
-    fixed = F.when(F.length(d) == 15, 2).otherwise(1)
-    middle = F.substr(payload, fixed + 1, F.length(payload) - fixed)
-    changed = F.concat(F.left(d, fixed), _permute_digits(middle, key, "card"))
-    new = F.concat(changed, check_digit(changed).cast("string"))
-    return F.when(check_digit(payload).cast("string") == F.right(d, F.lit(1)), _fill(m, new)).otherwise(m)
+    def changed(d: Column) -> Column:
+        payload = F.left(d, F.length(d) - 1)
+        fixed = F.when(F.length(d) == 15, 2).otherwise(1)
+        middle = F.substr(payload, fixed + 1, F.length(payload) - fixed)
+        new = _let(F.concat(F.left(d, fixed), _permute_digits(middle, key, "card")),
+                   lambda x: F.concat(x, check_digit(x).cast("string")))
+        return F.when(check_digit(payload).cast("string") == F.right(d, F.lit(1)), _fill(m, new)).otherwise(m)
+
+    return _let(_digits(m), changed)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -155,17 +175,19 @@ def _ssn(m: Column, key: str) -> Column:
     d = _digits(m)
     area, group, serial = (_long(F.substring(d, *at)) for at in ((1, 3), (4, 2), (6, 4)))
     index = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
-    # The permuted number is a state of one step, so that it is computed once.
-    return F.element_at(F.transform(F.array(feistel(index, 898 * 99, 9999, key, "ssn")), lambda x: F.concat_ws(
-        "-", _pad(_quotient(x, 99 * 9999) + F.when(_quotient(x, 99 * 9999) > 664, 2).otherwise(1), 3),
-        _pad(F.pmod(_quotient(x, 9999), F.lit(99)) + 1, 2), _pad(F.pmod(x, F.lit(9999)) + 1, 4))), 1)
+    def spelled(x: Column) -> Column:
+        area = _quotient(x, 99 * 9999)
+        return F.concat_ws("-", _pad(area + F.when(area > 664, 2).otherwise(1), 3),
+                           _pad(F.pmod(_quotient(x, 9999), F.lit(99)) + 1, 2), _pad(F.pmod(x, F.lit(9999)) + 1, 4))
+
+    return _let(feistel(index, 898 * 99, 9999, key, "ssn"), spelled)
 
 
 def _address(m: Column, key: str) -> Column:
     part = F.split(m, r"\.")
     index = _long(part[0]) * (1 << 24) + _long(part[1]) * 65536 + _long(part[2]) * 256 + _long(part[3])
-    return F.element_at(F.transform(F.array(feistel(index, 65536, 65536, key, "address")), lambda x: F.concat_ws(
-        ".", *[(F.shiftright(x, 8 * k).bitwiseAND(255)).cast("string") for k in (3, 2, 1, 0)])), 1)
+    return _let(feistel(index, 65536, 65536, key, "address"), lambda x: F.concat_ws(
+        ".", *[F.shiftright(x, 8 * k).bitwiseAND(255).cast("string") for k in (3, 2, 1, 0)]))
 
 
 def _date(m: Column, key: str) -> Column:
@@ -178,8 +200,8 @@ def _date(m: Column, key: str) -> Column:
     index = F.date_diff(iso.try_cast("date"), first).cast("bigint")
     a, b = DAY_RADICES
     day = F.date_add(first, feistel(index, a, b, key, "date").cast("int"))
-    new = F.element_at(F.transform(F.array(day), lambda x: F.when(year_first, F.date_format(x, "yyyyMMdd")).when(
-        month_first, F.date_format(x, "MMddyyyy")).otherwise(F.date_format(x, "ddMMyyyy"))), 1)
+    new = _let(day, lambda x: F.when(year_first, F.date_format(x, "yyyyMMdd")).when(
+        month_first, F.date_format(x, "MMddyyyy")).otherwise(F.date_format(x, "ddMMyyyy")))
     return F.when(index.between(0, a * b - 1), _fill(m, new)).otherwise(m)
 
 
@@ -215,7 +237,7 @@ def pseudonymise_column(text: Column, key: str) -> Column:
     gaps = F.split(text, ANY_KIND, -1)
     values = F.transform(F.regexp_extract_all(text, F.lit(ANY_KIND), F.lit(0)), lambda m: pseudonym(m, key))
     joined = F.array_join(F.zip_with(gaps, values, lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
-    return F.when(text.rlike(ANY_KIND), joined).otherwise(text)
+    return F.when(text.rlike(TRIGGER), joined).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -48,9 +48,8 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for personal data, and whether that changed it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     new = pseudonyms.pseudonymise_column(F.col("text"), PSEUDONYM_KEY)
-    return docs.select("doc_id", new.alias("text"),
-                       F.col("text").rlike(pseudonyms.ANY_KIND).alias("found"), F.col("text").alias("old")).select(
-        "doc_id", "text", (F.col("found") & ~F.col("text").eqNullSafe(F.col("old"))).alias("changed"))
+    return docs.select("doc_id", new.alias("text"), F.col("text").alias("old")).select(
+        "doc_id", "text", (~F.col("text").eqNullSafe(F.col("old"))).alias("changed"))
 
 
 @_query
