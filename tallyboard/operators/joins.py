@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard.functions import all_equal, all_null_safe_equal
 
@@ -51,8 +51,32 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
+def _common_type(spark: SparkSession, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which keys of two types are compared, as Spark's equality compares them."""
+    if a == b:
+        return a
+    for text, other in ((a, b), (b, a)):
+        if isinstance(text, T.StringType):
+            return T.LongType() if isinstance(other, T.IntegralType) else \
+                T.DoubleType() if isinstance(other, T.NumericType) else other
+    schemas = [T.StructType([T.StructField("k", t)]) for t in (a, b)]
+    first, second = (spark.createDataFrame([], s) for s in schemas)
+    return first.union(second).schema["k"].dataType
+
+
+def _key_types(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]) -> list[T.DataType]:
+    return [_common_type(left.sparkSession, left.schema[a].dataType, right.schema[b].dataType)
+            for a, b in zip(left_keys, right_keys, strict=True)]
+
+
+def _keys_as(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType]) -> list[Column]:
+    return [_name(k) if df.schema[k].dataType == t else _name(k).cast(t) for k, t in zip(keys, types, strict=True)]
+
+
 def _key_hash(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType]) -> Column:
-    return F.xxhash64(*[_name(k).cast(t) for k, t in zip(keys, types, strict=True)])
+    # Keys that compare equal must hash alike: a negative zero is made positive.
+    return F.xxhash64(*[c + F.lit(0.0).cast(t) if isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) else c
+                        for c, t in zip(_keys_as(df, keys, types), types)])
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType],
@@ -75,15 +99,16 @@ def key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_
              how: str, nulls_match: bool = True) -> DataFrame:
     """Equi-join whose right key columns are dropped. Null keys match null keys.
 
-    For keys known to hold no null, ``nulls_match=False`` plans plain equality;
-    a side that was grouped or joined on these keys before is then not shuffled
-    again.
+    Keys of different types meet in their common type. For keys known to hold no
+    null, ``nulls_match=False`` plans plain equality; a side that was grouped or
+    joined on these keys before is then not shuffled again.
     """
     # Own names for the right keys keep the condition unambiguous.
     own = {k: f"__{k}" for k in right_keys}
     renamed = right.withColumnsRenamed(own)
+    types = _key_types(left, right, left_keys, right_keys)
     equal = all_null_safe_equal if nulls_match else all_equal
-    cond = equal([_name(k) for k in left_keys], [_name(own[k]) for k in right_keys])
+    cond = equal(_keys_as(left, left_keys, types), _keys_as(renamed, [own[k] for k in right_keys], types))
     return left.join(renamed, cond, how).drop(*own.values())
 
 
@@ -94,12 +119,13 @@ def skew_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
 
     Rows of hot keys stay where they are and meet a broadcast of the right rows
     for just those keys; all other rows take the ordinary shuffle join. Every
-    left row is in exactly one of the two parts, so inner, left, semi and anti
-    joins keep their results. If the right rows of the hot keys are not small,
-    one shuffle join does it all.
+    left row is in exactly one of the two parts, and both sides are divided by a
+    hash of the common key type, so inner, left, semi and anti joins keep their
+    results. If the right rows of the hot keys are not small, one shuffle join
+    does it all.
     """
     right_keys = list(left_keys if right_keys is None else right_keys)
-    types = [left.schema[k].dataType for k in left_keys]
+    types = _key_types(left, right, left_keys, right_keys)
     hot = hot_key_hashes(left, left_keys, types, hot_rows)
     if not hot:
         return key_join(left, right, left_keys, right_keys, how, nulls_match)

@@ -1,4 +1,7 @@
+from datetime import datetime
+
 import pytest
+from pyspark.sql import functions as F
 
 from tallyboard.operators import joins
 
@@ -85,6 +88,28 @@ def test_keys_of_different_types_meet_in_the_skew_path(spark, make):
     assert joins.missing_keys(left, right, ["k"], ["j"], hot_rows=10).count() == 50
 
 
+TYPED = {
+    "string/int": ("IF(id % 4 = 0, NULL, lpad(CAST(id % 3 AS STRING), 2, '0')) AS k", [(1, 10), (None, 11), (7, 12)], "j int, w int"),
+    "int/bigint": ("CAST(id % 3 AS INT) AS k", [(1, 10), (1 << 40, 11), (None, 12)], "j bigint, w int"),
+    "int/double": ("CAST(id % 3 AS INT) AS k", [(1.0, 10), (-0.0, 11), (1.5, 12)], "j double, w int"),
+    "date/timestamp": ("date_add(DATE '2024-01-01', CAST(id % 3 AS INT)) AS k",
+                       [(datetime(2024, 1, 2), 10), (datetime(2024, 1, 3, 1), 11)], "j timestamp, w int"),
+}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("kinds", TYPED)
+def test_hot_and_cold_paths_agree_on_keys_of_different_types(spark, make, kinds, how):
+    key, right_rows, schema = TYPED[kinds]
+    left, right = spark.range(300).selectExpr(key, "id AS v"), make(right_rows, schema)
+    want = left.join(right, F.col("k").eqNullSafe(F.col("j")), how).drop("j")
+    plain = joins.key_join(left, right, ["k"], ["j"], how)
+    hot = joins.skew_join(left, right, ["k"], ["j"], how, hot_rows=10)
+    assert rows(hot) == rows(plain) == rows(want)
+    types = joins._key_types(left, right, ["k"], ["j"])
+    assert joins.hot_key_hashes(left, ["k"], types, 10)
+
+
 def test_grouped_sides_are_not_shuffled_again_without_nulls(spark, plan):
     base = spark.range(1000).selectExpr("id % 10 AS k", "id % 7 AS j")
     a, b = base.groupBy("k").count(), base.groupBy("k").sum("j")
