@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -22,13 +23,17 @@ from tallyboard.functions import rank_text, season_label
 # The parser travels with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_ATTRIBUTES = r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)"
-_MARKUP = re.compile(
-    r"<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|"
-    r"<(/?)([a-z][a-z0-9]*)\b" + _ATTRIBUTES + ">", re.S | re.I)
+_NAME = re.compile(r"<(/?)([a-z][^\s/>]*)", re.I)
+# To the tag's end. A quote counts after an equals sign alone, and none of the repeats gives back
+# what it has taken, so a tag is read once.
+_REST = re.compile(r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+# Elements whose content holds no markup, and those of them whose content is not shown.
+_RAW = {n: re.compile(rf"</{n}(?=[\s/>])", re.I)
+        for n in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")}
+_UNSHOWN = {"script", "style", "iframe", "noembed", "noframes"}
 _SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?(\d+)", re.I)
 _HIDDEN = re.compile(r"style\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
-_MAX_SPAN = 1000  # the HTML standard's own bound for colspan
+_MAX_SPAN = 100_000  # a cell said to be wider stops the job rather than being cut
 _BREAKS = {"br", "p", "div", "li"}
 
 
@@ -36,7 +41,9 @@ class _Cell:
     def __init__(self, header: bool, attributes: str):
         spans = {k.lower(): int(v) for k, v in _SPAN.findall(attributes)} if attributes else {}
         self.header = header
-        self.across = min(max(spans.get("colspan", 1), 1), _MAX_SPAN)
+        self.across = max(spans.get("colspan", 1), 1)
+        if self.across > _MAX_SPAN:
+            raise ValueError(f"a table cell spans {self.across} columns")
         self.down = max(spans.get("rowspan", 1), 1)
         self.parts: list[str] = []
 
@@ -45,6 +52,37 @@ class _Cell:
         return " ".join((entities.unescape(text) if "&" in text else text).split())
 
 
+def _markup(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, closing, tag, attributes) of every tag; comments and unshown content as a tag without name.
+
+    One pass forward. What a comment, a tag or an unshown element leaves open runs to the
+    page's end, as it does in a browser.
+    """
+    at = page.find("<")
+    while at >= 0:
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            end = len(page) if close < 0 else close + 3
+            yield at, end, False, "", ""
+        elif name := _NAME.match(page, at):
+            rest = _REST.match(page, name.end())
+            if not rest:
+                yield at, len(page), False, "", ""
+                return
+            closing, tag, end = name[1] == "/", name[2].lower(), rest.end()
+            close = _RAW[tag].search(page, end) if tag in _RAW and not closing else None
+            if tag in _UNSHOWN and not closing:
+                end = close.start() if close else len(page)
+                yield at, end, False, "", ""
+            else:
+                yield at, end, closing, tag, rest[1]
+                if tag in _RAW and not closing:
+                    end = close.start() if close else len(page)
+        else:
+            end = at + 1
+        at = page.find("<", end)
+
+
 def _rows_of_first_table(page: str) -> list[tuple[bool, list[_Cell]]] | None:
     """Rows (in a head section?, cells) of the first shown table; None when there is no table.
 
@@ -55,14 +93,13 @@ def _rows_of_first_table(page: str) -> list[tuple[bool, list[_Cell]]] | None:
     depth, at = 0, 0
     in_head = hidden_table = hidden_row = False
     cell: _Cell | None = None
-    for m in _MARKUP.finditer(page):
+    for start, end, closing, tag, attributes in _markup(page):
         if cell is not None:
-            cell.parts.append(page[at:m.start()])
-        at = m.end()
-        tag, closing = (m[2] or "").lower(), m[1] == "/"
+            cell.parts.append(page[at:start])
+        at = end
         if tag == "table" and not closing:
             if depth == 0:
-                rows, cell, hidden_table = [], None, _HIDDEN.search(m[3]) is not None
+                rows, cell, hidden_table = [], None, _HIDDEN.search(attributes) is not None
             depth += 1
         elif tag == "table" and depth:
             depth -= 1
@@ -74,14 +111,14 @@ def _rows_of_first_table(page: str) -> list[tuple[bool, list[_Cell]]] | None:
         elif depth == 1 and tag == "tr":
             cell = None
             if not closing:
-                hidden_row = _HIDDEN.search(m[3]) is not None
+                hidden_row = _HIDDEN.search(attributes) is not None
                 rows.append((in_head, []))
         elif depth == 1 and tag in ("td", "th"):
             cell = None
-            if not closing and not hidden_row and not _HIDDEN.search(m[3]):
+            if not closing and not hidden_row and not _HIDDEN.search(attributes):
                 if not rows:
                     rows.append((in_head, []))
-                cell = _Cell(tag == "th", m[3])
+                cell = _Cell(tag == "th", attributes)
                 rows[-1][1].append(cell)
         elif cell is not None and tag in _BREAKS:
             cell.parts.append(" ")
@@ -104,7 +141,7 @@ def parse_first_table(page: str) -> tuple[list[str], list[list[str]]] | None:
     carried: dict[int, tuple[int, str]] = {}  # column -> (rows left, text) of a rowspan
     for in_head, cells in found:
         line: list[str] = []
-        queue = list(cells)
+        queue = deque(cells)
         while queue or len(line) in carried:
             if len(line) in carried:
                 left, text = carried.pop(len(line))
@@ -112,7 +149,7 @@ def parse_first_table(page: str) -> tuple[list[str], list[list[str]]] | None:
                     carried[len(line)] = (left - 1, text)
                 line.append(text)
                 continue
-            cell = queue.pop(0)
+            cell = queue.popleft()
             text = cell.text()
             for _ in range(cell.across):
                 if cell.down > 1:

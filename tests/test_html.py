@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tallyboard.sources.html_tables import award_rows, first_tables, parse_first_table
@@ -71,6 +73,13 @@ def test_keys_and_row_numbers(make):
     ("<table style='display: none'><tr><td>x</td></tr></table><table><tr><th>a</th></tr><tr><td>1</td></tr></table>", ["a"], [["1"]]),
     ('<table><tr><th>a</th><th style="display:none">h</th></tr><tr style="DISPLAY:NONE"><td>0</td></tr><tr><td>1</td></tr></table>',
      ["a"], [["1"]]),
+    ("<textarea><table><tr><td>x</textarea><table><tr><th>a</th></tr><tr><td>1</td></tr></table>", ["a"], [["1"]]),
+    ("<title><table></title><STYLE><table></STYLE ><table><tr><th>a<tr><td>1<script>2</script>3</table>", ["a"], [["13"]]),
+    ("<table><tr><th>a</th></tr><tr><td>1</td></tr><!-- <tr><td>2</td></tr></table>", ["a"], [["1"]]),
+    ("<table><tr><th>a</th></tr><tr><td class=it's title=\"a>b\">1</td></tr></table>", ["a"], [["1"]]),
+    ("<table><tr><th>a</th></tr><tr><td>1 < 2 <3</td></tr></table>", ["a"], [["1 < 2 <3"]]),
+    ("<table><tr><th>a</th></tr><tr><td>1</td></tr></table", ["a"], [["1"]]),
+    ("<table><tr><th>a</th></tr><tr><td>1<textarea>x<td>y", ["a"], [["1"]]),
 ])
 def test_parse(html, header, body):
     assert parse_first_table(html) == (header, body)
@@ -79,3 +88,21 @@ def test_parse(html, header, body):
 def test_parse_without_table():
     assert parse_first_table("<p>text</p>") is None
     assert parse_first_table("</table><table style='display:none'><tr><td>x") is None
+
+
+def test_wide_spans_are_followed_or_refused():
+    header, body = parse_first_table("<table><tr><th>a</th><th colspan=1200>b</th><th>c</th></tr><tr><td>1</td></tr></table>")
+    assert header == ["a"] + ["b"] * 1200 + ["c"] and body == [["1"]]
+    with pytest.raises(ValueError, match="spans"):
+        parse_first_table("<table><tr><th colspan=9999999>a</th></tr></table>")
+
+
+@pytest.mark.parametrize("markup", ["<td ", "<a href='x", "<!--", "<!-- x -->", "<script>", "<textarea>", "<a b=\"", "<a b='\"", "<", "</", "<b>", "<a x=",
+                                    "<td>"])
+@pytest.mark.parametrize("opening", ["", "<table><tr><td>"])
+def test_broken_pages_take_linear_time(markup, opening):
+    page = opening + markup * (1_000_000 // len(markup))
+    start = time.process_time()
+    parse_first_table(page)
+    # A megabyte; rows of very many cells are held, so those take a little longer.
+    assert time.process_time() - start < (1 if markup not in ("<td>", "<b>") else 5)
