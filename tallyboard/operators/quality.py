@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyboard.operators.joins import missing_keys
 from tallyboard.operators.ranking import rank_all
@@ -79,11 +79,11 @@ def name_match(awards: DataFrame, stats: DataFrame, award_keys: Sequence[str] =
     known = stats.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(stats_keys, keys, strict=True)],
                          F.lit(None).cast(wanted.schema["__season"].dataType).alias("__season"),
                          F.lit(True).alias("__known"))
-    # Both sides shrink map-side to distinct (key, season) rows, stats to one row per key;
-    # then a key's few rows see whether one of them comes from the stats. Null keys match.
-    names = wanted.unionByName(known).groupBy(*keys, "__season").agg(F.bool_or("__known").alias("__known"))
-    found = F.max("__known").over(Window.partitionBy(*keys))
-    return names.withColumn("__found", found).where(F.col("__season").isNotNull()).groupBy(
+    # One row per key: whether the stats hold it, and the award seasons that name it. Both
+    # shrink map-side, and the rows of a key meet once. Null keys match.
+    names = wanted.unionByName(known).groupBy(*keys).agg(
+        F.bool_or("__known").alias("__found"), F.collect_set("__season").alias("__seasons"))
+    return names.select("__found", F.explode("__seasons").alias("__season")).groupBy(
         F.col("__season.season").alias(season)).agg(
         F.count(F.lit(1)).alias("n_award"), F.count_if(~F.col("__found")).alias("n_unmatched"))
 
@@ -96,13 +96,16 @@ def names_match(awards: DataFrame, stats: DataFrame, seasons: Sequence[str],
     return name_match(listed, stats, *keys).where("n_unmatched > 0").isEmpty()
 
 
-def missing_players(awards: DataFrame, stats: DataFrame) -> DataFrame:
-    """Award rows whose (player, season) has no stats row."""
-    return missing_keys(awards.select("Player", "award_season"), stats,
-                        ["Player", "award_season"], ["Player", "season"])
+def missing_players(awards: DataFrame, stats: DataFrame, strict: bool = True) -> DataFrame:
+    """Award rows whose player, with ``strict`` in that season, has no stats row."""
+    keys = (["Player", "award_season"], ["Player", "season"]) if strict else (["Player"], ["Player"])
+    return missing_keys(awards.select("Player", "award_season"), stats, *keys)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str, order: str = "ord") -> DataFrame:
     """Count of each value per group, and its place by falling count, ties by value."""
+    # How many values a group has at most is estimated from the input, so that the counts
+    # themselves are made once; the estimate is off by a few percent.
+    values = df.groupBy(*by).agg(F.approx_count_distinct(value).alias("n")).agg(F.max("n")).first()[0] or 0
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    return rank_all(counts, by, [F.col("n").desc(), F.col(value).asc()], order)
+    return rank_all(counts, by, [F.col("n").desc(), F.col(value).asc()], order, largest=2 * values + 1)

@@ -18,20 +18,20 @@ GROUP_ROWS = 5_000_000
 
 
 def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "pos",
-             group_rows: int = GROUP_ROWS) -> DataFrame:
+             group_rows: int = GROUP_ROWS, largest: int | None = None) -> DataFrame:
     """Unique 1-based position of every row in its group, however large the group.
 
-    The rows are written once and the largest group is measured. Groups that fit a
-    task are numbered by a window; beyond that, positions are worked out across
-    partitions. ``order`` must end in columns that make rows of a group distinct.
+    The largest group is measured by a count of the group columns alone, unless the
+    caller knows a bound for it. Groups that fit a task are numbered by a window and
+    nothing is written; beyond that, positions are worked out across partitions.
+    ``order`` must end in columns that make rows of a group distinct.
     """
-    rows = scratch_table(df, "ranked")
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest is None:
+        largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if largest > group_rows:
-        return _rank_across_partitions(rows, by, order, name)
+        return _rank_across_partitions(df, by, order, name)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint")
-    return rows.withColumn(name, rank)
+    return df.withColumn(name, rank)
 
 
 def _rank_across_partitions(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:

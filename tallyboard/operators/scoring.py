@@ -6,23 +6,23 @@ import logging
 import pickle
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyboard.functions import nan_to_null
+from tallyboard.session import scratch_path, scratch_table
 
 log = logging.getLogger(__name__)
 
 # A scorer adds one double column of the given name to a table of features.
 Scorer = Callable[[DataFrame, str], DataFrame]
 
-# Pickled models above this size are refused: they go whole to every executor.
-MODEL_BYTES = 256 * 1024 * 1024
-
 
 def _sum(terms: Sequence[Column], start: float = 0.0) -> Column:
     total = F.lit(start)
@@ -101,18 +101,12 @@ def load_pipeline_scorer(path: str, features: Sequence[str]) -> Scorer:
     return pipeline_scorer(PipelineModel.load(path), features)
 
 
-def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str]) -> Scorer:
-    """Score by a pickled estimator with a ``predict(matrix)`` method, batch by batch.
-
-    Unpickling runs code: give it only model files you made yourself.
-    """
-    if len(payload) > MODEL_BYTES:
-        raise ValueError(f"model of {len(payload)} bytes is above the bound of {MODEL_BYTES}")
-    shared = spark.sparkContext.broadcast(pickle.loads(payload))  # each worker unpacks it once
+def _predicting(estimator: Callable[[], object], features: Sequence[str]) -> Scorer:
+    """Scorer of an estimator with a ``predict(matrix)`` method, batch by batch."""
 
     @F.pandas_udf("double")
     def predict(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(shared.value.predict(batch.to_numpy(dtype=float)))
+        return pd.Series(estimator().predict(batch.to_numpy(dtype=float)))
 
     def score(df: DataFrame, out: str) -> DataFrame:
         columns = [F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)]
@@ -120,11 +114,41 @@ def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str])
     return score
 
 
+def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str]) -> Scorer:
+    """Score by a pickled estimator that the caller holds in memory.
+
+    Unpickling runs code: give it only models you made yourself.
+    """
+    shared = spark.sparkContext.broadcast(pickle.loads(payload))  # each worker unpacks it once
+    return _predicting(lambda: shared.value, features)
+
+
+# Models that this Python worker has opened, by file name.
+_opened: dict[str, object] = {}
+
+
+def _open_once(name: str) -> object:
+    if name not in _opened:
+        with open(SparkFiles.get(name), "rb") as f:
+            _opened[name] = pickle.load(f)
+    return _opened[name]
+
+
 def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str]) -> Scorer:
-    sizes = spark.read.format("binaryFile").load(path).select("length").first()
-    if sizes["length"] > MODEL_BYTES:
-        raise ValueError(f"model at {path} is above the bound of {MODEL_BYTES}")
-    return pickled_scorer(spark, bytes(spark.read.format("binaryFile").load(path).first()["content"]), features)
+    """Score by a pickled estimator in a file, of any size.
+
+    The file travels as a file of the job, past the driver's memory, and each Python
+    worker opens it once. Unpickling runs code: give it only files you made yourself.
+    """
+    hadoop = spark._jsc.hadoopConfiguration()
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # Files of a job are told apart by name, so every model gets a name of its own.
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "model"))
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        source.getFileSystem(hadoop), source, target.getFileSystem(hadoop), target, False, hadoop)
+    spark.sparkContext.addFile(target.toString())
+    name = target.getName()
+    return _predicting(lambda: _open_once(name), features)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -166,28 +190,35 @@ def score_models(df: DataFrame, scorers: Mapping[str, Scorer], keys: Sequence[st
     """Long table (keys, mo, model, share) of every model's score, and the models skipped.
 
     Scorers add columns side by side, so the features are read once; the columns
-    are then turned into rows. A NaN score counts as missing. With
-    ``on_error="skip"`` a model that cannot be planned is reported in the second
-    result instead of raising.
+    are then turned into rows. A NaN score counts as missing.
+
+    With ``on_error="skip"`` a model that fails, when it is planned or while it
+    predicts, is reported in the second result and has no scores at all. To know
+    that, features and each model's scores are written in turn.
     """
-    added: list[tuple[int, str, str]] = []
+    if on_error == "skip":
+        return _score_one_by_one(df, scorers, keys)
+    wide, added = df, []
+    for mo, (model, scorer) in enumerate(scorers.items()):
+        wide = scorer(wide, f"__score{mo}")
+        added += [F.lit(mo), F.lit(model), nan_to_null(F.col(f"__score{mo}").cast("double"))]
+    if not added:
+        raise ValueError("no model could score")
+    return wide.select(*keys, F.stack(F.lit(len(scorers)), *added).alias("mo", "model", "share")), {}
+
+
+def _score_one_by_one(df: DataFrame, scorers: Mapping[str, Scorer], keys: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    features = scratch_table(df, "features")
+    scores: list[DataFrame] = []
     skipped: dict[str, str] = {}
-    wide = df
     for mo, (model, scorer) in enumerate(scorers.items()):
-        column = f"__score{mo}"
         try:
-            scored = scorer(wide, column)
-            scored.schema  # analysis errors show here
+            scored = scorer(features, "__score").select(
+                *keys, F.lit(mo).alias("mo"), F.lit(model).alias("model"), nan_to_null(F.col("__score").cast("double")).alias("share"))
+            scores.append(scratch_table(scored, "scores"))
         except Exception as e:
-            if on_error != "skip":
-                raise
             log.warning("model %s skipped: %s", model, e)
             skipped[model] = str(e)
-            continue
-        wide = scored
-        added.append((mo, model, column))
-    if not added:
+    if not scores:
         raise ValueError("no model could score")
-    rows = [v for mo, model, column in added
-            for v in (F.lit(mo), F.lit(model), nan_to_null(F.col(column).cast("double")))]
-    return wide.select(*keys, F.stack(F.lit(len(added)), *rows).alias("mo", "model", "share")), skipped
+    return reduce(DataFrame.unionByName, scores), skipped

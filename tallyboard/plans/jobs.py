@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard import schemas as S
 from tallyboard.operators import clean, joins, quality, ranking, scoring
-from tallyboard.session import scratch_table
+from tallyboard.session import scratch_path, scratch_table
 from tallyboard.sinks import append_jdbc, overwrite_partitions, write_rank_csv, write_report_csv, write_table
 from tallyboard.sources import (award_rows, read_awards, read_dated_ranks, read_player_stats, read_seasons,
                                 read_standings, read_table)
@@ -76,9 +76,11 @@ def training_set(spark: SparkSession, history: str, awards: str, out: str,
     stats = clean.drop_total_rows(read_seasons(spark, history, seasons)).drop(_YEAR)
     votes = read_awards(spark, awards)
     if not quality.names_match(votes, stats, labels, strict):
-        missing = quality.missing_players(votes, stats).limit(20).collect()
-        raise quality.QualityError("not all award players occur in the stats, such as "
-                                   + ", ".join(f"{r['Player']} {r['award_season']}" for r in missing))
+        path = scratch_path(spark, "missing_players")
+        write_table(quality.missing_players(votes.where(F.col("award_season").isin(labels)), stats, strict), path)
+        listed = read_table(spark, path)
+        raise quality.QualityError(f"{listed.count()} award votes name players that the stats lack, "
+                                   f"such as {' '.join(listed.first())}; all of them are listed in {path}")
     labelled, counts = clean.observed(joins.with_awards(stats, votes), "training_set", ["Share"])
     typed = clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES)
     write_table(typed, out)
@@ -109,11 +111,12 @@ def scored_candidates(snapshot: DataFrame, scaler: scoring.Scaler | None,
                       on_error: str = "raise", **projection) -> tuple[DataFrame, DataFrame, dict[str, str]]:
     """Candidates with projected figures, their scores per model, and the models skipped.
 
-    A traded player has one row per team; the row with most games stays.
+    A traded player has one row per team; the row with most games stays. The
+    candidates are written once, for the scores and for the report.
     """
     chosen = clean.candidates(clean.to_number(snapshot, "PER_ADVANCED"))
     chosen = ranking.one_row_per_player(chosen, [*by, "PLAYER"], [F.col("G").desc(), F.col("TEAM").asc()])
-    projected = clean.project_season(chosen, **projection)
+    projected = scratch_table(clean.project_season(chosen, **projection), "projected")
     features = scaler.transform(projected) if scaler else projected
     scores, skipped = scoring.score_models(features, scorers, [*by, "PLAYER"], on_error)
     return projected, scores, skipped
@@ -126,7 +129,8 @@ def score_and_rank(snapshot: DataFrame, scorers: Mapping[str, scoring.Scorer], o
     """Score candidates, merge the models' top-n into one order, write rank table and report.
 
     ``by`` are the columns that tell runs apart, such as the snapshot date; all
-    runs are ranked in one job. Returns the report.
+    runs are ranked in one job. Returns the report as written: candidates are
+    projected once, and whoever reads the report runs none of the job again.
     """
     spark = snapshot.sparkSession
     projected, scores, skipped = scored_candidates(snapshot, scaler, scorers, by, on_error, **projection)
@@ -141,7 +145,7 @@ def score_and_rank(snapshot: DataFrame, scorers: Mapping[str, scoring.Scorer], o
         [*by, "pos"], "left")
     write_rank_csv(wide, f"{out}/rank", by)
     # Candidates hold one row per player already.
-    report = final_report(final, projected, by, layout, validate=False)
+    report = scratch_table(final_report(final, projected, by, layout, validate=False), "report")
     write_report_csv(report, f"{out}/report", by)
     return report
 

@@ -110,8 +110,9 @@ def test_history_awards_and_training_set(spark, raw, make, caplog):
 
 def test_an_unknown_award_player_stops_the_training_set(spark, raw, make):
     base, seasons, _, _ = history(spark, raw, make, award_page(2007, ("1", "Nobody", 0.5)))
-    with pytest.raises(quality.QualityError, match="such as Nobody 2006-07"):
+    with pytest.raises(quality.QualityError, match="1 award votes .* such as Nobody 2006-07; .* listed in") as e:
         jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", seasons)
+    assert rows(read_table(spark, str(e.value).rsplit(" ", 1)[1])) == [("Nobody", "2006-07")]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_table(spark, f"{base}/processed")
 

@@ -70,3 +70,11 @@ def test_missing_players(make):
 def test_value_counts(make):
     df = make([(1, "b"), (1, "a"), (1, "b"), (1, "c"), (2, "c")], "g int, v string")
     assert rows(quality.value_counts(df, ["g"], "v")) == [(1, "a", 1, 2), (1, "b", 2, 1), (1, "c", 1, 3), (2, "c", 1, 1)]
+
+
+def test_name_match_moves_each_key_once(make, plan):
+    awards = make([("x", "2006-07"), ("x", "2007-08"), (None, "2006-07"), ("y", None)], "Player string, award_season string")
+    stats = make([("x",), ("x",), (None,)], "Player string")
+    got = quality.name_match(awards, stats)
+    assert plan(got, "simple").count("Exchange hashpartitioning") == 2
+    assert rows(got) == sorted([("2006-07", 2, 0), ("2007-08", 1, 0), (None, 1, 1)], key=repr)

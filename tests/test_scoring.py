@@ -87,10 +87,32 @@ def test_pickled_estimator_scores_from_a_file(spark, table, tmp_path):
     assert dict(rows(got.select("PLAYER", "share")))["p5"] == 5.0 + 25 % 7
 
 
-def test_too_large_a_model_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(scoring, "MODEL_BYTES", 3)
-    with pytest.raises(ValueError, match="above the bound"):
-        scoring.pickled_scorer(spark, b"1234", FEATURES)
+def test_model_files_of_one_name_are_told_apart(spark, table, tmp_path):
+    scorers = {}
+    for weight, folder in ((1.0, "a"), (10.0, "b")):
+        (tmp_path / folder).mkdir()
+        path = tmp_path / folder / "SVM.dat"
+        path.write_bytes(pickle.dumps(SimpleNamespace(predict=operator.methodcaller("dot", np.array([weight, 0.0])))))
+        scorers[folder] = scoring.load_pickled_scorer(spark, str(path), FEATURES)
+    got, _ = scoring.score_models(table, scorers, ["PLAYER"])
+    assert {(r.model, r.share) for r in got.where("PLAYER = 'p5'").collect()} == {("a", 5.0), ("b", 50.0)}
+
+
+@pytest.mark.parametrize("kind", ["bytes", "file"])
+def test_a_model_that_fails_while_predicting(spark, table, tmp_path, kind):
+    payload = pickle.dumps(SimpleNamespace(predict=operator.methodcaller("no_such_method")))
+    (tmp_path / "bad.dat").write_bytes(payload)
+    bad = (scoring.pickled_scorer(spark, payload, FEATURES) if kind == "bytes"
+           else scoring.load_pickled_scorer(spark, str(tmp_path / "bad.dat"), FEATURES))
+    good = {"a": scoring.expression_scorer("PTS_TOTAL"), "c": scoring.linear_scorer({"PTS_TOTAL": 2.0})}
+    scorers = {"a": good["a"], "bad": bad, "c": good["c"]}
+    with pytest.raises(Exception, match="no_such_method"):
+        scoring.score_models(table, scorers, ["PLAYER"])[0].collect()
+    got, skipped = scoring.score_models(table, scorers, ["PLAYER"], on_error="skip")
+    assert list(skipped) == ["bad"] and "no_such_method" in skipped["bad"]
+    want, _ = scoring.score_models(table, good, ["PLAYER"])
+    assert rows(got.select("PLAYER", "model", "share")) == rows(want.select("PLAYER", "model", "share"))
+    assert {(r.mo, r.model) for r in got.collect()} == {(0, "a"), (2, "c")}
 
 
 def test_scorers_load_by_model_name(spark, table, tmp_path):
