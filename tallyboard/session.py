@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,18 +44,19 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyboard-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+_scratch: list[str] = []
 
 
-_scratch: list[str] = []
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call gets, and that ``drop_scratch`` deletes."""
+    _scratch.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
 
 
 def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
@@ -64,13 +66,12 @@ def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
     the columns it uses.
     """
     path = scratch_path(df.sparkSession, name)
-    _scratch.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables of this process, once no result that reads them is needed."""
+    """Delete all scratch paths of this process, once no result that reads them is needed."""
     while _scratch:
         path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyboard.operators.joins import broadcast_if_small, key_join
 from tallyboard.session import scratch_table
 from tallyboard.sinks.relational import new_rows
 
@@ -35,33 +36,39 @@ def land(df: DataFrame, path: str, by: Sequence[str]) -> None:
     _gathered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Append all rows. There is no key: a second run appends them again."""
-    df.write.mode("append").parquet(path)
+def append_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Append all rows, laid out by partition columns if any. There is no key: a second run appends them again."""
+    writer = df.write.mode("append")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def append_new(df: DataFrame, path: str, keys: Sequence[str], by: Sequence[str] = ()) -> None:
     """Append only the rows whose key the table does not hold yet, so a second run adds nothing.
 
-    The new rows are written aside first: they are found by reading the table
-    that is about to change.
+    ``by`` are the table's partition columns, if they are among the keys: then only
+    the partitions that the batch touches are read. The batch is evaluated once, and
+    the new rows are written aside first: they are found by reading the table that is
+    about to change.
     """
+    batch = scratch_table(df, "batch")
     held = df.sparkSession.read.parquet(path)
-    append_table(scratch_table(new_rows(df, held, keys), "new_rows"), path)
+    if by:
+        touched = broadcast_if_small(batch.select(*by).distinct())
+        held = key_join(held, touched, by, by, "left_semi")
+    append_table(scratch_table(new_rows(batch, held, keys), "new_rows"), path, by)
 
 
 def _write_csv(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    # Top-n tables: one small file per run. Without run columns it is a single run.
     df = df.repartition(*by) if by else df.coalesce(1)
     writer = df.write.mode("overwrite").option("header", True).option("sep", ",")
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
 def write_rank_csv(wide: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Wide rank table with its positions, one file per run."""
+    """Wide rank table with its positions, one file per run. A run is a top-n table that one task writes."""
     _write_csv(wide, path, by)
 
 
 def write_report_csv(report: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Final report, separator ``,`` and decimal point, one file per run."""
+    """Final report, separator ``,`` and decimal point, one file per run. A run is a top-n table that one task writes."""
     _write_csv(report, path, by)

@@ -33,15 +33,20 @@ def existing_keys(batch: DataFrame, url: str, table: str, keys: Sequence[str], s
     """Keys the table already holds within the batch's range of ``split_by``.
 
     Only the key columns of that range leave the database, over several
-    connections. ``split_by`` is one of the keys, a date, timestamp or number.
+    connections. ``split_by`` is one of the keys, a date, timestamp or number;
+    stored rows without it count if the batch has such rows. The batch is read
+    here once, so hand over one that is cheap to read again.
     """
-    low, high = batch.agg(F.min(split_by), F.max(split_by)).first()
+    low, high, bare = batch.agg(F.min(split_by), F.max(split_by), F.count_if(F.col(split_by).isNull())).first()
     reader = batch.sparkSession.read
     if low is not None and low != high:
         reader = (reader.option("partitionColumn", split_by).option("numPartitions", connections)
                   .option("lowerBound", str(low)).option("upperBound", str(high)))
     stored = reader.jdbc(url, table, properties=dict(properties or {}))
-    return stored.where(F.col(split_by).between(low, high)).select(*keys)
+    wanted = F.col(split_by).between(low, high)
+    if bare:
+        wanted = wanted | F.col(split_by).isNull()
+    return stored.where(wanted).select(*keys)
 
 
 def new_rows(df: DataFrame, existing: DataFrame,

@@ -1,4 +1,4 @@
-from tallyboard.streaming.ingest import (BatchSink, append_batches, append_new_to_jdbc, event_keys,
-                                         ingest_new_files)
+from tallyboard.streaming.ingest import (BatchSink, append_batches, append_named_objects, append_new_to_jdbc,
+                                         event_keys, ingest_new_files)
 
-__all__ = ["BatchSink", "append_batches", "append_new_to_jdbc", "event_keys", "ingest_new_files"]
+__all__ = ["BatchSink", "append_batches", "append_named_objects", "append_new_to_jdbc", "event_keys", "ingest_new_files"]

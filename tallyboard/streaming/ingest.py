@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyboard.session import scratch_table
 from tallyboard.sinks.relational import append_jdbc, existing_keys, new_rows
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -43,8 +44,10 @@ def append_new_to_jdbc(url: str, table: str, keys: Sequence[str], split_by: str
                        properties: Mapping[str, str] | None = None) -> BatchSink:
     """Sink to a relational table; a repeated batch adds only rows the table lacks."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        known = existing_keys(batch, url, table, keys, split_by, properties)
-        append_jdbc(new_rows(batch, known, keys), url, table, properties)
+        # The batch is read for its range, for the comparison and for the write.
+        rows = scratch_table(batch, "batch")
+        known = existing_keys(rows, url, table, keys, split_by, properties)
+        append_jdbc(new_rows(rows, known, keys), url, table, properties)
     return sink
 
 
@@ -56,3 +59,16 @@ def event_keys(events: DataFrame, column: str = "event", prefix: str = "data/raw
     record = F.explode(F.from_json(F.col(column), _EVENT)["Records"]).alias("record")
     keys = events.select(record).select(F.url_decode("record.s3.object.key").alias("key"))
     return keys.where(F.col("key").startswith(prefix))
+
+
+def append_named_objects(events: DataFrame, root: str, schema: T.StructType, append: Callable[[DataFrame], None],
+                         column: str = "event", prefix: str = "data/raw/players/") -> int:
+    """Append the rows of the objects that events name; returns how many objects there were.
+
+    An object named twice is appended once. The names of the objects, not their
+    rows, pass through the driver: they are the paths of one read.
+    """
+    keys = [r["key"] for r in event_keys(events, column, prefix).distinct().orderBy("key").collect()]
+    if keys:
+        append(events.sparkSession.read.schema(schema).parquet(*[f"{root}/{k}" for k in keys]))
+    return len(keys)

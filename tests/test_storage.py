@@ -8,7 +8,7 @@ from tallyboard.sinks import (DatabaseWriteError, append_jdbc, append_new, appen
                               write_rank_csv, write_report_csv, write_table)
 from tallyboard.sources import (read_awards, read_dated_ranks, read_player_stats, read_seasons, read_standings, read_table,
                                 union_seasons)
-from tallyboard.streaming import append_batches, append_new_to_jdbc, event_keys, ingest_new_files
+from tallyboard.streaming import append_batches, append_named_objects, append_new_to_jdbc, event_keys, ingest_new_files
 
 from .conftest import rows
 
@@ -126,13 +126,15 @@ def test_a_cluster_without_shared_folder_is_refused():
         session.shared_folder(Session())
 
 
-def test_scratch_tables_can_be_dropped(spark, make):
-    kept = session.scratch_path(spark, "kept")
-    write_table(make([(1,)], "x int"), kept)
+def test_scratch_paths_can_be_dropped(spark, make, tmp_path):
+    kept, own = f"file://{tmp_path}/kept", session.scratch_path(spark, "own")
+    for path in (kept, own):
+        write_table(make([(1,)], "x int"), path)
     path = session.scratch_table(make([(1,)], "x int")).inputFiles()[0].rsplit("/", 1)[0]
     session.drop_scratch(spark)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_table(spark, path)
+    for gone in (path, own):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read_table(spark, gone)
     assert read_table(spark, kept).count() == 1
 
 
@@ -176,6 +178,56 @@ def test_existing_keys_read_only_the_batch_range(make, monkeypatch):
     assert [r.PTS for r in new_rows(batch, known).collect()] == [8]
 
 
+def test_stored_rows_without_range_value_count_if_the_batch_has_such_rows(make, monkeypatch):
+    stored = make([("2023-24", None, "a", "X", 5), ("2023-24", _day(2), "a", "X", 6)], ROW)
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: stored)
+    batch = make([("2023-24", None, "a", "X", 5), ("2023-24", _day(2), "a", "X", 6), ("2023-24", None, "b", "X", 1)], ROW)
+    known = existing_keys(batch, "jdbc:x", "t", KEYS, "snapshot_date")
+    assert [r.Player for r in new_rows(batch, known).collect()] == ["b"]
+    only = batch.where("snapshot_date IS NULL")
+    assert existing_keys(only, "jdbc:x", "t", KEYS, "snapshot_date").count() == 1
+    assert existing_keys(batch.where("snapshot_date IS NOT NULL"), "jdbc:x", "t", KEYS, "snapshot_date").count() == 1
+
+
+def test_repeated_batch_with_null_range_value_adds_nothing(spark, make, monkeypatch):
+    table, runs = [], spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **k: table.extend(self._df.collect()))
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: spark.createDataFrame(table, ROW))
+    sink = append_new_to_jdbc("jdbc:x", "t", KEYS)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+    batch = make([("2023-24", None, "a", "X", 6), ("2023-24", _day(2), "b", None, 8)], ROW).coalesce(1).mapInPandas(counted, ROW)
+    sink(batch, 0)
+    assert runs.value == 1  # the batch is evaluated once
+    sink(batch, 0)
+    assert len(table) == 2
+
+
+def test_append_new_reads_only_the_partitions_it_touches(spark, make, tmp_path):
+    path = f"file://{tmp_path}/days"
+    schema = "day string, k int"
+    append_table(make([("d1", 1), ("d2", 1), (None, 1)], schema), path, ["day"])
+    batch = make([("d2", 1), ("d2", 2), (None, 1), (None, 3), ("d3", 1)], schema)
+    for _ in range(2):
+        append_new(batch, path, ["day", "k"], ["day"])
+    got = sorted(((r.day, r.k) for r in read_table(spark, path).collect()), key=repr)
+    assert got == sorted([("d1", 1), ("d2", 1), ("d2", 2), (None, 1), (None, 3), ("d3", 1)], key=repr)
+
+
+def test_objects_named_by_events_are_appended(spark, make, tmp_path):
+    root, out = f"file://{tmp_path}/objects", f"file://{tmp_path}/table"
+    for name, x in (("a 1", 1), ("b", 2), ("c", 3)):
+        write_table(make([(x,)], "x int"), f"{root}/data/raw/players/{name}.parquet")
+    event = '{"Records": [{"s3": {"object": {"key": "data/raw/players/%s.parquet"}}}, {"s3": {"object": {"key": "other/x"}}}]}'
+    events = make([(event % "a+1",), (event % "b",), (event % "b",), ('{"Records": []}',)], "event string")
+    schema = T.StructType([T.StructField("x", T.IntegerType())])
+    assert append_named_objects(events, root, schema, lambda df: append_table(df, out)) == 2
+    assert sorted(r.x for r in read_table(spark, out).collect()) == [1, 2]
+    assert append_named_objects(events.limit(0), root, schema, lambda df: append_table(df, out)) == 0
+
+
 def test_repeated_stream_batch_adds_nothing_to_the_database(spark, make, monkeypatch):
     table = []
 
