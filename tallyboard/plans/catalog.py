@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.ml import Pipeline
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard import schemas as S
 from tallyboard.functions import np_round, rank_text
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.plans import jobs, league
-from tallyboard.session import scratch_path, spread
+from tallyboard.session import scratch_path, scratch_table, spread
 from tallyboard.sinks import append_new, append_table, land, overwrite_partitions, write_report_csv, write_table
-from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, union_seasons
-from tallyboard.streaming import append_batches, event_keys, ingest_new_files
+from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, seasons_of, union_seasons
+from tallyboard.streaming import append_batches, append_named_objects, event_keys, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,7 +115,7 @@ def standings_left(spark, sf_dir):
 WITH award AS (SELECT o_custkey AS player, year(o_orderdate) AS yr, max(o_totalprice) AS share
   FROM orders WHERE o_orderpriority='1-URGENT' GROUP BY 1,2),
 stats AS (SELECT o_custkey AS player, year(o_orderdate) AS season, count(*) AS n FROM orders GROUP BY 1,2)
-SELECT s.player, s.season, s.n, coalesce(a.share,0) AS share
+SELECT s.player, s.season, s.n, coalesce(a.share,0) AS share, count(*) OVER () AS n_rows, count(a.share) OVER () AS n_shares
 FROM stats s LEFT JOIN award a ON s.player=a.player AND s.season=a.yr""")
 def award_left_fill(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("season", F.year("o_orderdate").cast("bigint"))
@@ -120,8 +123,11 @@ def award_left_fill(spark, sf_dir):
     stats = orders.groupBy(*key, "season").agg(F.count(F.lit(1)).alias("n"))
     votes = orders.where("o_orderpriority = '1-URGENT'").groupBy(*key, F.col("season").alias("award_season")).agg(
         F.max("o_totalprice").alias("Share"), F.lit("1").alias("Rank"))
-    filled, _ = clean.observed(clean.fill_share(joins.with_awards(stats, votes, landed=False, nulls_match=False)), "labelled", ["Share"])
-    return filled.select(F.col("Player").alias("player"), "season", "n", F.col("Share").alias("share"))
+    labelled, counts = clean.observed(joins.with_awards(stats, votes, landed=False, nulls_match=False), "labelled", ["Share"])
+    # The counts are there once the labelled rows have been written.
+    filled = scratch_table(clean.fill_share(labelled).select(
+        F.col("Player").alias("player"), "season", "n", F.col("Share").alias("share")), "labelled")
+    return filled.withColumns({"n_rows": F.lit(counts.get["rows"]), "n_shares": F.lit(counts.get["Share"])})
 
 
 @register("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS "
@@ -131,6 +137,17 @@ def missing_keys_anti(spark, sf_dir):
                               table(spark, sf_dir, "lineitem"), ["o_orderkey"], ["l_orderkey"], nulls_match=False)
 
 
+_TYPED_KEY = "CASE WHEN l_linenumber % 3 = 0 THEN '0007' WHEN l_linenumber = 1 THEN NULL ELSE lpad(CAST(l_suppkey AS VARCHAR(9)), 12, '0') END"
+
+
+@register(f"WITH i AS (SELECT l_orderkey, l_linenumber, {_TYPED_KEY} AS supplier FROM lineitem) "
+          "SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s_suppkey%2=0 AND s_suppkey=CAST(i.supplier AS BIGINT))")
+def missing_keys_typed(spark, sf_dir):
+    """Text keys against integer keys; one key and the null key own a third of the rows each, and are joined apart."""
+    item = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_TYPED_KEY).alias("supplier"))
+    return joins.missing_keys(item, table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0"), ["supplier"], ["s_suppkey"], hot_rows=500)
+
+
 # --- checks ------------------------------------------------------------------
 
 @register("""
@@ -229,25 +246,22 @@ def multi_model_rank(spark, sf_dir):
         "model", "player", np_round(F.col("share"), 3).alias("share"), "pos")
 
 
+def _per_model(columns):
+    """SQL that puts every model's value of each (name, expression) in a column of its own."""
+    return ", ".join(f"max(CASE WHEN model='{m}' THEN {value} END) AS \"{name} {m}\"" for m in S.MODELS for name, value in columns)
+
+
 @register(f"""WITH {_SCORED} SELECT player,
-  max(CASE WHEN model='SVM' THEN round_even(share,3) END) AS "PREDICTED MVP SHARE SVM",
-  max(CASE WHEN model='SVM' THEN pos END) AS "MVP RANK SVM",
-  max(CASE WHEN model='AdaBoost' THEN round_even(share,3) END) AS "PREDICTED MVP SHARE AdaBoost",
-  max(CASE WHEN model='AdaBoost' THEN pos END) AS "MVP RANK AdaBoost"
-FROM ranked GROUP BY player""")
+  {_per_model([("PREDICTED MVP SHARE", "round_even(share,3)"), ("MVP RANK", "pos")])} FROM ranked GROUP BY player""")
 def multi_model_wide(spark, sf_dir):
-    ranked = ranking.rank_models(_scored(spark, sf_dir).where(F.col("model").isin("SVM", "AdaBoost")))
-    return ranking.wide_results(ranked.withColumn("share", np_round(F.col("share"), 3)), ["SVM", "AdaBoost"])
+    ranked = ranking.rank_models(_scored(spark, sf_dir))
+    return ranking.wide_results(ranked.withColumn("share", np_round(F.col("share"), 3)))
 
 
 @register(f"""WITH {_SCORED} SELECT pos,
-  max(CASE WHEN model='SVM' THEN player END) AS svm_player, max(CASE WHEN model='SVM' THEN round_even(share,3) END) AS svm_share,
-  max(CASE WHEN model='LGBM' THEN player END) AS lgbm_player, max(CASE WHEN model='LGBM' THEN round_even(share,3) END) AS lgbm_share
-FROM ranked WHERE pos<=10 GROUP BY pos""")
+  {_per_model([("MVP RANK", "player"), ("MVP SHARE", "round_even(share,3)")])} FROM ranked WHERE pos<=10 GROUP BY pos""")
 def topn_wide(spark, sf_dir):
-    wide = ranking.wide_ranks(ranking.top_models(_scored(spark, sf_dir)))
-    return wide.select("pos", *[F.col(f"MVP {what} {m}").alias(f"{m.lower()}_{name}")
-                                for m in ("SVM", "LGBM") for what, name in (("RANK", "player"), ("SHARE", "share"))])
+    return ranking.wide_ranks(ranking.top_models(_scored(spark, sf_dir)))
 
 
 @register(f"""WITH RECURSIVE {_SCORED},
@@ -399,6 +413,22 @@ def event_object_keys(spark, sf_dir):
     return event_keys(notices)
 
 
+@register("SELECT event_id, user_id, value FROM events WHERE event_type IN "
+          "(SELECT event_type FROM events WHERE user_id%7=0 AND length(event_type)%2=0)")
+def event_to_table(spark, sf_dir):
+    """Many events name some of the objects; the objects named are appended once each."""
+    events = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "objects")
+    folder = "data/raw/players"
+    events.select("event_id", "user_id", "value", "event_type").write.partitionBy("event_type").parquet(f"{base}/{folder}")
+    name = F.concat(F.lit(f"{folder}/event_type="), F.col("event_type"))
+    record = F.struct(F.struct(F.struct(F.url_encode(name).alias("key")).alias("object")).alias("s3"))
+    notices = events.where("user_id % 7 = 0 AND length(event_type) % 2 = 0").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("event"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    append_named_objects(notices, base, schema, lambda rows: append_table(rows, f"{base}/table"))
+    return read_table(spark, f"{base}/table", schema)
+
+
 # --- jobs --------------------------------------------------------------------
 
 def _sql_list(values):
@@ -417,7 +447,7 @@ sums AS (SELECT season_year, player, CASE WHEN grouping(team)=1 THEN 'TOT' ELSE
 stand AS (SELECT season_year, team, CAST(floor(sum(won)*40/count(*)) AS BIGINT) AS w, 1+team%18 AS seed FROM games GROUP BY 1,2),
 stats AS (SELECT s.*, 'Player ' || s.player AS name, ['PG','SG','SF','PF','C'][s.player%5+1] AS pos, 19+s.player%20 AS age,
   round_even(s.pts/s.g,1) AS pts_pg, round_even(s.mp/s.g,1) AS mp_pg, round_even(s.trb/s.g,1) AS trb_pg,
-  round_even(s.ast/s.g,1) AS ast_pg, s.pts/(s.pts+s.mp) AS fg, round_even((s.pts+s.trb+s.ast)/s.g*0.6::DOUBLE,1) AS per,
+  round_even(s.ast/s.g,1) AS ast_pg, s.pts+2*s.ast AS fga, round_even((s.pts+2*s.ast)/s.g,1) AS fga_pg, s.pts/(s.pts+s.mp) AS fg, round_even((s.pts+s.trb+s.ast)/s.g*0.6::DOUBLE,1) AS per,
   round_even(s.ast/40,1) AS vorp, s.pts/s.mp/48 AS ws48, t.w, 41-t.w AS l, t.seed,
   CAST(s.season_year-1 AS VARCHAR) || '-' || substr(CAST(s.season_year AS VARCHAR),3) AS season
   FROM sums s LEFT JOIN stand t ON s.season_year=t.season_year AND s.team=t.team AND s.tm<>'TOT' WHERE keep)"""
@@ -435,22 +465,23 @@ def current_snapshot_job(spark, sf_dir):
         "PER_advanced", "W_team", "W/L%_team", "Seed", "season", "snapshot_date")
 
 
-_SEASONS = [str(y) for y in range(1995, 2002)]
+def _seasons(spark, raw):
+    return seasons_of(spark, f"{raw}/standings")
 
 
 @register(f"""WITH {_LEAGUE}
-SELECT name AS "Player", tm AS "Tm", g AS "G_advanced", mp AS "MP_totals", mp_pg AS "MP_per_game", trb_pg AS "TRB_per_game",
+SELECT name AS "Player", tm AS "Tm", g AS "G_advanced", fga AS "FGA_totals", mp_pg AS "MP_per_game", trb_pg AS "TRB_per_game",
   vorp AS "VORP_advanced", coalesce(l,0) AS "L_team", coalesce(seed,0) AS "Seed", season FROM stats""")
 def historical_seasons_job(spark, sf_dir):
     raw, _ = league.land_raw(spark, sf_dir)
-    return jobs.historical_seasons(spark, raw, scratch_path(spark, "historical"), _SEASONS).select(
-        "Player", "Tm", "G_advanced", F.col("FGA_totals").alias("MP_totals"), "MP_per_game", "TRB_per_game", "VORP_advanced",
+    return jobs.historical_seasons(spark, raw, scratch_path(spark, "historical"), _seasons(spark, raw)).select(
+        "Player", "Tm", "G_advanced", "FGA_totals", "MP_per_game", "TRB_per_game", "VORP_advanced",
         "L_team", "Seed", "season")
 
 
 _VOTES = """
 votes AS (SELECT season_year, player, round_even(max(pts)/1000,3) AS share,
-  row_number() OVER (PARTITION BY season_year ORDER BY max(pts) DESC, player) AS place
+  row_number() OVER (PARTITION BY season_year, player//64 ORDER BY max(pts) DESC, player) AS place
   FROM sums WHERE tm<>'TOT' GROUP BY 1,2 QUALIFY place<=15)"""
 
 
@@ -467,26 +498,21 @@ FROM stats LEFT JOIN votes USING(season_year, player) WHERE tm<>'TOT'""")
 def training_set_job(spark, sf_dir):
     raw, rows = league.land_raw(spark, sf_dir)
     base = scratch_path(spark, "training")
-    jobs.historical_seasons(spark, raw, f"{base}/historical", _SEASONS)
+    jobs.historical_seasons(spark, raw, f"{base}/historical", _seasons(spark, raw))
     jobs.award_votes(league.award_pages(rows), f"{base}/awards")
-    return jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", _SEASONS, strict=True).select(
+    return jobs.training_set(spark, f"{base}/historical", f"{base}/awards", f"{base}/processed", _seasons(spark, raw), strict=True).select(
         "Player", "Tm", "season", "PTS_totals", "Seed", "Share")
 
 
 _JOB_SCORES = ["PTS_PERGAME", "PTS_TOTAL", "PER_ADVANCED + VORP_ADVANCED", "AST_TOTAL + TRB_TOTAL", "PTS_PERGAME * MP_PERGAME"]
 
-
-@register(f"""WITH RECURSIVE {_LEAGUE},
+_PICKED = """
 picked AS (SELECT *, (82-41)/g+1 AS mult FROM stats WHERE tm<>'TOT' AND pts_pg>13.5 AND mp_pg>30 AND seed<=16 AND ast_pg>1
-  AND trb_pg>3 AND fg>0.37 AND mp_pg>10 AND per>18
+  AND trb_pg>3 AND fg>0.37 AND fga_pg>10 AND per>18
   QUALIFY row_number() OVER (PARTITION BY season, name ORDER BY g DESC, tm)=1),
 proj AS (SELECT *, CAST(round_even(pts*mult,0) AS BIGINT) AS pts_t, CAST(round_even(ast*mult,0) AS BIGINT) AS ast_t,
-  CAST(round_even(trb*mult,0) AS BIGINT) AS trb_t, round_even(vorp*mult,1) AS vorp_p FROM picked),
-scored AS (SELECT 0 AS mo,'SVM' AS model,season,name,pts_pg AS share FROM proj
-  UNION ALL SELECT 1,'Random Forest',season,name,CAST(pts_t AS DOUBLE) FROM proj
-  UNION ALL SELECT 2,'AdaBoost',season,name,per+vorp_p FROM proj
-  UNION ALL SELECT 3,'Gradient Boosting',season,name,CAST(ast_t+trb_t AS DOUBLE) FROM proj
-  UNION ALL SELECT 4,'LGBM',season,name,pts_pg*mp_pg FROM proj),
+  CAST(round_even(trb*mult,0) AS BIGINT) AS trb_t, round_even(vorp*mult,1) AS vorp_p FROM picked)"""
+_CHOSEN = """
 top AS (SELECT mo, model, season, name, round_even(share,3) AS share,
   row_number() OVER (PARTITION BY season, model ORDER BY scored.share DESC, name) AS pos FROM scored QUALIFY pos<=10),
 tot AS (SELECT season, name, sum(CAST(share AS DECIMAL(18,3))) AS share_sum FROM top GROUP BY 1,2),
@@ -496,7 +522,15 @@ pref AS (SELECT season, pos, list(name ORDER BY (votes>=3) DESC, (votes3>=2) DES
   FROM cand JOIN tot USING(season, name) GROUP BY 1,2),
 step AS (SELECT DISTINCT season, 0::BIGINT AS pos, []::VARCHAR[] AS chosen FROM pref
   UNION ALL SELECT p.season, p.pos, list_append(s.chosen, list_filter(p.l, lambda x: NOT list_contains(s.chosen,x))[1])
-  FROM step s JOIN pref p ON p.season=s.season AND p.pos=s.pos+1)
+  FROM step s JOIN pref p ON p.season=s.season AND p.pos=s.pos+1)"""
+
+
+@register(f"""WITH RECURSIVE {_LEAGUE}, {_PICKED},
+scored AS (SELECT 0 AS mo,'SVM' AS model,season,name,pts_pg AS share FROM proj
+  UNION ALL SELECT 1,'Random Forest',season,name,CAST(pts_t AS DOUBLE) FROM proj
+  UNION ALL SELECT 2,'AdaBoost',season,name,per+vorp_p FROM proj
+  UNION ALL SELECT 3,'Gradient Boosting',season,name,CAST(ast_t+trb_t AS DOUBLE) FROM proj
+  UNION ALL SELECT 4,'LGBM',season,name,pts_pg*mp_pg FROM proj), {_CHOSEN}
 SELECT s.season, s.pos AS "Predicted MVP Rank", p.name AS "Player", p.pos AS "Position", p.tm AS "Team", p.age AS "Age",
   round_even(180+u.s_nationkey*1.27::DOUBLE,1) AS "Height (cm)", p.g AS "Games", p.pts_pg AS "PTS", p.trb_pg AS "REB",
   round_even(p.fg*100,2) AS "FG%", p.per AS "PER", round_even(p.ws48,3) AS "WS/48", p.vorp_p AS "VORP (Projected)",
@@ -504,10 +538,57 @@ SELECT s.season, s.pos AS "Predicted MVP Rank", p.name AS "Player", p.pos AS "Po
 FROM step s LEFT JOIN proj p ON p.season=s.season AND p.name=s.chosen[s.pos]
 LEFT JOIN supplier u ON u.s_suppkey=p.player WHERE s.pos>0""")
 def score_and_rank_job(spark, sf_dir):
-    raw, _ = league.land_raw(spark, sf_dir)
     base = scratch_path(spark, "scored")
-    history = jobs.historical_seasons(spark, raw, f"{base}/historical", _SEASONS)
-    snapshot = jobs.scoring_snapshot(clean.drop_total_rows(history), league.attributes(spark, sf_dir))
     layout = {k: v for k, v in S.REPORT_COLUMNS.items() if k not in ("Minutes", "AST", "STL", "BLK", "3P%", "FT%")}
     scorers = {m: scoring.expression_scorer(e) for m, e in zip(S.MODELS, _JOB_SCORES, strict=True)}
-    return jobs.score_and_rank(snapshot, scorers, f"{base}/out", by=["season"], layout=layout)
+    return jobs.score_and_rank(_job_snapshot(spark, sf_dir, base), scorers, f"{base}/out", by=["season"], layout=layout)
+
+
+def _job_snapshot(spark, sf_dir, base):
+    raw, _ = league.land_raw(spark, sf_dir)
+    history = jobs.historical_seasons(spark, raw, f"{base}/historical", _seasons(spark, raw))
+    return jobs.scoring_snapshot(clean.drop_total_rows(history), league.attributes(spark, sf_dir))
+
+
+# Feature, mean, deviation, and a weight for each model.
+_STORED = [("PTS_PERGAME", "pts_pg", 21.37, 3.91, (0.317, 0.271, 0.113, 0.059, 0.183)),
+           ("MP_PERGAME", "mp_pg", 33.11, 2.83, (0.101, 0.067, 0.211, 0.307, 0.029)),
+           ("PER_ADVANCED", "per", 19.73, 4.19, (0.043, 0.131, 0.251, 0.109, 0.193))]
+_INTERCEPTS = (0.37, 0.29, 0.41, 0.23, 0.31)
+
+
+def _stored_score(model):
+    return " + ".join([f"{_INTERCEPTS[model]}::DOUBLE"] + [
+        f"({column}-{mean}::DOUBLE)/{std}::DOUBLE*{weights[model]}::DOUBLE" for _, column, mean, std, weights in _STORED])
+
+
+_STORED_SCORES = " UNION ALL ".join(
+    f"SELECT {i} AS mo, '{m}' AS model, season, name, {_stored_score(i)} AS share FROM proj" for i, m in enumerate(S.MODELS))
+_TOP_COLUMNS = ", ".join(f"""max(CASE WHEN model='{m}' THEN name END) AS "MVP RANK {m}",
+  max(CASE WHEN model='{m}' THEN share END) AS "MVP SHARE {m}\"""" for m in S.MODELS)
+
+
+@register(f"""WITH RECURSIVE {_LEAGUE}, {_PICKED}, scored AS ({_STORED_SCORES}), {_CHOSEN}
+SELECT t.season, t.pos, {_TOP_COLUMNS}, any_value(s.chosen[s.pos]) AS "MVP RANK FINAL"
+FROM top t LEFT JOIN step s ON s.season=t.season AND s.pos=t.pos GROUP BY 1,2""")
+def stored_models_job(spark, sf_dir):
+    """Feature list, scaler and models are stored, loaded by name, and used; the wide rank files are read back."""
+    base = scratch_path(spark, "stored")
+    names = [f for f, *_ in _STORED]
+    scoring.save_features(spark, names, f"{base}/features")
+    scoring.Scaler(tuple(names), tuple(r[2] for r in _STORED), tuple(r[3] for r in _STORED)).save(spark, f"{base}/scaler")
+    # Points on a plane: the regression that is stored has exactly these weights.
+    for i, model in enumerate(S.MODELS):
+        weights = [r[4][i] for r in _STORED]
+        points = [[float(a == b) * 2 for b in range(len(names))] for a in range(len(names))] + [[0.0] * len(names), [1.0] * len(names)]
+        train = spark.createDataFrame([(Vectors.dense(x), _INTERCEPTS[i] + sum(w * v for w, v in zip(weights, x))) for x in points],
+                                      ["features", "label"])
+        Pipeline(stages=[LinearRegression(solver="normal")]).fit(train).write().save(f"{base}/models/{model}")
+    features = scoring.load_features(spark, f"{base}/features")
+    scaler = scoring.Scaler.load(spark, f"{base}/scaler")
+    scorers, _ = scoring.load_scorers(spark, f"{base}/models", S.MODELS, features)
+    jobs.score_and_rank(_job_snapshot(spark, sf_dir, base), scorers, f"{base}/out", scaler, ["season"], layout={"Player": ("PLAYER", None, 1)})
+    columns = [("pos", T.LongType())] + [c for m in S.MODELS for c in ((f"MVP RANK {m}", T.StringType()), (f"MVP SHARE {m}", T.DoubleType()))]
+    columns += [("MVP RANK FINAL", T.StringType()), ("season", T.StringType())]
+    schema = T.StructType([T.StructField(*c) for c in columns])
+    return spark.read.schema(schema).option("header", True).csv(f"{base}/out/rank")

@@ -17,7 +17,8 @@ from tallyboard.session import scratch_path, scratch_table
 from tallyboard.sinks import land
 
 TEAMS = 25
-VOTES = 15
+VOTES = 15  # players on a page
+POOL = 64  # players who stand for election together; there are more pools as there are more players
 TEAM_NAMES = list(S.TEAM_CODES)[:TEAMS]
 CODES = list(S.TEAM_CODES.values())[:TEAMS]
 
@@ -61,13 +62,14 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_stats(rows: DataFrame, info: str) -> DataFrame:
     """Raw columns of one stats table, before any cleaning."""
     who = ["season_year", "Player", "Tm", "Pos", "Age", F.col("season_year").cast("string").alias("Season"), "G"]
+    shots = (F.col("PTS") + 2 * F.col("AST")).alias("FGA")
     shot = (F.col("PTS") / (F.col("PTS") + F.col("MP"))).alias("FG%")
     if info == "totals":
-        return rows.select(*who, "GS", "MP", "PTS", "TRB", "AST", F.col("MP").alias("FGA"), shot)
+        return rows.select(*who, "GS", "MP", "PTS", "TRB", "AST", shots, shot)
     if info == "per_game":
         per = {c: np_round(F.col(s) / F.col("G"), 1) for c, s in
-               [("MP", "MP"), ("PTS", "PTS"), ("TRB", "TRB"), ("AST", "AST"), ("FGA", "MP")]}
-        return rows.select(*who, "GS", *[v.alias(c) for c, v in per.items()], shot)
+               [("MP", "MP"), ("PTS", "PTS"), ("TRB", "TRB"), ("AST", "AST"), ("FGA", "FGA")]}
+        return rows.withColumn("FGA", shots).select(*who, "GS", *[v.alias(c) for c, v in per.items()], shot)
     return rows.select(
         *who, "MP", np_round((F.col("PTS") + F.col("TRB") + F.col("AST")) / F.col("G") * 0.6, 1).alias("PER"),
         np_round(F.col("PTS") / 100, 1).alias("OWS"), np_round(F.col("TRB") / 50, 1).alias("DWS"),
@@ -91,10 +93,11 @@ def raw_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def award_pages(rows: DataFrame) -> DataFrame:
-    """One vote page per season: the players with most points, two of them tied in rank."""
-    voted = top_n(rows.where(F.col("Tm") != S.TOTAL_ROW).groupBy("season_year", "player_no").agg(
+    """One vote page per season and pool: the players with most points, some of them tied in rank."""
+    pool = F.floor(F.col("player_no") / POOL).alias("pool")
+    voted = top_n(rows.where(F.col("Tm") != S.TOTAL_ROW).groupBy("season_year", pool, "player_no").agg(
         F.min("Player").alias("Player"), F.max("PTS").alias("PTS")),
-        ["season_year"], [F.col("PTS").desc(), F.col("player_no")], VOTES)
+        ["season_year", "pool"], [F.col("PTS").desc(), F.col("player_no")], VOTES)
     rank = F.concat(F.col("pos").cast("string"), F.when(F.col("pos") > 9, F.lit("T")).otherwise(F.lit("")))
     share = np_round(F.col("PTS") / 1000, 3).cast("string")
     line = F.concat(F.lit("<tr><td>"), rank, F.lit("</td><td><a href='#'>"),
@@ -103,11 +106,11 @@ def award_pages(rows: DataFrame) -> DataFrame:
             "<tr><th></th><th colspan='2'>Voting</th></tr>"
             "<tr><th>Rank</th><th>Player</th><th>Share</th></tr></thead><tbody>")
     # At most VOTES rows meet on a page.
-    pages = voted.groupBy("season_year").agg(
+    pages = voted.groupBy("season_year", "pool").agg(
         F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))).alias("lines"))
     return pages.select(
-        F.concat(F.lit("https://example.org/awards/awards_"), F.col("season_year").cast("string"),
-                 F.lit(".html")).alias("url"),
+        F.concat(F.lit("https://example.org/pool/"), F.col("pool").cast("string"), F.lit("/awards/awards_"),
+                 F.col("season_year").cast("string"), F.lit(".html")).alias("url"),
         F.concat(F.lit(head), F.array_join(F.transform("lines", lambda x: x["line"]), ""),
                  F.lit("</tbody></table><table><tr><td>99</td></tr></table></body></html>")).alias("html"))
 

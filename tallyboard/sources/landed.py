@@ -19,6 +19,12 @@ def _years(seasons: Iterable[str | int]) -> list[int]:
     return [int(str(s)[:4]) for s in seasons]
 
 
+def seasons_of(spark: SparkSession, path: str) -> list[str]:
+    """Seasons that a table partitioned by ``season_year`` holds: one row per season reaches the driver."""
+    found = spark.read.parquet(path).select("season_year").distinct().collect()
+    return sorted(str(r["season_year"]) for r in found)
+
+
 def read_seasons(spark: SparkSession, path: str, seasons: Iterable[str | int],
                  schema: T.StructType | None = None) -> DataFrame:
     """Seasons of a table partitioned by ``season_year``, in one read.
