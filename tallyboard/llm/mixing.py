@@ -31,8 +31,10 @@ from tallyboard.llm.common import col, fresh, word_count
 from tallyboard.operators.joins import BROADCAST_ROWS
 from tallyboard.session import scratch_table
 
-SHARDS = 64
+LEAST_SHARDS = 64
+SHARD_WORDS = 32_000_000  # so many words make one more shard
 BLOCKS_PER_SHARD = 64
+MOST_BLOCKS = 1 << 18  # of all shards together, if there are fewer shards than that
 MOST_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 LINE_BITS = 60
@@ -59,10 +61,11 @@ def targets(sizes: Sequence[int], weights: Sequence[float], most: float = MOST_R
 
 @dataclass
 class Plan:
-    """Per source: name, words, target, whole passes, cut, rows chosen after it, blocks; and the shard of each draw."""
+    """Per source: name, words, target, whole passes, cut, rows chosen after it, blocks; the shard of each draw; shards."""
 
     sources: pd.DataFrame
     draws: pd.DataFrame
+    shards: int
 
 
 def _line(id_col: str, text: str, seed: int) -> Column:
@@ -167,9 +170,13 @@ def split(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarr
     return np.concatenate([split(drawn, half, rng), split(quotas - drawn, shards - half, rng)])
 
 
-def make_plan(light: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
+def make_plan(light: DataFrame, shards: int | None = None, blocks_per_shard: int = BLOCKS_PER_SHARD,
               weights: Sequence[float] = WEIGHTS, most: float = MOST_REPEATS, seed: int = 1) -> Plan:
-    """Targets, cuts and draws for the rows that ``weigh`` has written."""
+    """Targets, cuts and draws for the rows that ``weigh`` has written.
+
+    Unless it is given, the number of shards grows with the words, and a shard's blocks
+    become fewer as shards become very many, so that the table of draws stays moderate.
+    """
     stats = light.groupBy("source").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
     stats = sorted(stats, key=lambda r: (r["source"] is None, r["source"]))  # one row per source, by code points
     sizes = [r["words"] for r in stats]
@@ -177,8 +184,10 @@ def make_plan(light: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BL
     sources = pd.DataFrame({"source": [r["source"] for r in stats], "number": np.arange(len(stats)), "words": sizes,
                             "target": goal, "passes": [int(t // s) if s else 0 for t, s in zip(goal, sizes)]})
     sources["source"] = sources["source"].astype(object)
+    shards = shards or max(LEAST_SHARDS, -(-sum(sizes) // SHARD_WORDS))
+    blocks_per_shard = max(1, min(blocks_per_shard, MOST_BLOCKS // shards))
     if not len(sources):
-        return Plan(sources.assign(cut=0, chosen=None, blocks=1), pd.DataFrame({"number": [], "block": [], "shards": []}))
+        return Plan(sources.assign(cut=0, chosen=None, blocks=1), pd.DataFrame({"number": [], "block": [], "shards": []}), shards)
     sources = _cuts(light, sources)
     chosen = _chosen(light, sources)
     sources["chosen"] = [chosen.get(n, []) for n in sources["number"]]
@@ -197,7 +206,7 @@ def make_plan(light: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BL
         for block in range(s.blocks):
             mine = shard_of[block::s.blocks] if s.passes else shard_of[block:block + 1]
             rows.append((s.number, block, [int(x) for x in mine]))
-    return Plan(sources, pd.DataFrame(rows, columns=["number", "block", "shards"]))
+    return Plan(sources, pd.DataFrame(rows, columns=["number", "block", "shards"]), shards)
 
 
 def place(docs: DataFrame, plan: Plan, name: str, id_col: str = "doc_id", text: str = "text", source: str = "source",
@@ -222,9 +231,9 @@ def place(docs: DataFrame, plan: Plan, name: str, id_col: str = "doc_id", text:
         c["target"].alias("target")).alias(name))
 
 
-def mix(docs: DataFrame, plan: Plan, shards: int = SHARDS, shard: str | None = None, id_col: str = "doc_id",
+def mix(docs: DataFrame, plan: Plan, shard: str | None = None, id_col: str = "doc_id",
         text: str = "text", source: str = "source", seed: int = 1) -> DataFrame:
-    """One row per copy, one partition group per shard, shuffled inside by a seeded hash.
+    """One row per copy, one partition per shard, shuffled inside by a seeded hash.
 
     Columns are those of the input; ``shard`` names a further one for the shard's number
     (an input column of that name is replaced).
@@ -233,6 +242,6 @@ def mix(docs: DataFrame, plan: Plan, shards: int = SHARDS, shard: str | None = N
     own = shard or fresh("shard")
     rows = place(docs, plan, mark, id_col, text, source, seed)
     rows = rows.select(*[col(k) for k in docs.columns if k != shard], F.posexplode(F.col(f"{mark}.shards")).alias(copy, own))
-    rows = rows.repartition(shards, F.col(own)).sortWithinPartitions(
-        F.col(own), F.xxhash64(F.lit(seed + 1), F.col(copy), col(id_col), col(text)))
+    rows = rows.repartitionById(plan.shards, F.col(own)).sortWithinPartitions(
+        F.xxhash64(F.lit(seed + 1), F.col(copy), col(id_col), col(text)))
     return rows.drop(copy) if shard else rows.drop(copy, own)

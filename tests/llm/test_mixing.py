@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyboard.llm import mixing as M, queries
 
@@ -66,7 +67,7 @@ def test_query(spark):
 
 def mixed(spark, docs, shards, **more):
     plan = M.make_plan(M.weigh(docs), shards, **more)
-    return plan, [tuple(r) for r in M.mix(docs, plan, shards, "shard").collect()]
+    return plan, [tuple(r) for r in M.mix(docs, plan, "shard").collect()]
 
 
 def test_shards(spark):
@@ -78,7 +79,20 @@ def test_shards(spark):
     for r in rows:
         words[r[-1]] += len(r[1].split())
     assert set(words) == set(range(8)) and max(words.values()) < 2.5 * min(words.values())
-    assert M.mix(docs, plan, 8).columns == docs.columns
+    placed = M.mix(docs, plan, "shard").select("shard", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(placed) == 8 and len({r.p for r in placed}) == 8
+    assert M.mix(docs, plan).columns == docs.columns
+
+
+def test_shards_grow_with_the_words(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    light = M.weigh(docs)
+    assert M.make_plan(light).shards == 64
+    monkeypatch.setattr(M, "SHARD_WORDS", 1_000)
+    monkeypatch.setattr(M, "MOST_BLOCKS", 1_000)
+    plan = M.make_plan(light)
+    assert plan.shards == -(-int(plan.sources["words"].sum()) // 1_000) > 100
+    assert len(plan.draws) < 3 * plan.shards + 3 * len(plan.sources)
 
 
 def test_finer_cuts(spark, monkeypatch):
