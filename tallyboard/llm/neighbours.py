@@ -40,7 +40,8 @@ from tallyboard.session import scratch_table
 TABLES = 4
 WIDTH = 2.0  # of a cell, in standard deviations of a projection
 BUCKET_ROWS = 1_024  # a table has about one bucket for so many rows, were all cells halves
-GROUP_ROWS = 4_096
+GROUP_ROWS = 16_384
+HELD_ROWS = 1_000_000  # found rows that a task holds before it sends some on
 SAMPLE_ROWS = 4_096
 SAMPLE_QUERIES = 128
 RECALL = 0.96
@@ -203,8 +204,25 @@ class Group:
         return score, place
 
 
+def best_of(query: np.ndarray, ids: np.ndarray, least: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k best candidates of every query, each once."""
+    order = np.lexsort((ids, least, -score, query))
+    query, ids, least, score = query[order], ids[order], least[order], score[order]
+    # A pair that several tables found has one score, so its rows are neighbours.
+    once = np.append(True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1]))[:len(query)]
+    query, ids, least, score = query[once], ids[once], least[once], score[once]
+    first = np.append(True, query[1:] != query[:-1])[:len(query)]
+    rank = np.arange(len(query)) - np.maximum.accumulate(np.where(first, np.arange(len(query)), 0))
+    return query[rank < k], ids[rank < k], least[rank < k], score[rank < k]
+
+
+def _frames(found: tuple[np.ndarray, ...]) -> Iterator[pd.DataFrame]:
+    for a in range(0, len(found[0]), 100_000):
+        yield pd.DataFrame({n: c[a:a + 100_000] for n, c in zip(("query", "id", "least", "score"), found)})
+
+
 def search(classes: DataFrame, asking: DataFrame, index: Index, total: int, k: int, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(query, id, least, score): for every class in ``asking``, the k best classes found in each group, exact scores."""
+    """(query, id, least, score): for every class in ``asking``, the k best classes found by each task, exact scores."""
     tables = len(index.directions)
     groups = -(-total // group_rows)
 
@@ -255,7 +273,7 @@ def search(classes: DataFrame, asking: DataFrame, index: Index, total: int, k: i
                 yield pd.DataFrame(out, columns=names)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group = None
+        group, held, size = None, [], 0
         for rows, some in meetings(batches):
             if rows is not None:
                 group = Group(rows)
@@ -269,7 +287,17 @@ def search(classes: DataFrame, asking: DataFrame, index: Index, total: int, k: i
                 exact = np.zeros(len(at))
                 for d in range(q.shape[1]):
                     exact += q[who, d] * group.x[at, d]
-                yield pd.DataFrame({"query": part["id"].to_numpy()[who], "id": group.ids[at], "least": group.least[at], "score": exact})
+                held.append((part["id"].to_numpy()[who], group.ids[at], group.least[at], exact))
+                size += len(at)
+            if size > HELD_ROWS:
+                # A task's groups share their queries: only the best of all of them go on.
+                held = [best_of(*map(np.concatenate, zip(*held)), k)]
+                size = len(held[0][0])
+                if size > HELD_ROWS // 2:
+                    yield from _frames(held[0])
+                    held, size = [], 0
+        if held:
+            yield from _frames(best_of(*map(np.concatenate, zip(*held)), k))
 
     names = ["key", "asks", "id", "least", "bucket", "visits", "vec"]
     schema = "key bigint, asks int, id bigint, least bigint, bucket bigint, visits array<bigint>, vec array<double>"
