@@ -19,7 +19,9 @@ Texts of any length are encoded whole, in memory proportional to the longest one
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ CODE_POINTS = 0x110000
 NO_RANK = np.iinfo(np.int64).max
 
 # Characters of the texts that are encoded together.
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 
 
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -121,14 +123,16 @@ class Pieces:
         """Symbols and their number per word after all merges; words are not empty."""
         done_symbols, done_words, done_lengths = [], [], []
         word = np.arange(len(lengths))
+        of = np.repeat(word, lengths)
+        ranks, at = np.full(len(symbols), NO_RANK), np.zeros(len(symbols), np.int64)
+        fresh = np.arange(len(symbols))  # places whose pair with the next symbol is new
         while len(word):
-            starts = np.cumsum(lengths) - lengths
-            of = np.repeat(np.arange(len(word)), lengths)
-            ranks = np.full(len(symbols), NO_RANK)
-            at = np.zeros(len(symbols), np.int64)
-            inner = np.flatnonzero(of[:-1] == of[1:])
-            ranks[inner], at[inner] = self._rank(symbols[inner], symbols[inner + 1])
-            best = np.minimum.reduceat(ranks, starts)
+            fresh = fresh[(fresh >= 0) & (fresh + 1 < len(symbols))]
+            inner = of[fresh] == of[fresh + 1]
+            ranks[fresh[~inner]] = NO_RANK
+            fresh = fresh[inner]
+            ranks[fresh], at[fresh] = self._rank(symbols[fresh], symbols[fresh + 1])
+            best = np.minimum.reduceat(ranks, np.cumsum(lengths) - lengths)
             over = best == NO_RANK
             if over.any():
                 leaving = over[of]
@@ -137,20 +141,22 @@ class Pieces:
                 done_lengths.append(lengths[over])
                 symbols, ranks, at = symbols[~leaving], ranks[~leaving], at[~leaving]
                 word, lengths, best = word[~over], lengths[~over], best[~over]
-                if not len(word):
-                    break
                 of = np.repeat(np.arange(len(word)), lengths)
             hits = np.flatnonzero(ranks == best[of])
             # Of hits that overlap in a row every other one merges, from the left.
-            fresh = np.append(True, hits[1:] != hits[:-1] + 1)
-            run = np.maximum.accumulate(np.where(fresh, np.arange(len(hits)), 0))
+            alone = np.append(True, hits[1:] != hits[:-1] + 1)[:len(hits)]
+            run = np.maximum.accumulate(np.where(alone, np.arange(len(hits)), 0))
             hits = hits[(np.arange(len(hits)) - run) % 2 == 0]
             hits = self._until_preempted(hits, symbols, of, self.merged[at[hits]], best)
             symbols[hits] = self.merged[at[hits]]
             staying = np.ones(len(symbols), bool)
             staying[hits + 1] = False
             lengths = lengths - np.bincount(of[hits], minlength=len(word))
-            symbols = symbols[staying]
+            symbols, of, ranks, at = symbols[staying], of[staying], ranks[staying], at[staying]
+            # A word's last symbol has no pair; a merged one has new pairs on both sides.
+            ranks[np.cumsum(lengths) - 1] = NO_RANK
+            places = hits - np.arange(len(hits))
+            fresh = np.concatenate([places - 1, places])
         lengths = np.concatenate(done_lengths) if done_lengths else np.zeros(0, np.int64)
         flat = np.concatenate(done_symbols) if done_symbols else np.zeros(0, np.int64)
         back = np.argsort(np.concatenate(done_words)) if done_words else np.zeros(0, np.int64)
@@ -193,11 +199,11 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and their number per text."""
-        index: dict[str, int] = {}
+        index: dict[str, int] = defaultdict(count().__next__)  # a new word gets the next number
         numbers = []
         for text in texts:
             found = self.words.findall(self.prefix + text.replace(" ", MARK)) if text else []
-            numbers.append(np.fromiter((index.setdefault(w, len(index)) for w in found), np.int64, len(found)))
+            numbers.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
         if not index:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
         lengths = np.fromiter(map(len, index), np.int64, len(index))
