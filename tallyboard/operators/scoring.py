@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import pickle
+import sys
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -123,15 +124,16 @@ def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str])
     return _predicting(lambda: shared.value, features)
 
 
-# Models that this Python worker has opened, by file name.
-_opened: dict[str, object] = {}
-
-
-def _open_once(name: str) -> object:
-    if name not in _opened:
-        with open(SparkFiles.get(name), "rb") as f:
-            _opened[name] = pickle.load(f)
-    return _opened[name]
+def _open_once(name: str) -> Callable[[], object]:
+    """Opens a file of the job at its first use in a Python worker. The code travels with the job."""
+    def model() -> object:
+        # Kept where all tasks of a worker find it: what travels is unpacked anew for each task.
+        opened = sys.__dict__.setdefault("_models_of_job", {})
+        if name not in opened:
+            with open(SparkFiles.get(name), "rb") as f:
+                opened[name] = pickle.load(f)
+        return opened[name]
+    return model
 
 
 def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str]) -> Scorer:
@@ -148,7 +150,7 @@ def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str])
         source.getFileSystem(hadoop), source, target.getFileSystem(hadoop), target, False, hadoop)
     spark.sparkContext.addFile(target.toString())
     name = target.getName()
-    return _predicting(lambda: _open_once(name), features)
+    return _predicting(_open_once(name), features)
 
 
 # --- scoring -----------------------------------------------------------------
