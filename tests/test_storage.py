@@ -108,13 +108,14 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "a").startswith(session.shared_folder(spark))
 
 
-def test_a_cluster_without_shared_folder_is_refused():
+@pytest.mark.parametrize("master_url", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_without_shared_folder_is_refused(master_url):
     class Conf:
         def get(self, key, default):
             return default
 
     class Context:
-        master = "spark://host:7077"
+        master = master_url
 
         def getCheckpointDir(self):
             return None
