@@ -98,12 +98,12 @@ class _Archive:
         self.size += len(member)
 
     def finish(self) -> tuple[str, int, int]:
-        from pyarrow import fs
-
         self.out.close()
-        if self.files.get_file_info(self.path).type != fs.FileType.NotFound:
+        try:
+            self.files.move(self.own, self.path)
+        except OSError:  # where a move does not replace what an earlier attempt left
             self.files.delete_file(self.path)
-        self.files.move(self.own, self.path)
+            self.files.move(self.own, self.path)
         return self.final, self.records, self.size
 
 

@@ -88,3 +88,13 @@ def test_damage_raises(damage):
             "extra": gzip.compress(plain + b"more")}[damage]
     with pytest.raises((ValueError, KeyError)):
         list(warc.records(io.BytesIO(data)))
+
+
+def test_a_repeated_attempt_replaces_its_archive(tmp_path):
+    for payload in (b"first", b"second"):
+        archive = warc._Archive(f"file://{tmp_path}", "part-00000-00000.warc.gz")
+        archive.add(warc.record("1", "u", payload, None, False, "d"))
+        assert archive.finish()[1] == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["part-00000-00000.warc.gz"]
+    with open(tmp_path / "part-00000-00000.warc.gz", "rb") as raw:
+        assert [r[6] for r in warc.records(raw)] == [b"second"]
