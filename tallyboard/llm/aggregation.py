@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyboard.llm.vectors import is_query, meetings, stacked, usable
+from tallyboard.llm.vectors import is_query, laid_out, meetings, stacked, usable
 from tallyboard.session import scratch_table
 
 BLOCK_ROWS = 4_096
@@ -123,8 +123,7 @@ def top_k(vectors: DataFrame, k: int, every: int, scale: int = 256, id_col: str
                                 "vec_id": np.concatenate([f[1] for f in found]),
                                 "score": np.concatenate([f[2] for f in found]).astype(np.int64)})
 
-    laid = candidates.unionByName(queries).repartition("key").sortWithinPartitions("key", "asks", "id")
-    found = laid.mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    found = laid_out(candidates.unionByName(queries), blocks).mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

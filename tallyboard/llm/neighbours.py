@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyboard.llm.vectors import is_query, meetings, stacked, usable
+from tallyboard.llm.vectors import is_query, laid_out, meetings, stacked, usable
 from tallyboard.operators.joins import BROADCAST_ROWS
 from tallyboard.session import scratch_table
 
@@ -302,8 +302,8 @@ def search(classes: DataFrame, asking: DataFrame, index: Index, total: int, k: i
     names = ["key", "asks", "id", "least", "bucket", "visits", "vec"]
     schema = "key bigint, asks int, id bigint, least bigint, bucket bigint, visits array<bigint>, vec array<double>"
     laid = candidates.mapInPandas(placed, schema).unionByName(asking.mapInPandas(asked, schema))
-    laid = laid.repartition("key").sortWithinPartitions("key", "asks", "id")
-    return laid.mapInPandas(compare, "query bigint, id bigint, least bigint, score double")
+    # Every task a query comes to sends on k rows for it, so there are only as many tasks as keep the cores busy.
+    return laid_out(laid, tables * groups, per_core=2).mapInPandas(compare, "query bigint, id bigint, least bigint, score double")
 
 
 def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str = "embedding",

@@ -58,3 +58,10 @@ def meetings(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame | N
 
 def stacked(rows: pd.DataFrame) -> np.ndarray:
     return np.stack(rows["vec"].to_numpy()).astype(np.float64, copy=False)
+
+
+def laid_out(rows: DataFrame, keys: int, per_core: int = 4) -> DataFrame:
+    """Rows with keys 0 to ``keys`` - 1 in partitions that hold as many keys each, candidates before queries."""
+    spark = rows.sparkSession
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * spark.sparkContext.defaultParallelism)
+    return rows.repartitionById(min(keys, wide), (F.col("key") % min(keys, wide)).cast("int")).sortWithinPartitions("key", "asks", "id")
