@@ -45,9 +45,9 @@ KINDS = {
     "card": r"(?<![0-9])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}"
             r"|3[47][0-9]{2}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])",
 }
-# One look at the next character rules out most kinds at most places.
+# One look at the next character rules out most kinds at most places. Addresses go first: a number that begins one is part of it.
 _NUMBERS = "|".join(KINDS[k] for k in ("phone", "ssn", "date", "address", "card"))
-ANY_KIND = rf"(?=[0-9+(])(?:{_NUMBERS})|(?=[AaPpSsTt]){KINDS['secret']}|{KINDS['email']}"
+ANY_KIND = rf"(?=[A-Za-z0-9._%+-]){KINDS['email']}|(?=[0-9+(])(?:{_NUMBERS})|(?=[AaPpSsTt]){KINDS['secret']}"
 # Every kind holds one of these characters; texts without them need no further look.
 TRIGGER = "[0-9@:=]"
 # Telling apart what was found; the first that fits. Phones and numbers differ in their separators.

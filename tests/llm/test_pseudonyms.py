@@ -109,6 +109,17 @@ def test_values_alone_and_in_text(spark):
         assert g != t, t
 
 
+def test_addresses_that_begin_with_a_number(spark):
+    starts = ["4915112345678", "2345678901234", "+4915112345678", "2001-02-03.john", "31.12.1999.x", "123-45-6789.bob", "743-555-3824_k",
+              "4111111111111111john", "4111111111111112", "10.20.30.40.anna", "10.20.30.40", "1", "1.2.3.4.5", "7536784127813050x"]
+    found = [f"{s}@{d}" for s in starts for d in ("x.com", "t-online.de", "10.20.30.40.example.org")]
+    texts = found + [f"Write to <{a}>, or to {b}; token {a}" for a, b in zip(found, found[1:])]
+    # Written without the module's pattern: a word around an at sign, and whole words only.
+    want = [re.sub(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", lambda m: plain(m[0]), t, flags=re.ASCII) for t in texts]
+    assert through_spark(spark, texts) == want
+    assert all(a.split("@")[0] not in g for a, g in zip(found, want) if len(a.split("@")[0]) > 9)
+
+
 def test_untouched(spark):
     texts = UNTOUCHED + [None, " ".join(UNTOUCHED), "nothing here " * 2000]
     assert through_spark(spark, texts) == texts
