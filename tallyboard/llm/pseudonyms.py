@@ -32,9 +32,9 @@ ROUNDS = 8
 FIRST_DAY, DAY_RADICES = "1800-01-01", (189, 773)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-# Runs are entered at their first character only and are bounded, so that scanning is linear.
+# Runs are entered at their first character only and are bounded, or entered after their keyword only, so that scanning is linear.
 KINDS = {
-    "secret": r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?[0-9A-Za-z+/_-]{16,128}+",
+    "secret": r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?[0-9A-Za-z+/_-]{16,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}",
     "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
              r"|(?<![0-9+])\+[1-9][0-9]{7,14}+",
@@ -215,7 +215,15 @@ def _email(m: Column, key: str) -> Column:
 def _secret(m: Column, key: str) -> Column:
     head = F.regexp_extract(m, _SECRET, 0)
     value = F.substr(m, F.length(head) + 1, F.length(m) - F.length(head))
-    new = F.left(F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.lower(value)), 512), F.length(value))
+    first = F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.lower(value)), 512)
+
+    def lengthened(first: Column) -> Column:
+        """128 hex digits, and further blocks of as many that are digests of the first."""
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(value) - 1) / 128).cast("int")), lambda i: F.when(
+            i == 0, first).otherwise(F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), i.cast("string"), first), 512)))
+        return F.left(F.array_join(blocks, ""), F.length(value))
+
+    new = _let(first, lengthened)
     return F.concat(head, F.when(value == F.upper(value), F.upper(new)).otherwise(new))
 
 

@@ -120,6 +120,20 @@ def test_addresses_that_begin_with_a_number(spark):
     assert all(a.split("@")[0] not in g for a, g in zip(found, want) if len(a.split("@")[0]) > 9)
 
 
+def plain_secret(value):
+    first = hashlib.sha512(f"{KEY}|secret|{value.lower()}".encode()).hexdigest()
+    rest = (hashlib.sha512(f"{KEY}|secret|{i}|{first}".encode()).hexdigest() for i in range(1, len(value) // 128 + 1))
+    new = "".join([first, *rest])[:len(value)]
+    return new.upper() if value == value.upper() else new
+
+
+def test_secrets_of_any_length(spark):
+    values = [("aB3/_+-x" * 40_000)[:n] for n in (16, 127, 128, 129, 137, 200, 256, 257, 1_000, 300_000)] + ["A1" * 100]
+    got = through_spark(spark, [f'token = "{v}" and so on' for v in values])
+    assert got == [f'token = "{plain_secret(v)}" and so on' for v in values]
+    assert through_spark(spark, ["token=" + "a" * 15]) == ["token=" + "a" * 15]
+
+
 def test_untouched(spark):
     texts = UNTOUCHED + [None, " ".join(UNTOUCHED), "nothing here " * 2000]
     assert through_spark(spark, texts) == texts
