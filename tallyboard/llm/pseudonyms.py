@@ -8,6 +8,12 @@ equal values have equal pseudonyms in every document, while different values kee
 different ones. E-mail addresses and secrets, which have no number, get a keyed digest in
 their format.
 
+Found are cards of 13 to 19 digits, in one run or in the groups printed on cards, that begin
+with any digit but 7 (of ISO 7812's industries, that of fuel cards); phone numbers of ten
+digits as 3, 3 and 4, with points, hyphens, spaces or a bracketed area code, after +1 or
+nothing; and those of 8 to 15 digits after a plus, in one run or, after a country code of up
+to three digits, with single spaces. Other spellings of phone numbers are not found.
+
 What stays as it is: separators; the first digit of a card, with 15 digits the first two
 (its check digit is computed anew); the country code of a phone number; digits that fail their check; dates
 outside of the years 1800 to 2199. A date with slashes and the year last is read month
@@ -36,13 +42,14 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 KINDS = {
     "secret": r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?[0-9A-Za-z+/_-]{16,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}",
-    "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
-             r"|(?<![0-9+])\+[1-9][0-9]{7,14}+",
+    "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+             r"|(?<![0-9+])\+[1-9][0-9]{7,14}+"
+             r"|(?<![0-9+])(?=\+[0-9]{1,3} )\+[1-9](?: ?[0-9]){7,14}(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9./-])[0-9]{4}([/-])[0-9]{2}\1[0-9]{2}(?![0-9/-])"
             r"|(?<![0-9./-])[0-9]{2}([./])[0-9]{2}\2[0-9]{4}(?![0-9/-])",
     "address": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
-    "card": r"(?<![0-9])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}"
+    "card": r"(?<![0-9])(?:[0-689][0-9]{12,18}|[0-689][0-9]{3}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}"
             r"|3[47][0-9]{2}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])",
 }
 # One look at the next character rules out most kinds at most places. Addresses go first: a number that begins one is part of it.
@@ -55,7 +62,7 @@ _SECRET = r"^(?i:(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']?
 _SHAPES = {
     "secret": _SECRET, "email": "@", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
     "date": r"^(?:[0-9]{4}[/-][0-9]{2}[/-][0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$",
-    "address": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$", "card": r"^[2-6](?:[ -]?[0-9]){12,18}$",
+    "address": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$", "card": r"^[0-689](?:[ -]?[0-9]){12,18}$",
 }
 
 
@@ -166,7 +173,7 @@ def _card(m: Column, key: str) -> Column:
 def _phone(m: Column, key: str) -> Column:
     """Ten digits after a North American code; else all but two digits after the plus."""
     d = _digits(m)
-    fixed = F.when(m.rlike(r"^\+(?!1[ .(-])[0-9]+$") & (~m.rlike(r"^\+1[0-9]{10}$")), F.lit(2)).otherwise(F.length(d) - 10)
+    fixed = F.when(m.startswith("+") & ~(m.startswith("+1") & (F.length(d) == 11)), F.lit(2)).otherwise(F.length(d) - 10)
     return _fill(m, F.concat(F.left(d, fixed), _permute_digits(F.substr(d, fixed + 1, F.length(d) - fixed), key, "phone")))
 
 

@@ -134,6 +134,24 @@ def test_secrets_of_any_length(spark):
     assert through_spark(spark, ["token=" + "a" * 15]) == ["token=" + "a" * 15]
 
 
+def test_cards_of_other_industries_and_spaced_phones(spark):
+    cards = [d + luhn(d) for d in ("817200000000001", "820812345678901", "979212345678901", "10000123456789", "000000000000123",
+                                   "891012345678901234", "123456789012")]
+    cards += [" ".join([d[:4], d[4:8], d[8:12], d[12:]]) for d in cards[:3]]
+    for m, g in zip(cards, through_spark(spark, [f"card {m}." for m in cards])):
+        d, fixed = m.replace(" ", ""), 2 if len(m) == 15 else 1
+        new = d[:fixed] + permute(d[fixed:-1], "card")
+        assert g == f"card {fill(m, new + luhn(new))}." and g != f"card {m}."
+    phones = [("555 123 4567", 0), ("(555) 123 4567", 0), ("+1 555 123 4567", 1), ("+44 20 7946 0958", 2), ("+49 151 12345678", 2),
+              ("+33 1 42 68 53 00", 2), ("+49 30 123456", 2), ("+1 2345 678", 2)]
+    for (m, fixed), g in zip(phones, through_spark(spark, [f"Call {m}, 20 times" for m, _ in phones])):
+        d = re.sub("[^0-9]", "", m)
+        assert g == f"Call {fill(m, d[:fixed] + permute(d[fixed:], 'phone'))}, 20 times" and m not in g
+    # A card after a plus is still one; too few digits are no phone.
+    card = "4111 1111 1111 1111"
+    assert through_spark(spark, [f"+{card}", "+44 20 79", "55 123 4567"]) == [f"+{plain(card)}", "+44 20 79", "55 123 4567"]
+
+
 def test_untouched(spark):
     texts = UNTOUCHED + [None, " ".join(UNTOUCHED), "nothing here " * 2000]
     assert through_spark(spark, texts) == texts
