@@ -245,3 +245,30 @@ def mix(docs: DataFrame, plan: Plan, shard: str | None = None, id_col: str = "do
     rows = rows.repartitionById(plan.shards, F.col(own)).sortWithinPartitions(
         F.xxhash64(F.lit(seed + 1), F.col(copy), col(id_col), col(text)))
     return rows.drop(copy) if shard else rows.drop(copy, own)
+
+
+def counted(docs: DataFrame, plan: Plan, mixture: DataFrame, name: str, id_col: str = "doc_id", text: str = "text",
+            source: str = "source") -> DataFrame:
+    """The input, less its text, with struct ``name``: copies of the row in ``mixture``, rows that ``mix`` gave; source words and target.
+
+    Rows that repeat id, text and source share their copies evenly, as the mix takes them together.
+    """
+    own = {k: fresh(k) for k in ("id", "s", "hash", "i", "t", "h", "rows", "copies", "source", "words", "target")}
+    c = {k: F.col(v) for k, v in own.items()}
+
+    def keyed(rows: DataFrame, names: Sequence[str], *more: Column) -> DataFrame:
+        key = col(id_col), col(source).cast("string"), F.xxhash64(col(text))
+        return rows.select(*more, *[k.alias(own[n]) for k, n in zip(key, names)])
+
+    def counts(rows: DataFrame, is_copy: int) -> DataFrame:
+        return keyed(rows, ("i", "t", "h"), F.lit(1 - is_copy).alias(own["rows"]), F.lit(is_copy).alias(own["copies"]))
+
+    found = counts(docs, 0).unionByName(counts(mixture, 1)).groupBy(c["i"], c["t"], c["h"]).agg(
+        F.sum(c["rows"]).alias(own["rows"]), F.sum(c["copies"]).alias(own["copies"])).where(c["copies"] > 0)
+    sources = _measured_frame(docs.sparkSession, plan.sources[["source", "words", "target"]],
+                              f"{own['source']} string, {own['words']} bigint, {own['target']} double")
+    kept = [col(k) for k in docs.columns if k != text]
+    both = keyed(docs, ("id", "s", "hash"), *kept).join(sources, c["s"].eqNullSafe(c["source"])).join(
+        found, c["id"].eqNullSafe(c["i"]) & c["s"].eqNullSafe(c["t"]) & (c["hash"] == c["h"]), "left")
+    copies = F.coalesce(F.call_function("div", c["copies"], c["rows"]), F.lit(0))
+    return both.select(*kept, F.struct(copies.alias("copies"), c["words"].alias("source_size"), c["target"].alias("target")).alias(name))

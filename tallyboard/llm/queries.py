@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyboard.llm import aggregation, chat, language, mixing, neighbours, pieces, pseudonyms, sharding, simhash, warc
 from tallyboard.llm.common import table, word_count
+from tallyboard.session import scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,13 +55,13 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    docs = table(spark, sf_dir, "documents")
-    light = mixing.weigh(docs)
-    placed = mixing.place(docs.select("doc_id", "text", "source"), mixing.make_plan(light), "mixed")
-    size = word_count(F.col("text"))
-    return placed.select("doc_id", size.alias("size"), F.col("mixed.source_size").alias("source_size"),
-                         F.col("mixed.target").alias("target"), (size * F.size("mixed.shards")).alias("taken"))
+    """Words that the mix takes of every document, counted in the shards it writes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.make_plan(mixing.weigh(docs))
+    mixture = scratch_table(mixing.mix(docs, plan, "shard"), "mixture")
+    found = mixing.counted(docs.withColumn("size", word_count(F.col("text"))), plan, mixture, "mixed")
+    return found.select("doc_id", "size", F.col("mixed.source_size").alias("source_size"), F.col("mixed.target").alias("target"),
+                        (F.col("size") * F.col("mixed.copies")).alias("taken"))
 
 
 @_query

@@ -65,6 +65,29 @@ def test_query(spark):
     assert got == {r.doc_id: r for r in queries.op6_mixing(spark, SF).collect()}
 
 
+def test_query_counts_what_the_mix_wrote(spark, monkeypatch):
+    whole = {r.doc_id: r for r in queries.op6_mixing(spark, SF).collect()}
+    mix = M.mix
+    monkeypatch.setattr(M, "mix", lambda *a, **more: mix(*a, **more).where("doc_id % 2 = 0"))
+    got = {r.doc_id: r for r in queries.op6_mixing(spark, SF).collect()}
+    assert got == {i: r if i % 2 == 0 else type(r)(**{**r.asDict(), "taken": 0}) for i, r in whole.items()}
+    assert any(r.taken for i, r in whole.items() if i % 2)
+
+
+def test_copies_of_every_row_are_counted(spark, make):
+    docs = make([(None, "a b", None)] * 3 + [(1, "a b", "s"), (1, "a b", None), (1, None, "s"), (1, "", "s")]
+                + [(i, f"w{i} x", "t") for i in range(2, 90)], "doc_id bigint, text string, source string")
+    plan, rows = mixed(spark, docs, 3)
+    mixture = spark.createDataFrame(rows, "doc_id bigint, text string, source string, shard int")
+    counted = M.counted(docs.selectExpr("*", "text AS said"), plan, mixture, "m")
+    got = [tuple(r) for r in counted.select("doc_id", "said", "source", "m.copies").collect()]
+    assert len(got) == docs.count()
+    total = Counter()
+    for *row, copies in got:
+        total[tuple(row)] += copies
+    assert +total == Counter(r[:3] for r in rows)
+
+
 def mixed(spark, docs, shards, **more):
     plan = M.make_plan(M.weigh(docs), shards, **more)
     return plan, [tuple(r) for r in M.mix(docs, plan, "shard").collect()]
