@@ -6,7 +6,7 @@ hashes a vector by ``functions`` random projections, each cut into cells of widt
 ``width``; its cells together are its bucket. A query visits buckets of every table in the
 order of their estimated success: the probability that a neighbour lies there, given where
 the query lies. All candidates of a visited bucket are compared exactly, and the tables'
-candidates are merged.
+candidates are merged. A query's own class is always among them.
 
 Equal vectors are searched once, as a class; of a class's ids the k + 1 smallest can be
 needed and are kept. Buckets lie in groups of bounded size, a bucket too large for a group in several;
@@ -318,6 +318,9 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vect
         return vectors.sparkSession.createDataFrame([], schema)
     asking = classes.join(queries.select("id").distinct(), "id", "left_semi")
     found = scratch_table(search(classes, asking, index, total, k + 1, group_rows), "found")
+    # A query's own class needs no bucket, so that exact copies are never lost; its score is summed as in all comparisons.
+    itself = asking.select(F.col("id").alias("query"), "id", "least", F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x).alias("score"))
+    found = found.unionByName(itself)
     # The same pair comes from several tables, with the same score.
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "least", "id")
     found = found.distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)

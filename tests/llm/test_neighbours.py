@@ -106,3 +106,20 @@ def test_edge_rows(spark, make):
     assert got == brute(fine, 20, 20)
     assert N.nearest(make([], schema), 20, 20).count() == 0
     assert N.nearest(make([(0, [1.0, 0.0], "x", 1)], schema), 20, 20).count() == 0
+
+
+def test_copies_are_found_though_their_bucket_is_not_visited(spark):
+    rng = np.random.default_rng(1)
+    shape = N.TABLES, 9, 2
+    index = N.Index(rng.normal(size=shape), rng.uniform(0, N.WIDTH, (N.TABLES, 2)), N.WIDTH, 1.0, 0.5)
+    for x in np.random.default_rng(2).normal(size=(2_000, 8)):
+        index.longest = float(np.sqrt(x @ x))
+        own = index.buckets(x[None])
+        if all(index.visits(x[None], t, 1)[0, 0] != own[t, 0] for t in range(N.TABLES)):
+            break
+    else:
+        raise AssertionError("no such vector")
+    rows = [(i, x.tolist()) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert by_query(N.nearest(vectors, 6, 5)) == brute(rows, 6, 5)
+    assert by_query(N.nearest(vectors, 6, 5, index=index)) == brute(rows, 6, 5)
