@@ -108,3 +108,23 @@ def test_run_and_edge_rows(spark, make, tmp_path):
     assert {r.doc_id for r in got} <= {None, 3, 4, 5} and Counter(r.doc_id for r in got)[3] <= 3
     make([], schema).write.parquet(f"{tmp_path}/empty/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_language_stage_without_labels(spark, make):
+    docs = make([(1, "the words", None, "s"), (2, "12 34", None, "s"), (3, None, None, "s")], "doc_id bigint, text string, lang string, source string")
+    assert [r.doc_id for r in corpus_pipeline.identified(spark, docs, SF).collect()] == [1]
+
+
+def test_least_score():
+    assert corpus_pipeline.least_score(4) == pytest.approx(corpus_pipeline.MIN_SCORE) and corpus_pipeline.least_score(1) == 1
+    for n in range(2, 50):
+        assert 1 / n < corpus_pipeline.least_score(n) < corpus_pipeline.least_score(n - 1)
+
+
+def test_language_stage_rejects_symbols(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(1)
+    junk = ["a" + "".join(rng.choice(list("!#$%&()*+,-./0123456789<>=[]{}|~"), 1_000)) for _ in range(100)]
+    more = spark.createDataFrame([(-1 - i, t, None, "s", 1_001) for i, t in enumerate(junk)], docs.schema)
+    kept = [r.doc_id for r in corpus_pipeline.identified(spark, docs.unionByName(more), SF).select("doc_id").collect()]
+    assert sum(i < 0 for i in kept) <= 20 and sum(i >= 0 for i in kept) > 0.98 * docs.count()
