@@ -5,7 +5,7 @@ per dimension, sorted by component. For a query, the list of dimension d, read f
 end where its products are largest, is a sorted list of partial scores. All lists are read
 on together, down to the same partial score. What has been read of a candidate, plus that
 level for every list in which it has not come up yet, bounds its score from above. A few promising candidates are resolved on
-the way; the k-th best of them bounds the answer from below. Reading stops when few
+the way, from their whole vectors (a departure: that is random access); the k-th best of them bounds the answer from below. Reading stops when few
 candidates can still qualify; their scores are then resolved exactly. The best of all
 blocks are the answer.
 
@@ -107,9 +107,9 @@ def top_k(vectors: DataFrame, k: int, every: int, scale: int = 256, id_col: str
     rows = usable(vectors, id_col, vector, zero_too=True)
     rows = scratch_table(rows.select("id", F.transform("vec", lambda x: F.floor(x * scale).cast("double")).alias("vec")), "scaled")
     spark, total = vectors.sparkSession, rows.count()
-    # Blocks are bounded in size; small tables have as many as keep the cores busy.
+    # Blocks are bounded in size, also where rows repeat an id; small tables have as many as keep the cores busy.
     blocks = max(-(-total // block_rows), min(2 * spark.sparkContext.defaultParallelism, -(-total // 512)), 1)
-    candidates = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("key"), F.lit(0).alias("asks"), "id", "vec")
+    candidates = rows.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("key"), F.lit(0).alias("asks"), "id", "vec")
     queries = rows.where(is_query(F.col("id"), every)).distinct().select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("key"), F.lit(1).alias("asks"), "id", "vec")
 

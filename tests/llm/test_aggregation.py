@@ -67,3 +67,20 @@ def test_blocks_are_exact_and_stop_early(kind):
             read += len(block._contenders(x[i], used, np.flatnonzero(block.ids != ids[i]), 5))
     if kind in ("normal", "clustered"):
         assert read < 30 * 3000 / 4
+
+
+def test_rows_that_repeat_an_id_are_in_many_blocks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tallyboard.llm import aggregation
+    vectors = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("vec_id"),
+                                      F.array(F.col("id").cast("double"), F.lit(1.0)).alias("embedding"))
+    sizes = []
+
+    def seen(laid, blocks):
+        sizes.extend(r["count"] for r in laid.where("asks = 0").groupBy("key").count().collect())
+        return plain(laid, blocks)
+
+    plain = aggregation.laid_out
+    monkeypatch.setattr(aggregation, "laid_out", seen)
+    aggregation.top_k(vectors, 3, 50, block_rows=60)
+    assert sum(sizes) == 900 and max(sizes) < 120
