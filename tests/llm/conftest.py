@@ -13,11 +13,11 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture
 def equals_sql(spark):
-    def check(name):
+    def check(name, sf=SF):
         con = duckdb.connect()
-        for f in os.listdir(SF):
-            con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
-        got = queries.QUERIES[name](spark, SF)
+        for f in os.listdir(sf):
+            con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{sf}/{f}'")
+        got = queries.QUERIES[name](spark, sf)
         want = con.execute(queries.ORACLE[name])
         names = [d[0] for d in want.description]
         assert sorted(got.columns) == sorted(names)
