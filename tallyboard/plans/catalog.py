@@ -16,7 +16,7 @@ from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.plans import jobs, league
 from tallyboard.session import scratch_path, scratch_table, spread
 from tallyboard.sinks import append_new, append_table, land, overwrite_partitions, write_report_csv, write_table
-from tallyboard.sources import award_rows, read_player_stats, read_seasons, read_table, seasons_of, union_seasons
+from tallyboard.sources import award_rows, read_csv, read_player_stats, read_seasons, read_table, seasons_of, union_seasons
 from tallyboard.streaming import append_batches, append_named_objects, event_keys, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,6 +319,23 @@ def season_union(spark, sf_dir):
     return union_seasons([late, early]).withColumn("season_year", F.col("season_year").cast("bigint"))
 
 
+@register("SELECT o_orderkey, CASE year(o_orderdate) WHEN 1996 THEN o_custkey % 1000 WHEN 1997 THEN o_custkey ELSE o_totalprice END::DOUBLE AS pts, "
+          "CASE WHEN year(o_orderdate) <> 1996 THEN o_orderpriority END AS pri, CASE WHEN year(o_orderdate) = 1997 THEN o_custkey % 7 = 0 END AS star, "
+          "year(o_orderdate) AS season_year FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999")
+def season_drift(spark, sf_dir):
+    """Seasons that hold one column as int, bigint and double, and others not at all; two of them agree and are one read."""
+    orders = table(spark, sf_dir, "orders").withColumn("season_year", F.year("o_orderdate"))
+    base = scratch_path(spark, "drifting")
+
+    def landed(year, *columns):
+        overwrite_partitions(orders.where(year).select("o_orderkey", *columns, "season_year"), base, ["season_year"])
+    landed(F.col("season_year") == 1996, (F.col("o_custkey") % 1000).cast("int").alias("pts"))
+    landed(F.col("season_year") == 1997, F.col("o_custkey").cast("bigint").alias("pts"), F.col("o_orderpriority").alias("pri"),
+           (F.col("o_custkey") % 7 == 0).alias("star"))
+    landed(F.col("season_year") >= 1998, F.col("o_totalprice").alias("pts"), F.col("o_orderpriority").alias("pri"))
+    return read_seasons(spark, base, range(1996, 2000)).withColumn("season_year", F.col("season_year").cast("bigint"))
+
+
 @register("SELECT l_orderkey, l_linenumber, l_quantity, year(l_shipdate) AS season_year "
           "FROM lineitem WHERE l_returnflag='A' AND year(l_shipdate) IN (1997, 2000)")
 def landed_partition_scan(spark, sf_dir):
@@ -360,15 +377,20 @@ def parquet_roundtrip(spark, sf_dir):
     return read_table(spark, f"{path}-processed")
 
 
+# Names with all that a CSV file treats apart; reads alike in Spark and DuckDB.
+_ODD_NAME = ("CASE s_suppkey % 6 WHEN 0 THEN s_name || ' \"Jr\", II' WHEN 1 THEN chr(10) || s_name || chr(13) || chr(10) || 'x' "
+             "WHEN 2 THEN s_name || chr(92) || chr(34) WHEN 3 THEN '' WHEN 4 THEN NULL ELSE ' ' || s_name || ', ' END")
+
+
 @register("SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS pos, "
-          "s_suppkey, s_name, s_acctbal FROM supplier QUALIFY pos<=10")
+          f"s_suppkey, {_ODD_NAME} AS s_name, s_acctbal FROM supplier QUALIFY pos<=10")
 def csv_roundtrip(spark, sf_dir):
     top = ranking.top_n(table(spark, sf_dir, "supplier"), ["s_nationkey"],
                         [F.col("s_acctbal").desc(), F.col("s_suppkey").asc()], 10)
     path = scratch_path(spark, "report")
-    rows = top.select("s_nationkey", "pos", "s_suppkey", "s_name", "s_acctbal")
+    rows = top.select("s_nationkey", "pos", "s_suppkey", F.expr(_ODD_NAME).alias("s_name"), "s_acctbal")
     write_report_csv(rows, path, ["s_nationkey"])
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    return read_csv(spark, path, rows.schema)
 
 
 @register("SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer")
@@ -564,12 +586,14 @@ def _stored_score(model):
 
 _STORED_SCORES = " UNION ALL ".join(
     f"SELECT {i} AS mo, '{m}' AS model, season, name, {_stored_score(i)} AS share FROM proj" for i, m in enumerate(S.MODELS))
-_TOP_COLUMNS = ", ".join(f"""max(CASE WHEN model='{m}' THEN name END) AS "MVP RANK {m}",
+# What the names of players end with, so that rank files hold quotes, commas, backslashes and line ends.
+_ENDING = "chr(34) || ', ' || chr(92) || chr(10) || chr(34)"
+_TOP_COLUMNS = ", ".join(f"""max(CASE WHEN model='{m}' THEN name || {_ENDING} END) AS "MVP RANK {m}",
   max(CASE WHEN model='{m}' THEN share END) AS "MVP SHARE {m}\"""" for m in S.MODELS)
 
 
 @register(f"""WITH RECURSIVE {_LEAGUE}, {_PICKED}, scored AS ({_STORED_SCORES}), {_CHOSEN}
-SELECT t.season, t.pos, {_TOP_COLUMNS}, any_value(s.chosen[s.pos]) AS "MVP RANK FINAL"
+SELECT t.season, t.pos, {_TOP_COLUMNS}, any_value(s.chosen[s.pos]) || {_ENDING} AS "MVP RANK FINAL"
 FROM top t LEFT JOIN step s ON s.season=t.season AND s.pos=t.pos GROUP BY 1,2""")
 def stored_models_job(spark, sf_dir):
     """Feature list, scaler and models are stored, loaded by name, and used; the wide rank files are read back."""
@@ -587,8 +611,9 @@ def stored_models_job(spark, sf_dir):
     features = scoring.load_features(spark, f"{base}/features")
     scaler = scoring.Scaler.load(spark, f"{base}/scaler")
     scorers, _ = scoring.load_scorers(spark, f"{base}/models", S.MODELS, features)
-    jobs.score_and_rank(_job_snapshot(spark, sf_dir, base), scorers, f"{base}/out", scaler, ["season"], layout={"Player": ("PLAYER", None, 1)})
+    snapshot = _job_snapshot(spark, sf_dir, base).withColumn("PLAYER", F.concat("PLAYER", F.expr(_ENDING)))
+    jobs.score_and_rank(snapshot, scorers, f"{base}/out", scaler, ["season"], layout={"Player": ("PLAYER", None, 1)})
     columns = [("pos", T.LongType())] + [c for m in S.MODELS for c in ((f"MVP RANK {m}", T.StringType()), (f"MVP SHARE {m}", T.DoubleType()))]
     columns += [("MVP RANK FINAL", T.StringType()), ("season", T.StringType())]
     schema = T.StructType([T.StructField(*c) for c in columns])
-    return spark.read.schema(schema).option("header", True).csv(f"{base}/out/rank")
+    return read_csv(spark, f"{base}/out/rank", schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyboard.operators.joins import broadcast_if_small, key_join
 from tallyboard.session import scratch_table
 from tallyboard.sinks.relational import new_rows
+from tallyboard.sources.ranks import CSV
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -60,7 +61,7 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], by: Sequence[str]
 
 def _write_csv(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df = df.repartition(*by) if by else df.coalesce(1)
-    writer = df.write.mode("overwrite").option("header", True).option("sep", ",")
+    writer = df.write.mode("overwrite").options(**CSV)
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
