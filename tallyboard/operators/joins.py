@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from tallyboard.functions import all_equal, all_null_safe_equal
 
@@ -148,6 +148,30 @@ def merge_stats(tables: Sequence[DataFrame], keys: Sequence[str], nulls_match: b
     return reduce(lambda a, b: key_join(a, b, keys, keys, "inner", nulls_match), tables)
 
 
+def merge_stats_watched(tables: Sequence[DataFrame], keys: Sequence[str], set_keys: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``merge_stats`` and its audit in one pass over the tables.
+
+    The observation, complete once the result was written, holds for each table the number of
+    keys that it repeats (``repeated_1``, ...), and the number of rows whose ``set_keys`` (some
+    of the keys, such as the player) some table lacks altogether (``not_in_every_table``). Each
+    table moves once, by ``set_keys``; rows of a key are counted where they are read.
+    """
+    n = len(tables)
+    own = [[c for c in t.columns if c not in keys] for t in tables]
+    tagged = [t.select(*[_name(k) for k in keys], *[
+        (F.struct(*[_name(c) for c in own[j]]) if i == j else F.lit(None)).cast(T.StructType([t2.schema[c] for c in own[j]])).alias(f"__t{j}")
+        for j, t2 in enumerate(tables)], *[F.lit(int(i == j)).cast("bigint").alias(f"__n{j}") for j in range(n)]) for i, t in enumerate(tables)]
+    rows = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(
+        *[F.any_value(f"__t{j}", True).alias(f"__t{j}") for j in range(n)], *[F.sum(f"__n{j}").alias(f"__n{j}") for j in range(n)])
+    held = Window.partitionBy(*[_name(k) for k in set_keys])
+    rows = rows.withColumn("__everywhere", F.least(*[F.max(f"__n{j}").over(held) for j in range(n)]))
+    watch = Observation()
+    rows = rows.observe(watch, F.count_if(F.col("__everywhere") == 0).alias("not_in_every_table"),
+                        *[F.count_if(F.col(f"__n{j}") > 1).alias(f"repeated_{j + 1}") for j in range(n)])
+    inner = rows.where(" AND ".join(f"__n{j} > 0" for j in range(n)))
+    return inner.select(*[_name(k) for k in keys], *[F.col(f"__t{j}.`{c}`").alias(c) for j in range(n) for c in own[j]]), watch
+
+
 def with_standings(stats: DataFrame, standings: DataFrame, keys: Sequence[str] = ("Tm",)) -> DataFrame:
     """Stats left join standings: a few dozen teams per season, broadcast when measured small."""
     return key_join(stats, broadcast_if_small(standings), keys, keys, "left")
@@ -165,6 +189,36 @@ def with_awards(stats: DataFrame, awards: DataFrame, landed: bool = True, nulls_
     return key_join(stats, awards, ["Player", "season"], ["Player", "__season"], "left", nulls_match)
 
 
+def with_awards_watched(stats: DataFrame, awards: DataFrame) -> tuple[DataFrame, Observation]:
+    """``with_awards``, and an observation of the award votes whose player and season the stats lack (``votes_without_stats``)."""
+    votes = awards.withColumns({"__season": F.col("award_season"), "__vote": F.lit(True)})
+    both = key_join(stats.withColumn("__stats", F.lit(True)), votes, ["Player", "season"], ["Player", "__season"], "full")
+    watch = Observation()
+    both = both.observe(watch, F.count_if(F.col("__stats").isNull()).alias("votes_without_stats"))
+    return both.where("__stats").drop("__stats", "__vote"), watch
+
+
+class NotOneToOne(ValueError):
+    """A key occurs more than once on a side of a one-to-one join."""
+
+
+def guard_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """The table, which raises while it is computed if a key occurs twice, and names the key.
+
+    No job runs before the action: the repeated key is looked for by a subquery of the same
+    plan, over the key columns alone, combined where they are read.
+    """
+    again = df.groupBy(*[_name(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    first = again.agg(F.min(F.to_json(F.struct(*[_name(k).cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"}))).scalar()
+    message = F.concat(F.lit(f"{label} repeats the key "), first)
+    return df.where(F.when(first.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", labels: Sequence[str] = ("left side", "right side")) -> DataFrame:
+    """Equi-join that raises from within its own plan if either side repeats a key."""
+    return key_join(guard_unique(left, keys, labels[0]), guard_unique(right, keys, labels[1]), keys, keys, how)
+
+
 def missing_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
                  hot_rows: int | None = None, nulls_match: bool = True) -> DataFrame:
     """Left rows whose key the right side lacks; repeated left rows stay repeated.

@@ -69,9 +69,16 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, nam
     return df.withColumn(name, rank).where(F.col(name) <= n)
 
 
-def rank_models(scored: DataFrame, by: Sequence[str] = (), player: str = "player") -> DataFrame:
-    """Every player's position in every model: falling share, ties by player."""
-    return rank_all(scored, [*by, "model"], [F.col("share").desc_nulls_last(), F.col(player).asc()])
+def rank_models(scored: DataFrame, by: Sequence[str] = (), player: str = "player", players: DataFrame | None = None) -> DataFrame:
+    """Every player's position in every model: falling share, ties by player.
+
+    A model scores each row of ``players``, the table the scores were made of, once. Given
+    that table, its largest run bounds the groups, and no model predicts just to be counted.
+    """
+    largest = None
+    if players is not None:
+        largest = players.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return rank_all(scored, [*by, "model"], [F.col("share").desc_nulls_last(), F.col(player).asc()], largest=largest)
 
 
 def top_models(scored: DataFrame, n: int = 10, by: Sequence[str] = (), player: str = "player") -> DataFrame:

@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard import schemas as S
 from tallyboard.functions import np_round, rank_text
-from tallyboard.operators import clean, joins, quality, ranking, scoring
+from tallyboard.operators import clean, joins, kernels, quality, ranking, scoring, trees
+from tallyboard.operators.profile import StepProfile
 from tallyboard.plans import jobs, league
 from tallyboard.session import scratch_path, scratch_table, spread
-from tallyboard.sinks import append_new, append_table, land, overwrite_partitions, write_report_csv, write_table
+from tallyboard.sinks import (append_batch, append_new, append_table, land, overwrite_partitions, read_batches, read_published,
+                              write_report_csv, write_table)
 from tallyboard.sources import award_rows, read_csv, read_player_stats, read_seasons, read_table, seasons_of, union_seasons
-from tallyboard.streaming import append_batches, append_named_objects, event_keys, ingest_new_files
+from tallyboard.streaming import (append_batches, append_named_objects, event_keys, ingest_new_files, land_noticed_objects, landed_objects,
+                                  missing_objects, stream_rank_history)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,7 +245,7 @@ def standard_scale(spark, sf_dir):
 
 @register(f"WITH {_SCORED} SELECT model, player, round_even(share,3) AS share, pos FROM ranked")
 def multi_model_rank(spark, sf_dir):
-    return ranking.rank_models(_scored(spark, sf_dir)).select(
+    return ranking.rank_models(_scored(spark, sf_dir), players=_feat(spark, sf_dir)).select(
         "model", "player", np_round(F.col("share"), 3).alias("share"), "pos")
 
 
@@ -254,7 +257,7 @@ def _per_model(columns):
 @register(f"""WITH {_SCORED} SELECT player,
   {_per_model([("PREDICTED MVP SHARE", "round_even(share,3)"), ("MVP RANK", "pos")])} FROM ranked GROUP BY player""")
 def multi_model_wide(spark, sf_dir):
-    ranked = ranking.rank_models(_scored(spark, sf_dir))
+    ranked = ranking.rank_models(_scored(spark, sf_dir), players=_feat(spark, sf_dir))
     return ranking.wide_results(ranked.withColumn("share", np_round(F.col("share"), 3)))
 
 
@@ -286,7 +289,7 @@ def final_rank_report(spark, sf_dir):
     best = ranking.top_n(_feat(spark, sf_dir), [], [F.col("qty").desc(), F.col("player").asc()], 10, "final_rank")
     final = best.select("final_rank", F.col("player").alias("PLAYER"))
     stats = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("PLAYER"), "s_name", "s_acctbal")
-    return jobs.final_report(final, stats, layout={"Player": ("s_name", None, 1), "Bal (x100)": ("s_acctbal", 2, 100)})
+    return jobs.final_report(final, stats, layout={"Player": ("s_name", None, 1), "Bal (x100)": ("s_acctbal", 2, 100)}, validate="plan")
 
 
 @register("SELECT CAST(ts AS DATE) AS d, user_id, row_number() OVER "
@@ -617,3 +620,194 @@ def stored_models_job(spark, sf_dir):
     columns += [("MVP RANK FINAL", T.StringType()), ("season", T.StringType())]
     schema = T.StructType([T.StructField(*c) for c in columns])
     return read_csv(spark, f"{base}/out/rank", schema)
+
+
+# --- published, streamed, repeated -------------------------------------------
+
+@register(f"""WITH {_LEAGUE}
+SELECT name AS "Player", tm AS "Tm", pos AS "Pos", age AS "Age", g AS "G_advanced", gs AS "GS_totals", pts AS "PTS_totals",
+  pts_pg AS "PTS_per_game", fg AS "FG%_totals", per AS "PER_advanced", coalesce(w,0) AS "W_team", coalesce(w/41,0) AS "W/L%_team",
+  seed AS "Seed", season, TIMESTAMP '2024-01-31 10:00:00' AS snapshot_date FROM stats WHERE season_year=2000""")
+def audited_publish(spark, sf_dir):
+    """Two days are published; a third one repeats rows and lacks a player, so readers keep the second."""
+    raw, rows = league.land_raw(spark, sf_dir)
+    out = scratch_path(spark, "published")
+    jobs.publish_snapshot(spark, raw, out, "1999", datetime(2024, 1, 30, 10))
+    jobs.publish_snapshot(spark, raw, out, "2000", datetime(2024, 1, 31, 10))
+    bad = scratch_path(spark, "raw")
+    rows = rows.where("season_year = 2000")
+    for info, wrong in (("totals", rows.unionByName(rows.where("player_no % 3 = 0"))), ("advanced", rows.where("player_no <> 1")), ("per_game", rows)):
+        land(league.raw_stats(wrong, info), f"{bad}/stats/info={info}", ["season_year"])
+    land(read_table(spark, f"{raw}/standings"), f"{bad}/standings", ["season_year"])
+    try:
+        jobs.publish_snapshot(spark, bad, out, "2000", datetime(2024, 2, 1, 10))
+        raise AssertionError("a day with repeated rows was published")
+    except quality.QualityError:
+        pass
+    return read_published(spark, out).select(
+        "Player", "Tm", "Pos", "Age", "G_advanced", "GS_totals", "PTS_totals", "PTS_per_game", "FG%_totals",
+        "PER_advanced", "W_team", "W/L%_team", "Seed", "season", "snapshot_date")
+
+
+@register("SELECT event_id, user_id, value, NULL AS missing FROM events WHERE user_id%8 NOT IN (5, 6) OR user_id%8 = 5 AND event_type IN ("
+          "SELECT event_type FROM events WHERE user_id%8 = 5 AND event_id%3 = 0) "
+          "UNION ALL SELECT DISTINCT NULL, NULL, NULL, 'data/raw/players/absent ' || (user_id%8) FROM events WHERE event_id%3 = 0 AND user_id%8 <> 6")
+def event_stream_once(spark, sf_dir):
+    """Notices name objects many times, in two sets of files, and are all sent again; some name objects that are not there, some objects have none."""
+    events = table(spark, sf_dir, "events")
+    base, folder = scratch_path(spark, "objects"), "data/raw/players"
+    named = events.withColumn("part", F.col("user_id") % 8)
+    named.select("event_id", "user_id", "value", F.concat("event_type", F.lit(" "), "part").alias("object")).write.partitionBy("object").parquet(f"{base}/{folder}")
+
+    def notices(rows, *names):
+        records = F.array(*[F.struct(F.struct(F.struct(F.url_encode(n).alias("key")).alias("object")).alias("s3")) for n in names])
+        return rows.select(F.to_json(F.struct(records.alias("Records"))))
+    # Spaces in partition values are kept in folder names.
+    key = F.concat(F.lit(f"{folder}/object="), "event_type", F.lit(" "), "part")
+    first = notices(named.where("part NOT IN (5, 6)"), key)
+    second = notices(named.where("event_id % 3 = 0 AND part <> 6"), key, F.concat(F.lit(f"{folder}/absent "), "part"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    out, checkpoint = f"{base}/table", f"{base}/checkpoint"
+    for sent in (first, second, first, second):
+        sent.write.mode("append").text(f"{base}/notices")
+        land_noticed_objects(spark, f"{base}/notices", base, out, schema, checkpoint, objects=16).awaitTermination()
+    return landed_objects(spark, out, schema).unionByName(
+        missing_objects(spark, out).withColumnRenamed("key", "missing"), allowMissingColumns=True)
+
+
+@register("SELECT CAST(ts AS DATE) AS d, user_id, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY "
+          "max(CASE WHEN day(ts)%2=0 THEN -value ELSE value END) DESC, user_id) AS rk FROM events GROUP BY 1,2 QUALIFY rk<=10")
+def rank_history_stream(spark, sf_dir):
+    """Runs come in two starts; the second brings new runs, and runs of even days again, in another order."""
+    events = table(spark, sf_dir, "events").withColumn("d", F.to_date("ts"))
+    base = scratch_path(spark, "ranks")
+
+    def send(rows, number):
+        best = rows.groupBy("d", "user_id").agg(F.max("value").alias("v"))
+        top = ranking.top_n(best, ["d"], [F.col("v").desc(), F.col("user_id").asc()], 10)
+        write_report_csv(top.select(F.date_format("d", "dd_MM_yyyy").alias("run"), "pos", "user_id"), f"{base}/sent/{number}", ["run"])
+        stream_rank_history(spark, f"{base}/sent/*", f"{base}/history", schema, f"{base}/checkpoint", [F.col("pos")], "user_id").awaitTermination()
+    schema = T.StructType([T.StructField("pos", T.LongType()), T.StructField("user_id", T.LongType())])
+    even = F.dayofmonth("d") % 2 == 0
+    send(events.where(even | (F.dayofmonth("d") < 10)), 1)
+    send(events.where(even | (F.dayofmonth("d") >= 10)).withColumn("value", F.when(even, -F.col("value")).otherwise(F.col("value"))), 2)
+    history = read_table(spark, f"{base}/history")
+    return history.select(F.col("Date").alias("d"), F.col("Predicted MVP Rank").alias("user_id"), F.col("Rank").alias("rk"))
+
+
+@register("SELECT c_custkey, c_name, c_mktsegment AS batch_id FROM customer WHERE c_mktsegment <> 'MACHINERY'")
+def append_ledger(spark, sf_dir):
+    """Batches come twice; one dies after its rows were written and never counts."""
+    path = scratch_path(spark, "ledger")
+    customer = table(spark, sf_dir, "customer")
+    rows = customer.select("c_custkey", "c_name")
+    segments = [r[0] for r in customer.select("c_mktsegment").distinct().collect()]  # five
+    for segment in segments + segments:
+        batch = customer.where(F.col("c_mktsegment") == segment).select("c_custkey", "c_name")
+        if segment == "MACHINERY":
+            write_table(batch, f"{path}/rows/batch_id={segment}")
+        else:
+            append_batch(batch, path, segment)
+    return read_batches(spark, path, rows.schema)
+
+
+@register("""
+WITH raw AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus='F' THEN o_totalprice END AS share FROM orders),
+kept AS (SELECT * FROM raw WHERE share IS NULL OR share > 1000),
+joined AS (SELECT k.*, c.c_name FROM kept k LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment='BUILDING') c ON k.o_custkey=c.c_custkey)
+SELECT 'raw' AS step, 'o_orderkey' AS "column", count(*) AS "rows", count(o_orderkey) AS non_null FROM raw
+UNION ALL SELECT 'raw', 'o_custkey', count(*), count(o_custkey) FROM raw UNION ALL SELECT 'raw', 'share', count(*), count(share) FROM raw
+UNION ALL SELECT 'kept', 'o_orderkey', count(*), count(o_orderkey) FROM kept UNION ALL SELECT 'kept', 'o_custkey', count(*), count(o_custkey) FROM kept
+UNION ALL SELECT 'kept', 'share', count(*), count(share) FROM kept
+UNION ALL SELECT 'joined', 'o_orderkey', count(*), count(o_orderkey) FROM joined UNION ALL SELECT 'joined', 'o_custkey', count(*), count(o_custkey) FROM joined
+UNION ALL SELECT 'joined', 'share', count(*), count(share) FROM joined UNION ALL SELECT 'joined', 'c_name', count(*), count(c_name) FROM joined""")
+def step_profile(spark, sf_dir):
+    """Three steps of a job profiled while their result is written."""
+    profile = StepProfile()
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("share"))
+    kept = profile.step(orders, "raw").where("share IS NULL OR share > 1000")
+    customer = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
+    joined = joins.key_join(profile.step(kept, "kept"), customer, ["o_custkey"], ["c_custkey"], "left", nulls_match=False)
+    scratch_table(profile.step(joined, "joined"), "joined")
+    return profile.table(spark).drop("place")
+
+
+# --- stored model kinds ------------------------------------------------------
+
+# Trees made by rule: complete, of four levels, over the projected figures of a candidate.
+_TREE_FEATURES = [("PTS_PERGAME", "pts_pg", 14.0, 1.0), ("MP_PERGAME", "mp_pg", 30.0, 0.5), ("PER_ADVANCED", "per", 18.0, 0.75), ("SEED", "seed", 2.0, 1.0)]
+_TREES = {"Random Forest": (12, "mean"), "AdaBoost": (9, "median"), "Gradient Boosting": (16, "sum"), "LGBM": (20, "sum")}
+_LEVELS = 4
+_START, _RATE = 0.5, 0.125
+
+
+def _tree_sql(mo: int, model: str) -> str:
+    """Scores of one model, from a recursive walk over nodes made by the same rule."""
+    trees, combine = _TREES[model]
+    inner = 2 ** _LEVELS - 1
+    feature = f"(t.tree * 3 + w.node * 5 + {mo}) % 4"
+    value = "CASE f WHEN 0 THEN pts_pg WHEN 1 THEN mp_pg WHEN 2 THEN per ELSE seed END"
+    bound = "CASE f " + " ".join(f"WHEN {i} THEN {low}+{step}*((tree*7+node*3+{mo})%8)" for i, (_, _, low, step) in enumerate(_TREE_FEATURES)) + " END"
+    leaf = f"((t.tree*11+w.node*13+{mo}*5)%64)/64.0::DOUBLE"
+    combined = {"mean": f"sum(leaf)/{trees}", "sum": f"{_START}+sum(leaf*{_RATE})", "median": None}[combine]
+    walk = f"""walk{mo} AS (
+  SELECT season, name, tree, 0 AS node, 0 AS level, pts_pg, mp_pg, per, seed FROM proj, range({trees}) r(tree)
+  UNION ALL SELECT season, name, tree, CASE WHEN {value} <= {bound} THEN 2*node+1 ELSE 2*node+2 END, level+1, pts_pg, mp_pg, per, seed
+  FROM (SELECT w.*, {feature.replace('t.tree', 'w.tree')} AS f FROM walk{mo} w WHERE level < {_LEVELS})),
+leaf{mo} AS (SELECT season, name, tree, {leaf.replace('t.tree', 'w.tree')} AS leaf FROM walk{mo} w WHERE level = {_LEVELS})"""
+    if combine == "median":
+        return walk + f""",
+score{mo} AS (SELECT season, name, min(leaf) AS share FROM (SELECT *, sum(1+tree%3) OVER (PARTITION BY season, name ORDER BY leaf, tree) AS seen,
+  sum(1+tree%3) OVER (PARTITION BY season, name) AS whole FROM leaf{mo}) WHERE seen >= 0.5*whole GROUP BY 1,2)"""
+    return walk + f",\nscore{mo} AS (SELECT season, name, {combined} AS share FROM leaf{mo} GROUP BY 1,2)"
+
+
+def _tree_model(spark, mo: int, model: str) -> trees.TreeModel:
+    n, combine = _TREES[model]
+    inner = 2 ** _LEVELS - 1
+    rows = []
+    for tree in range(n):
+        for node in range(2 * inner + 1):
+            if node < inner:
+                name, _, low, step = _TREE_FEATURES[(tree * 3 + node * 5 + mo) % 4]
+                rows.append((tree, node, name, low + step * ((tree * 7 + node * 3 + mo) % 8), 2 * node + 1, 2 * node + 2, None, None))
+            else:
+                rows.append((tree, node, None, None, None, None, None, ((tree * 11 + node * 13 + mo * 5) % 64) / 64.0))
+    weights = {"mean": (), "sum": (_RATE,) * n, "median": tuple(1.0 + t % 3 for t in range(n))}[combine]
+    return trees.TreeModel(spark.createDataFrame(rows, trees.NODES), tuple(f for f, *_ in _TREE_FEATURES), combine, _START if combine == "sum" else 0.0, weights)
+
+
+@register(f"""WITH RECURSIVE {_LEAGUE}, {_PICKED},
+{", ".join(_tree_sql(i, m) for i, m in enumerate(_TREES))},
+scored AS ({" UNION ALL ".join(f"SELECT '{m}' AS model, season, name, share FROM score{i}" for i, m in enumerate(_TREES))})
+SELECT season, model, name AS player, round_even(share,6) AS share, row_number() OVER (PARTITION BY season, model ORDER BY share DESC, name) AS pos
+FROM scored""")
+def tree_models_job(spark, sf_dir):
+    """A forest, a resampling and two gradient boosted ensembles, stored, loaded, and scored; every candidate ranked per model."""
+    base = scratch_path(spark, "trees")
+    scorers = {}
+    for mo, model in enumerate(_TREES):
+        trees.save_trees(_tree_model(spark, mo, model), f"{base}/{model}")
+        scorers[model] = trees.tree_scorer(trees.load_trees(spark, f"{base}/{model}"))
+    projected, scores, _ = jobs.scored_candidates(_job_snapshot(spark, sf_dir, base), None, scorers, ["season"])
+    ranked = ranking.rank_models(scores, ["season"], "PLAYER", players=projected)
+    return ranked.select("season", "model", F.col("PLAYER").alias("player"), np_round(F.col("share"), 6).alias("share"), "pos")
+
+
+@register(f"""WITH {_FEAT},
+scaled AS (SELECT player, (qty-1500)/500 AS a, (n-60)/20 AS b, bal/5000 AS c FROM feat),
+support AS (SELECT a, b, c, ((player*7)%11-5)/8 AS w FROM scaled WHERE player % 5 = 0 AND player <= 400)
+SELECT f.player, round_even(0.25::DOUBLE + sum(w*exp(-0.5::DOUBLE*((f.a-s.a)*(f.a-s.a)+(f.b-s.b)*(f.b-s.b)+(f.c-s.c)*(f.c-s.c)))), 6) AS rbf,
+  round_even(0.25::DOUBLE + sum(w*power(0.5::DOUBLE*(f.a*s.a+f.b*s.b+f.c*s.c)+1, 2)), 6) AS poly
+FROM scaled f, support s GROUP BY f.player""")
+def kernel_scores(spark, sf_dir):
+    """A radial and a polynomial kernel machine over support vectors taken from the table; the second one in several blocks."""
+    scaled = scratch_table(_feat(spark, sf_dir).select("player", ((F.col("qty") - 1500) / 500).alias("a"), ((F.col("n") - 60) / 20).alias("b"),
+                                                       (F.col("bal") / 5000).alias("c")), "scaled")
+    support = scaled.where("player % 5 = 0 AND player <= 400").select(
+        F.array("a", "b", "c").alias("vector"), (((F.col("player") * 7) % 11 - 5) / 8).alias("coefficient"))
+    rbf = kernels.KernelModel(support, ("a", "b", "c"), "rbf", gamma=0.5, intercept=0.25)
+    poly = kernels.KernelModel(support, ("a", "b", "c"), "poly", gamma=0.5, degree=2, offset=1.0, intercept=0.25)
+    scored = kernels.kernel_scorer(poly, block_bytes=2_048)(kernels.kernel_scorer(rbf)(scaled, "rbf"), "poly")
+    return scored.select("player", np_round(F.col("rbf"), 6).alias("rbf"), np_round(F.col("poly"), 6).alias("poly"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallyboard import schemas as S
 from tallyboard.operators import clean, joins, quality, ranking, scoring
 from tallyboard.session import scratch_path, scratch_table
-from tallyboard.sinks import append_jdbc, overwrite_partitions, write_rank_csv, write_report_csv, write_table
+from tallyboard.sinks import append_jdbc, overwrite_partitions, publish, read_published, write_rank_csv, write_report_csv, write_table
 from tallyboard.sources import (award_rows, read_awards, read_dated_ranks, read_player_stats, read_seasons,
                                 read_standings, read_table)
 from tallyboard.streaming import BatchSink, ingest_new_files
@@ -48,6 +48,33 @@ def snapshot_of(spark: SparkSession, out: str, day: str, schema: T.StructType |
     return read_table(spark, out, schema).where(F.col("snapshot_day") == day)
 
 
+def publish_snapshot(spark: SparkSession, raw: str, out: str, season: str, at: datetime) -> DataFrame:
+    """Publish one day's snapshot under ``out``, audited by what is counted while it is written.
+
+    Each stats table is read once: the rules of ``check_stats`` are observed on the join
+    itself. If one fails, ``QualityError`` says which, and readers keep the day before.
+    """
+    tables = [clean.clean_player_stats(read_player_stats(spark, raw, info, [season]), info, [_YEAR]) for info in S.INFOS]
+    stats, watch = joins.merge_stats_watched(tables, [_YEAR, *S.STATS_KEY], [_YEAR, "Player"])
+    standings = clean.clean_standings(read_standings(spark, raw, [season]), [_YEAR])
+    stats = joins.with_standings(stats, standings, [_YEAR, "Tm"])
+    stats = clean.add_season(clean.add_snapshot_date(stats, at), F.col(_YEAR)).drop(_YEAR)
+    stats = clean.enforce_types(stats, S.COLUMN_TYPES)
+    publish(stats, out, {"rows_without_player": F.count_if(F.col("Player").isNull())}, watch)
+    return read_published(spark, out, stats.schema)
+
+
+def publish_training_set(spark: SparkSession, history: str, awards: str, out: str, seasons: Iterable[str | int]) -> DataFrame:
+    """``training_set`` in its strict form, published after its audit: votes without stats are counted in the join itself."""
+    seasons = [str(s) for s in seasons]
+    stats = clean.drop_total_rows(read_seasons(spark, history, seasons)).drop(_YEAR)
+    votes = read_awards(spark, awards).where(F.col("award_season").isin([f"{int(s[:4]) - 1}-{s[2:4]}" for s in seasons]))
+    labelled, watch = joins.with_awards_watched(stats, votes)
+    typed = clean.enforce_types(clean.fill_share(labelled), S.TRAINING_TYPES)
+    publish(typed, out, watched=watch)
+    return read_published(spark, out, typed.schema)
+
+
 def historical_seasons(spark: SparkSession, raw: str, out: str, seasons: Iterable[str | int]) -> DataFrame:
     """Land all listed seasons in one job, one partition per season."""
     seasons = [str(s) for s in seasons]
@@ -152,21 +179,28 @@ def score_and_rank(snapshot: DataFrame, scorers: Mapping[str, scoring.Scorer], o
 
 def final_report(final: DataFrame, stats: DataFrame, by: Sequence[str] = (),
                  layout: Mapping[str, tuple[str, int | None, int]] = S.REPORT_COLUMNS,
-                 player: str = "PLAYER", validate: bool = True) -> DataFrame:
+                 player: str = "PLAYER", validate: bool | str = True) -> DataFrame:
     """Final order left join stats, one row on each side per player, as report columns.
 
-    ``validate`` raises when either side repeats a player. The final order is a
-    top-n list per run: it is written once, and when it measures small it goes to
-    the stats scan as a broadcast filter, so that only its players' rows are joined.
+    ``validate="plan"`` makes the report itself raise, while it is computed, when either side
+    repeats a player, and name the player; nothing runs before. ``validate=True`` looks for
+    repeated players at once. In that case, and without any check, the final order, a top-n
+    list per run, is written once, and when it measures small it goes to the stats scan as a
+    broadcast filter, so that only its players' rows are joined.
     """
     keys = [*by, player]
-    final = scratch_table(final, "final")
-    ranked = final.where(F.col(player).isNotNull())
-    if validate:
-        quality.assert_unique(ranked, keys, "final ranks")
-        quality.assert_unique(stats, keys, "stats")
-    stats = stats.join(joins.broadcast_if_small(ranked.select(*keys)), keys, "left_semi")
-    joined = joins.key_join(final, stats, keys, keys, "left")
+    if validate == "plan":
+        # Positions without a player are no players that repeat.
+        named = joins.one_to_one(final.where(F.col(player).isNotNull()), stats, keys, "left", ("final ranks", "stats"))
+        joined = named.unionByName(final.where(F.col(player).isNull()), allowMissingColumns=True)
+    else:
+        final = scratch_table(final, "final")
+        ranked = final.where(F.col(player).isNotNull())
+        if validate:
+            quality.assert_unique(ranked, keys, "final ranks")
+            quality.assert_unique(stats, keys, "stats")
+        stats = stats.join(joins.broadcast_if_small(ranked.select(*keys)), keys, "left_semi")
+        joined = joins.key_join(final, stats, keys, keys, "left")
     return clean.report_columns(joined.withColumnRenamed("final_rank", S.REPORT_RANK), layout,
                                 [*by, S.REPORT_RANK])
 

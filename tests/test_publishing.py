@@ -1,0 +1,310 @@
+"""Audited publishing, the ledger of batches, step profiles, noticed objects and the streamed rank history."""
+
+import json
+import os
+import time
+from urllib.parse import quote_plus
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F, types as T
+
+from tallyboard.operators import joins, quality
+from tallyboard.operators.profile import StepProfile, StreamProfile
+from tallyboard.plans import jobs
+from tallyboard.session import scratch_path
+from tallyboard.sinks import (BatchChangedError, PublishConflict, append_batch, append_batch_jdbc, append_table, applied_batches, current_version,
+                              drop_versions, publish, published as published_module, read_batches, read_published, write_report_csv)
+from tallyboard.streaming import land_noticed_objects, landed_objects, missing_objects, stream_rank_history
+from tallyboard.streaming import notices as notices_module
+
+from .conftest import rows
+from .test_jobs import AT, PLAYED, land_league, raw  # noqa: F401
+
+# --- publishing --------------------------------------------------------------
+
+
+def test_a_version_is_published_only_after_its_audit(spark, make):
+    path = scratch_path(spark, "published")
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path)
+    gates = {"negative": F.count_if(F.col("x") < 0)}
+    publish(make([(1,), (2,)], "x int"), path, gates)
+    before = read_published(spark, path)
+    with pytest.raises(quality.QualityError, match="negative: 2"):
+        publish(make([(5,), (-1,), (-2,)], "x int"), path, gates)
+    assert rows(read_published(spark, path)) == rows(before) == [(1,), (2,)]
+    publish(make([(7,)], "x int"), path, gates)
+    assert rows(read_published(spark, path)) == [(7,)] and rows(before) == [(1,), (2,)]
+    assert drop_versions(spark, path) == 1 and rows(read_published(spark, path)) == [(7,)]
+    publish(make([], "x int"), path, gates)
+    assert read_published(spark, path).count() == 0
+
+
+def test_a_run_that_dies_or_loses_a_race_changes_nothing(spark, make, monkeypatch):
+    path = scratch_path(spark, "published")
+    publish(make([(1,)], "x int"), path)
+    bad = make([(0,)], "x int").select((F.lit(1) / F.col("x")).alias("x"))
+    with pytest.raises(Exception, match="(?i)divi"):
+        publish(bad, path)
+    assert rows(read_published(spark, path)) == [(1,)]
+    # Both saw version 1 as the last; the other one was quicker.
+    publish(make([(2,)], "x int"), path)
+    monkeypatch.setattr(published_module, "_pointers", lambda *a: [1])
+    with pytest.raises(PublishConflict):
+        publish(make([(3,)], "x int"), path)
+    monkeypatch.undo()
+    assert rows(read_published(spark, path)) == [(2,)] and drop_versions(spark, path) >= 2
+
+
+def test_a_snapshot_is_audited_while_it_is_written(spark, raw, monkeypatch):  # noqa: F811
+    out = scratch_path(spark, "published")
+    monkeypatch.setattr(quality, "check_stats", None)  # not a second pass
+    got = jobs.publish_snapshot(spark, raw, out, "2008", AT)
+    daily = scratch_path(spark, "players")
+    monkeypatch.undo()
+    assert rows(got) == rows(jobs.current_snapshot(spark, raw, daily, "2008", AT).drop("snapshot_day").select(*got.columns))
+    for wrong, message in ((PLAYED[:4], "not_in_every_table"), (PLAYED + PLAYED[:1], "repeated_")):
+        base = scratch_path(spark, "raw")
+        land_league(spark, base, advanced=wrong)
+        with pytest.raises(quality.QualityError, match=message):
+            jobs.publish_snapshot(spark, base, out, "2008", AT)
+        assert rows(read_published(spark, out)) == rows(got)
+
+
+def test_watched_merge_reads_each_table_once(spark, make, plan):
+    paths = []
+    for i in range(3):
+        paths.append(scratch_path(spark, "stats"))
+        make([(1, "A", "X", i), (1, "B", None, i), (1, "C", "X", i)][:3 if i else 2] + [(1, "A", "Y", i)] * (i == 1), f"s int, p string, t string, v{i} int") \
+            .write.parquet(paths[-1])
+    tables = [spark.read.parquet(p) for p in paths]
+    merged, watch = joins.merge_stats_watched(tables, ["s", "p", "t"], ["s", "p"])
+    text = plan(merged, "simple")
+    assert sum(text.count(os.path.basename(p)[:30]) for p in paths) == 3
+    merged.write.format("noop").mode("overwrite").save()
+    # C is in no row of the first table; A plays for Y in one table alone, which the rule on players allows.
+    assert watch.get == {"not_in_every_table": 1, "repeated_1": 0, "repeated_2": 0, "repeated_3": 0}
+    assert rows(merged) == rows(joins.merge_stats(tables, ["s", "p", "t"])) == [(1, "A", "X", 0, 1, 2), (1, "B", None, 0, 1, 2)]
+
+
+def test_a_training_set_is_published_if_every_vote_has_stats(spark, raw, make):  # noqa: F811
+    base = scratch_path(spark, "training")
+    jobs.historical_seasons(spark, raw, f"{base}/history", [2007, 2008])
+    votes = "Rank string, Player string, Share double, award_season string"
+    make([("1", "Ann Example", 0.9, "2007-08"), ("2", "Nobody", 0.1, "1999-00")], votes).write.parquet(f"{base}/awards")
+    got = jobs.publish_training_set(spark, f"{base}/history", f"{base}/awards", f"{base}/out", [2007, 2008])
+    assert rows(got) == rows(jobs.training_set(spark, f"{base}/history", f"{base}/awards", f"{base}/plain", [2007, 2008], strict=True))
+    make([("1", "Ann Example", 0.9, "2007-08"), ("2", "Nobody", 0.1, "2007-08")], votes).write.mode("overwrite").parquet(f"{base}/awards2")
+    with pytest.raises(quality.QualityError, match="votes_without_stats: 1"):
+        jobs.publish_training_set(spark, f"{base}/history", f"{base}/awards2", f"{base}/out", [2007, 2008])
+    assert rows(read_published(spark, f"{base}/out")) == rows(got)
+
+
+def test_one_to_one_joins_raise_from_their_plan(spark, make):
+    left, right = make([(1, "A"), (2, None)], "i int, k string"), make([("A", 5), (None, 6), ("B", 7)], "k string, v int")
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    joined = joins.one_to_one(left, right, ["k"])
+    again = joins.one_to_one(left, right.union(right.where("k = 'B'")), ["k"])
+    twice = joins.one_to_one(left.union(make([(9, None)], "i int, k string")), right, ["k"], labels=("ranks", "stats"))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs_before
+    assert rows(joined) == [(1, "A", 5), (2, None, 6)]
+    with pytest.raises(PySparkException, match=r'right side repeats the key .*"k":"B"'):
+        again.collect()
+    with pytest.raises(PySparkException, match=r'ranks repeats the key .*"k":null'):
+        twice.collect()
+
+
+def test_a_report_raises_from_its_plan(make):
+    final = make([(1, "A"), (2, None), (3, None)], "final_rank int, PLAYER string")
+    layout = {"Player": ("PLAYER", None, 1)}
+    assert rows(jobs.final_report(final, make([("A",)], "PLAYER string"), layout=layout, validate="plan")) == [(1, "A"), (2, None), (3, None)]
+    with pytest.raises(PySparkException, match='stats repeats the key .*"B"'):
+        jobs.final_report(final, make([("A",), ("B",), ("B",)], "PLAYER string"), layout=layout, validate="plan").collect()
+    with pytest.raises(PySparkException, match='final ranks repeats the key .*"A"'):
+        jobs.final_report(final.union(final), make([("A",)], "PLAYER string"), layout=layout, validate="plan").collect()
+
+
+# --- ledger ------------------------------------------------------------------
+
+def test_batches_count_once_and_only_when_applied(spark, make):
+    path, schema = scratch_path(spark, "ledger"), T.StructType([T.StructField("x", T.IntegerType())])
+    assert read_batches(spark, path, schema).count() == 0
+    a, b = make([(1,), (1,), (2,)], "x int"), make([(3,)], "x int")
+    assert append_batch(a, path, "2024_01_31") and append_batch(b, path, "2024_02_01") and not append_batch(a, path, "2024_01_31")
+    # A run that dies between its rows and the ledger; its rows are partly there.
+    append_table(make([(9,)], "x int"), f"{path}/rows/batch_id=2024_02_02")
+    assert rows(read_batches(spark, path, schema)) == [(1, "2024_01_31"), (1, "2024_01_31"), (2, "2024_01_31"), (3, "2024_02_01")]
+    assert append_batch(make([(7,), (8,)], "x int"), path, "2024_02_02")
+    assert rows(read_batches(spark, path, schema).where("batch_id = '2024_02_02'")) == [(7, "2024_02_02"), (8, "2024_02_02")]
+    assert rows(applied_batches(spark, path)) == [("2024_01_31", 3), ("2024_02_01", 1), ("2024_02_02", 2)]
+    with pytest.raises(BatchChangedError, match="3 rows and now has 1"):
+        append_batch(b, path, "2024_01_31")
+
+
+def test_relational_batches_are_completed_once(spark, make, monkeypatch):
+    """Spark's reader and writer of databases are replaced by Parquet tables."""
+    base = scratch_path(spark, "database")
+    from pyspark.sql import DataFrameReader, DataFrameWriter
+    fail = []
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, **k: spark.read.parquet(f"{base}/{table}"))
+
+    def write(self, url, table, mode, properties):
+        if table in fail:
+            raise RuntimeError("lost")
+        self.mode(mode).parquet(f"{base}/{table}")
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    make([], "k int, v string, batch_id string").write.parquet(f"{base}/stats")
+    make([], "batch_id string, n_rows bigint").write.parquet(f"{base}/ledger")
+    day = make([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    # A run wrote one row, and died.
+    make([(2, "b", "d1")], "k int, v string, batch_id string").write.mode("append").parquet(f"{base}/stats")
+    fail.append("ledger")
+    with pytest.raises(Exception, match="lost"):
+        append_batch_jdbc(day, "d1", "url", "stats", "ledger", ["k"])
+    fail.clear()
+    assert append_batch_jdbc(day, "d1", "url", "stats", "ledger", ["k"]) and not append_batch_jdbc(day, "d1", "url", "stats", "ledger", ["k"])
+    assert append_batch_jdbc(day, "d2", "url", "stats", "ledger", ["k"])
+    want = sorted([(k, v, d) for k, v in ((1, "a"), (2, "b"), (None, "c")) for d in ("d1", "d2")], key=repr)
+    assert rows(spark.read.parquet(f"{base}/stats")) == want
+    assert rows(spark.read.parquet(f"{base}/ledger")) == [("d1", 3), ("d2", 3)]
+
+
+# --- profiles ----------------------------------------------------------------
+
+def test_steps_are_profiled_while_they_run(spark, make):
+    profile = StepProfile()
+    first = profile.step(make([(1, None), (2, "b"), (None, None)], "x int, `rows` string"), "read")
+    kept = profile.step(first.where("x > 1").withColumn("a`b", F.lit(1)), "kept")
+    kept.write.format("noop").mode("overwrite").save()
+    assert rows(profile.table(spark)) == sorted([
+        ("read", 0, "x", 3, 2), ("read", 1, "rows", 3, 1), ("kept", 0, "x", 1, 1), ("kept", 1, "rows", 1, 1), ("kept", 2, "a`b", 1, 1)], key=repr)
+
+
+def test_streams_are_profiled_batch_by_batch(spark, make):
+    source = scratch_path(spark, "stream")
+    make([(1, None), (2, "b")], "x int, y string").coalesce(1).write.parquet(f"{source}/1")
+    profile = StreamProfile()
+    spark.streams.addListener(profile)
+    try:
+        for n in (1, 2):
+            if n == 2:
+                make([(3, "c")], "x int, y string").coalesce(1).write.parquet(f"{source}/2")
+            stream = profile.step(spark.readStream.schema("x int, y string").parquet(f"{source}/*"), "read")
+            stream.writeStream.format("noop").option("checkpointLocation", f"{source}-check").trigger(availableNow=True).start().awaitTermination()
+        for _ in range(100):
+            if len(profile.lines) >= 4:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(profile)
+    assert rows(profile.table(spark)) == [(0, "read", 0, "x", 2, 2), (0, "read", 1, "y", 2, 1), (1, "read", 0, "x", 1, 1), (1, "read", 1, "y", 1, 1)]
+
+
+# --- noticed objects ---------------------------------------------------------
+
+X = T.StructType([T.StructField("x", T.LongType())])
+
+
+def notice(*keys):
+    return json.dumps({"Records": [{"s3": {"object": {"key": quote_plus(k)}}} for k in keys]})
+
+
+@pytest.fixture
+def lake(spark):
+    class Lake:
+        base = scratch_path(spark, "lake")
+        sent = 0
+
+        def put(self, key, *values):
+            spark.createDataFrame([(v,) for v in values], X).coalesce(1).write.mode("overwrite").parquet(f"{self.base}/{key}")
+
+        def send(self, *lines, objects=2):
+            os.makedirs(f"{self.base}/notices", exist_ok=True)
+            self.sent += 1
+            with open(f"{self.base}/notices/{self.sent}.json", "w") as f:
+                f.write("\n".join(lines))
+            self.run(objects)
+
+        def run(self, objects=2):
+            land_noticed_objects(spark, f"{self.base}/notices", self.base, f"{self.base}/out", X, f"{self.base}/check", "in/", objects).awaitTermination()
+
+        def landed(self):
+            return [r[0] for r in rows(landed_objects(spark, f"{self.base}/out", X))]
+
+        def missing(self):
+            return [r[0] for r in rows(missing_objects(spark, f"{self.base}/out"))]
+    return Lake()
+
+
+def test_each_object_lands_once(lake):
+    for i in range(5):
+        lake.put(f"in/a {i}+b", i, i)
+    lake.send(notice("in/a 0+b", "in/a 1+b", "other/x"), notice("in/a 0+b"), "no json", "")
+    assert lake.landed() == [0, 0, 1, 1] and lake.missing() == []
+    # The same notice again in a new file, and a start without a new file.
+    lake.send(notice("in/a 0+b"), notice("in/a 4+b", "in/a 3+b", "in/a 2+b"), notice("in/a 2+b"))
+    lake.run()
+    assert lake.landed() == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_a_missing_object_is_reported_and_lands_when_it_comes(lake):
+    lake.put("in/1", 1)
+    lake.send(notice("in/1", "in/late", "in/never", "in/gone"))
+    assert lake.landed() == [1] and lake.missing() == ["in/gone", "in/late", "in/never"]
+    lake.put("in/late", 7)
+    lake.put("in/2", 2)
+    lake.send(notice("in/2", "in/never"))
+    assert lake.landed() == [1, 2, 7] and lake.missing() == ["in/gone", "in/never"]
+
+
+def test_a_batch_that_failed_runs_again_whole(lake, monkeypatch):
+    for i in range(6):
+        lake.put(f"in/{i}", i)
+    present, calls = notices_module._present, []
+
+    def dies(spark, paths):
+        calls.append(len(paths))
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return present(spark, paths)
+    monkeypatch.setattr(notices_module, "_present", dies)
+    with pytest.raises(Exception, match="lost"):
+        lake.send(*[notice(f"in/{i}") for i in range(6)])
+    assert max(calls) == 2  # names on the driver at a time
+    lake.run(objects=4)
+    assert lake.landed() == [0, 1, 2, 3, 4, 5]
+
+
+# --- streamed rank history ---------------------------------------------------
+
+def test_rank_history_grows_and_replaces_runs(spark, make):
+    base = scratch_path(spark, "ranks")
+    schema = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("who", T.StringType())])
+
+    def send(number, runs):
+        write_report_csv(make([(run, i + 1, p) for run, players in runs.items() for i, p in enumerate(players)], "run string, pos int, who string"),
+                         f"{base}/sent/{number}", ["run"])
+
+    def run():
+        query = stream_rank_history(spark, f"{base}/sent/*", f"{base}/history", schema, f"{base}/check", [F.col("pos")], "who")
+        query.awaitTermination()
+        return sum(p.numInputRows for p in query.recentProgress)
+
+    def history():
+        return [(str(d), r, p) for r, p, d in rows(spark.read.parquet(f"{base}/history").select("Rank", "Predicted MVP Rank", "Date").orderBy("Date", "Rank"))]
+    send(1, {"31_01_2024": ["A", "B, \"b\"\n"], "01_02_2024": ["C"]})
+    assert run() == 3
+    files = set(os.listdir(f"{base}/history/Date=2024-02-01"))
+    assert sorted(history()) == [("2024-01-31", 1, "A"), ("2024-01-31", 2, "B, \"b\"\n"), ("2024-02-01", 1, "C")]
+    assert run() == 0
+    send(2, {"31_01_2024": ["Z"], "02_02_2024": ["D"]})
+    assert run() == 2
+    assert sorted(history()) == [("2024-01-31", 1, "Z"), ("2024-02-01", 1, "C"), ("2024-02-02", 1, "D")]
+    assert set(os.listdir(f"{base}/history/Date=2024-02-01")) == files
+    # Sent twice before it is picked up: the newest file counts.
+    send(3, {"03_02_2024": ["old", "older"]})
+    time.sleep(1.1)
+    send(4, {"03_02_2024": ["new"]})
+    run()
+    assert [h for h in history() if h[0] == "2024-02-03"] == [("2024-02-03", 1, "new")]
