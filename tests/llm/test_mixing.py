@@ -1,6 +1,7 @@
 """Targets, totals, draws and shards of the mix."""
 
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -132,14 +133,58 @@ def test_finer_cuts(spark, monkeypatch):
     assert max(Counter(r[0] for r in rows).values()) <= 3
 
 
+@pytest.mark.parametrize("n, share", [(30_000, 2), (30_000, 3), (6_000, 2)])
+def test_targets_hold_when_rows_repeat(spark, monkeypatch, n, share):
+    """A group of equal rows that holds half or a third of a source, larger and smaller than a pool, under several ids."""
+    monkeypatch.setattr(M, "PIECE", 1_000)
+    for i in (0, 5):
+        docs = spark.range(n).selectExpr(f"if(id % {share} = 0, -{i} - 1, id) AS doc_id", f"if(id % {share} = 0, 'one same row', repeat('w ', 1 + int(id % 5))) AS text",
+                                         "if(id % 7 = 3, 'b', if(id % 7 = 5, 'c', 'a')) AS source")
+        plan, rows = mixed(spark, docs, 16)
+        sizes = dict(zip(plan.sources["source"], plan.sources["words"]))
+        goal = dict(zip(sizes, plain_targets(list(sizes.values()))))
+        taken = Counter()
+        for _, text, source, _ in rows:
+            taken[source] += len(text.split())
+        assert all(abs(taken[s] - goal[s]) < 5 for s in goal), (taken, goal)
+        have, copies = Counter(map(tuple, docs.collect())), Counter(r[:3] for r in rows)
+        assert all(k <= 3 * have[r] for r, k in copies.items())
+        # Copies of the repeated row are in every shard, about evenly.
+        shards = Counter(r[3] for r in rows if r[0] == -i - 1)
+        assert len(shards) == 16 and max(shards.values()) < 2 * min(shards.values())
+        got = M.counted(docs, plan, spark.createDataFrame(rows, "doc_id bigint, text string, source string, shard int"), "m").select("doc_id", "source", "m.copies").collect()
+        assert len(got) == n and max(r.copies for r in got) <= 3
+        total = Counter()
+        for r in got:
+            total[r.doc_id, r.source] += r.copies
+        assert +total == Counter((r[0], r[2]) for r in rows)
+        assert sorted(rows) == sorted(mixed(spark, docs.repartition(3), 16)[1])
+
+
+def test_repeated_rows_keep_their_other_columns(spark, make):
+    docs = make([(1, "a b", "s", f"x{i}") for i in range(40)] + [(i, "c", "t", "y") for i in range(2, 90)], "doc_id bigint, text string, source string, other string")
+    _, rows = mixed(spark, docs, 4)
+    again = mixed(spark, docs.repartition(7), 4)[1]
+    assert Counter(rows) == Counter(again)
+    assert {r[3] for r in rows if r[0] == 1} <= {f"x{i}" for i in range(40)} and max(Counter(r[:4] for r in rows if r[0] == 1).values()) <= 3
+
+
+def test_many_sources_are_planned_fast(spark):
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "repeat('w ', 1 + int(id % 9)) AS text", "concat('s', id % 20000) AS source")
+    weighed = M.weigh(docs)
+    start = time.time()
+    plan = M.make_plan(weighed)
+    assert time.time() - start < 15 and len(plan.sources) == 20_000
+
+
 def test_edge_rows(spark, make):
     schema = "doc_id bigint, text string, source string, shard string, number int"
     same = [(7, "same row again", "s", "x", 1)] * 50
     docs = make([(1, None, None, "x", 1), (2, "", "s", None, 2), (None, "a b", None, "x", None), (3, "c d e", "é", "", 0),
                  (4, "word " * 30_000, "z", "x", 0), *same], schema)
     plan, rows = mixed(spark, docs, 3)
-    assert Counter(r[0] for r in rows if r[0] == 7)[7] % 50 == 0
-    assert all(n <= 3 for i, n in Counter(r[0] for r in rows).items() if i != 7)
+    counts = Counter(r[0] for r in rows)
+    assert counts[7] <= 150 and all(n <= 3 for i, n in counts.items() if i != 7)
     assert plan.sources["source"].tolist() == ["s", "z", "é", None]
     plan, rows = mixed(spark, docs.limit(0), 3)
     assert rows == []
