@@ -14,6 +14,14 @@ digits as 3, 3 and 4, with points, hyphens, spaces or a bracketed area code, aft
 nothing; and those of 8 to 15 digits after a plus, in one run or, after a country code of up
 to three digits, with single spaces. Other spellings of phone numbers are not found.
 
+Addresses are found whole: letters of any alphabet, digits and ``._%+-``, apostrophes between
+them, of any length, and any number of domain labels, at least two. Other signs end an
+address on its left, quoted names and addresses in brackets are not found. Secrets follow
+``token``, ``password``, ``passwd``, ``secret``, ``secret_key``, or the like of ``api``, ``access``,
+``private`` or ``auth`` key, and a colon or an equals sign, or the word ``bearer`` if they hold a
+digit; they have sixteen characters at least (letters, digits, ``+/_~-`` and points) before
+any equals sign inside them. Shorter ones, and secrets named otherwise, are not found.
+
 What stays as it is: separators; the first digit of a card, with 15 digits the first two
 (its check digit is computed anew); the country code of a phone number; digits that fail their check; dates
 outside of the years 1800 to 2199. A date with slashes and the year last is read month
@@ -37,11 +45,22 @@ ROUNDS = 8
 # Days of the 400 years from 1800 on, 146097, as the product of two radices.
 FIRST_DAY, DAY_RADICES = "1800-01-01", (189, 773)
 
+# Letters and digits of addresses: those of ASCII, and other characters but for blocks of punctuation and symbols.
+_WORD = "A-Za-z0-9\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u1fff\u2c00-\u2dff\u3040-\ud7ff\uf900-\ufdff\ufe70-\ufefe\uff21-\uff3a\uff41-\uff5a\uff66-\uffdc\U00010000-\U0001efff\U00020000-\U000fffff"
+_LOCAL = rf"[{_WORD}._%+-]"
+_APOSTROPHE = "['\u2019]"
+_LABEL = rf"[{_WORD}-]++"
+# What a secret is made of: parts joined by points, then parts joined by equals signs; sixteen characters at least before one of these.
+_PART = r"[0-9A-Za-z+/_~-]++(?:\.++[0-9A-Za-z+/_~-]++)*+"
+_VALUE = rf"(?=[0-9A-Za-z+/_~.-]{{15}}[0-9A-Za-z+/_~-]){_PART}(?:=++(?:{_PART})?+)*+"
+_KEYWORD = (r"(?:token|secret(?:[ _-]?(?:access[ _-]?)?key)?|passw(?:or)?d|(?:api|access|private|secret|auth)[ _-]?key)[\"']? ?[:=] ?[\"']?")
+_BEARER = r"bearer +(?=[A-Za-z+/_~.-]*+[0-9])"
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-# Runs are entered at their first character only and are bounded, or entered after their keyword only, so that scanning is linear.
+# Runs are entered at their first character only, or after their keyword only, and are never given back, so that scanning is linear.
 KINDS = {
-    "secret": r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?[0-9A-Za-z+/_-]{16,}+",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}",
+    "secret": rf"(?i:{_KEYWORD}|{_BEARER}){_VALUE}",
+    "email": rf"(?<!{_LOCAL})(?<!{_LOCAL}{_APOSTROPHE}){_LOCAL}++(?:{_APOSTROPHE}{_LOCAL}++)*+@{_LABEL}(?:\.{_LABEL})++",
     "phone": r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
              r"|(?<![0-9+])\+[1-9][0-9]{7,14}+"
              r"|(?<![0-9+])(?=\+[0-9]{1,3} )\+[1-9](?: ?[0-9]){7,14}(?![0-9])",
@@ -54,11 +73,11 @@ KINDS = {
 }
 # One look at the next character rules out most kinds at most places. Addresses go first: a number that begins one is part of it.
 _NUMBERS = "|".join(KINDS[k] for k in ("phone", "ssn", "date", "address", "card"))
-ANY_KIND = rf"(?=[A-Za-z0-9._%+-]){KINDS['email']}|(?=[0-9+(])(?:{_NUMBERS})|(?=[AaPpSsTt]){KINDS['secret']}"
+ANY_KIND = rf"(?={_LOCAL}){KINDS['email']}|(?=[0-9+(])(?:{_NUMBERS})|(?=[AaBbPpSsTt]){KINDS['secret']}"
 # Every kind holds one of these characters; texts without them need no further look.
-TRIGGER = "[0-9@:=]"
+TRIGGER = "[0-9@:=]"  # a secret after "bearer" has a digit
 # Telling apart what was found; the first that fits. Phones and numbers differ in their separators.
-_SECRET = r"^(?i:(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?)"
+_SECRET = rf"^(?i:{_KEYWORD}|bearer +)"
 _SHAPES = {
     "secret": _SECRET, "email": "@", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
     "date": r"^(?:[0-9]{4}[/-][0-9]{2}[/-][0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$",

@@ -134,6 +134,33 @@ def test_secrets_of_any_length(spark):
     assert through_spark(spark, ["token=" + "a" * 15]) == ["token=" + "a" * 15]
 
 
+def test_addresses_are_replaced_whole(spark):
+    """Parts of planted addresses, told apart without the module's pattern, are nowhere left."""
+    locals_ = ["müller", "o'brien", "o\u2019brien", "jürgen.o'neill-x", "x" * 300, "名前", "иван", "a" * 65 + "'b", "bob%1+2"]
+    domains = ["example.de", "müller.de", "a.b.c.d.e.f.g.h.i.j.k.com", "x" * 90 + ".org", "пример.рф", "例え.jp", "sub." * 40 + "net"]
+    found = [f"{a}@{d}" for a in locals_ for d in domains]
+    for frame in ("{}", "mail <{}>, please", "'{}'", "\"{}\"", "\u201c{}\u201d", "({}).", "**{}**", "x='{}'", "see {}; and\n{}"):
+        texts = [frame.format(a, a) for a in found]
+        for a, t, g in zip(found, texts, through_spark(spark, texts)):
+            new = plain(a)
+            assert g == t.replace(a, new), (t, g)
+    upper = through_spark(spark, ["MÜLLER@EXAMPLE.DE", "müller@example.de"])
+    assert upper[0] == upper[1]
+
+
+def test_secrets_are_replaced_whole(spark):
+    values = ["eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P", "abcd.efgh.ijkl.mnop.1", "QUJDREVGR0hJSktMTU5PU0E==",
+              "abcdefghijklmn0p=qrst=uv", "a1b2c3d4e5f6g7h8", "A-b_c~d+e/f.g-H1234"]
+    heads = ["token=", "secret_key = ", '"secret_key": "', "SECRET: ", "client_secret=", "aws_secret_access_key = ", "access_token: ", "Authorization: Bearer ",
+             "bearer  ", "api key: ", "private-key='", "auth_key: ", "passwd="]
+    for v in values:
+        texts = [f"x {h}{v}{end}" for h in heads for end in ("", " and so on.", ". Then", '", "b": 1', "\n", ";")]
+        for t, g in zip(texts, through_spark(spark, texts)):
+            assert g == t.replace(v, plain_secret(v)), (t, g)
+    alone = ["bearer responsibilities of all", "token: short", "secret: abcdefghijklmno.", "secretary: abcdefghijklmnopqrst", "the bearer of this"]
+    assert through_spark(spark, alone) == alone
+
+
 def test_cards_of_other_industries_and_spaced_phones(spark):
     cards = [d + luhn(d) for d in ("817200000000001", "820812345678901", "979212345678901", "10000123456789", "000000000000123",
                                    "891012345678901234", "123456789012")]
@@ -173,7 +200,8 @@ def test_feistel_is_a_permutation(spark, a, b):
 
 
 def test_long_texts_are_linear(spark):
-    texts = ["a" * 300_000, "1" * 300_000, "1-" * 150_000, "a@" * 100_000, "1.2.3." * 50_000, "token=" * 50_000]
+    texts = ["a'" * 150_000, "é" * 300_000, "x@" + "a" * 300_000, "bearer " * 40_000, "a@b" * 100_000, "." * 300_000, "secret=" * 40_000,
+             "a" * 300_000, "1" * 300_000, "1-" * 150_000, "a@" * 100_000, "1.2.3." * 50_000, "token=" * 50_000]
     assert through_spark(spark, texts) == texts
 
 
