@@ -4,14 +4,16 @@ Vectors become integers, floor(scale * x). Candidates lie in blocks; a block kee
 per dimension, sorted by component. For a query, the list of dimension d, read from the
 end where its products are largest, is a sorted list of partial scores. All lists are read
 on together, down to the same partial score. What has been read of a candidate, plus that
-level for every list in which it has not come up yet, bounds its score from above. A few promising candidates are resolved on
-the way, from their whole vectors (a departure: that is random access); the k-th best of them bounds the answer from below. Reading stops when few
-candidates can still qualify; their scores are then resolved exactly. The best of all
-blocks are the answer.
+level for every list in which it has not come up yet, bounds its score from above; plus the
+last value of every such list, from below. Nothing else is known of a candidate while the
+lists are read. Reading stops when few candidates can still reach the k-th best lower bound,
+or the k-th best score of the blocks before; then the scores of those few are resolved. The
+best of all blocks are the answer.
 
 Every query meets every block: the search is exact, so its work is queries times
-candidates. Neither side is ever in one task: blocks are of bounded size and queries are
-streamed past them.
+candidates. Neither side is ever in one task: a task holds a bounded number of blocks of
+bounded size, and queries are streamed past them; so a query moves once for CELL_ROWS
+candidates.
 
 Scores are sums of whole numbers and exact while they stay below 2**53.
 
@@ -33,8 +35,10 @@ from tallyboard.llm.vectors import is_query, laid_out, meetings, stacked, usable
 from tallyboard.session import scratch_table
 
 BLOCK_ROWS = 4_096
+CELL_ROWS = 1 << 16  # candidates that a task holds, in blocks
+CELL_NUMBERS = 1 << 23  # their components, at most
 # Partial scores, as parts of the largest one, down to which the lists are read before bounds are compared.
-LEVELS = (1 / 8, 1 / 64, -1 / 64, -1 / 16, -1 / 4)
+LEVELS = (1 / 8, 1 / 64, -1 / 64, -1 / 16, -1 / 8, -1 / 4, -3 / 8, -1 / 2, -3 / 4)
 RESOLVED = 16  # reading stops when one candidate in so many can still qualify
 
 
@@ -50,20 +54,20 @@ class Block:
         self.items = up[:, ::-1].copy(), up.copy()
         self.values = rising[:, ::-1].copy(), rising
         self.rising = rising
+        self.read = 0  # entries of lists, by all queries
 
-    def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best but the query's own, ties to smaller ids."""
-        n, width = self.x.shape
+    def top(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best but the query's own, ties to smaller ids; those below ``floor`` may be left out."""
         usable_items = np.flatnonzero(self.ids != query_id)
         used = np.flatnonzero(q)
         if len(usable_items) > RESOLVED and len(used):
-            usable_items = self._contenders(q, used, usable_items, k)
+            usable_items = self._contenders(q, used, usable_items, k, floor)
         scores = self.x[usable_items] @ q
         best = np.lexsort((self.ids[usable_items], -scores))[:k]
         return self.ids[usable_items[best]], scores[best]
 
-    def _contenders(self, q: np.ndarray, used: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
-        """Candidates that can still be among the k best when reading stops."""
+    def _contenders(self, q: np.ndarray, used: np.ndarray, allowed: np.ndarray, k: int, floor: float = -np.inf) -> np.ndarray:
+        """Candidates that can still be among the k best when reading stops; the lists are all that is read."""
         n = len(self.ids)
         weights = q[used].tolist()
         first = max(1.0, max(float(self.values[w < 0][d, 0] * w) for d, w in zip(used.tolist(), weights)))
@@ -72,33 +76,45 @@ class Block:
         stops = [(n - np.searchsorted(self.rising[d], levels / w, "right") if w > 0 else
                   np.searchsorted(self.rising[d], levels / w, "left")).tolist() + [n] for d, w in zip(used.tolist(), weights)]
         lists = [(self.items[w < 0][d], self.values[w < 0][d], w, [0, *ends]) for d, w, ends in zip(used.tolist(), weights, stops)]
-        partial, seen = np.zeros(n), np.zeros(n, np.int64)
-        barred = np.ones(n, bool)
-        barred[allowed] = False
-        floor, contenders = -np.inf, allowed
+        lasts = [float(values[-1] * w) for _, values, w, _ in lists]
+        # What was read of a candidate: its partial scores, in how many lists, and the last values of these.
+        partial, seen, spent = np.zeros(n), np.zeros(n, np.int64), np.zeros(n)
+        open_ = np.zeros(n, bool)
+        open_[allowed] = True
         for step, level in enumerate([*levels, -np.inf]):
-            items, gains = [], []
-            for its, values, w, ends in lists:
+            items, gains, ends_of = [], [], []
+            for (its, values, w, ends), last in zip(lists, lasts):
                 if ends[step + 1] > ends[step]:
                     items.append(its[ends[step]:ends[step + 1]])
                     gains.append(values[ends[step]:ends[step + 1]] * w)
+                    ends_of.append(np.full(ends[step + 1] - ends[step], last))
             if items:
                 items = np.concatenate(items)
+                self.read += len(items)
                 partial += np.bincount(items, np.concatenate(gains), n)
+                spent += np.bincount(items, np.concatenate(ends_of), n)
                 seen += np.bincount(items, minlength=n)
-            # What has not been read of a candidate adds less than the level in every list.
-            reach = partial if level == -np.inf else partial + (len(used) - seen) * level
-            reach = np.where(barred, -np.inf, reach)
-            likely = np.argpartition(-reach, min(4 * k, n) - 1)[:4 * k]
-            likely = likely[~barred[likely]]
-            exact = self.x[likely] @ q
-            if len(exact) >= k:
-                floor = max(floor, np.partition(exact, len(exact) - k)[len(exact) - k])
+            # What has not been read of a candidate adds at most the level in every list, and at least its last value.
+            most = partial if level == -np.inf else partial + (len(used) - seen) * level
+            least = partial + (sum(lasts) - spent)
+            if np.count_nonzero(open_) >= k:
+                floor = max(floor, np.partition(least[open_], -k)[-k])
             # Levels are rounded, scores are not: a hair keeps every tie.
-            contenders = np.flatnonzero(reach >= floor - 0.01)
-            if len(contenders) <= max(4 * k, n // RESOLVED):
+            open_ &= most >= floor - 0.01
+            if np.count_nonzero(open_) <= max(4 * k, n // RESOLVED):
                 break
-        return contenders
+        return np.flatnonzero(open_)
+
+
+def best_of(blocks: list[Block], query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k best of several blocks; what the first ones gave bounds the answer of the others."""
+    ids, scores = np.zeros(0, np.int64), np.zeros(0)
+    for block in blocks:
+        more = block.top(query_id, q, k, scores[k - 1] if len(scores) >= k else -np.inf)
+        ids, scores = np.concatenate([ids, more[0]]), np.concatenate([scores, more[1]])
+        best = np.lexsort((ids, -scores))[:k]
+        ids, scores = ids[best], scores[best]
+    return ids, scores
 
 
 def top_k(vectors: DataFrame, k: int, every: int, scale: int = 256, id_col: str = "vec_id", vector: str = "embedding",
@@ -106,24 +122,27 @@ def top_k(vectors: DataFrame, k: int, every: int, scale: int = 256, id_col: str
     """query_id, rank, vec_id, score: the k best of all other rows, for ids divisible by ``every``."""
     rows = usable(vectors, id_col, vector, zero_too=True)
     rows = scratch_table(rows.select("id", F.transform("vec", lambda x: F.floor(x * scale).cast("double")).alias("vec")), "scaled")
-    spark, total = vectors.sparkSession, rows.count()
-    # Blocks are bounded in size, also where rows repeat an id; small tables have as many as keep the cores busy.
-    blocks = max(-(-total // block_rows), min(2 * spark.sparkContext.defaultParallelism, -(-total // 512)), 1)
-    candidates = rows.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("key"), F.lit(0).alias("asks"), "id", "vec")
+    spark = vectors.sparkSession
+    total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    # Cells are bounded in size, also where rows repeat an id; small tables have as many as keep the cores busy.
+    cell_rows = max(block_rows, min(CELL_ROWS, CELL_NUMBERS // max(1, width or 1)) // block_rows * block_rows)
+    cells = max(-(-total // cell_rows), min(2 * spark.sparkContext.defaultParallelism, -(-total // 512)), 1)
+    candidates = rows.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(cells)).cast("int").alias("key"), F.lit(0).alias("asks"), "id", "vec")
     queries = rows.where(is_query(F.col("id"), every)).distinct().select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("key"), F.lit(1).alias("asks"), "id", "vec")
+        F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("key"), F.lit(1).alias("asks"), "id", "vec")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = None
+        held: list[Block] = []
         for group, asking in meetings(batches):
             if group is not None:
-                block = Block(group["id"].to_numpy(), stacked(group))
-            found = [(i, *block.top(i, q, k)) for i, q in zip(asking["id"].to_numpy(), stacked(asking))]
+                ids, x = group["id"].to_numpy(), stacked(group)
+                held = [Block(ids[a:a + block_rows], x[a:a + block_rows]) for a in range(0, len(ids), block_rows)]
+            found = [(i, *best_of(held, i, q, k)) for i, q in zip(asking["id"].to_numpy(), stacked(asking))]
             yield pd.DataFrame({"query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64),
                                 "vec_id": np.concatenate([f[1] for f in found]),
                                 "score": np.concatenate([f[2] for f in found]).astype(np.int64)})
 
-    found = laid_out(candidates.unionByName(queries), blocks).mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    found = laid_out(candidates.unionByName(queries), cells).mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

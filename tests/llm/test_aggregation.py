@@ -24,13 +24,14 @@ def plain(rows, k, every, scale):
     return sorted(out)
 
 
-def test_edge_rows_and_ties(spark, make):
+def test_edge_rows_and_ties(spark, make, monkeypatch):
     r = random.Random(4)
     rows = [(i, [r.choice([-1.0, -0.5, 0.0, 0.25, 0.5]) for _ in range(3)]) for i in range(300)]
     rows += [(300, None), (305, [None, 1.0, 1.0]), (310, [float("nan"), 1.0, 1.0]), (315, [float("inf"), 0.0, 0.0]),
              (320, [1.0]), (None, [1.0, 1.0, 1.0]), (-5, [0.5, 0.5, 0.5]), (325, [0.0, 0.0, 0.0])]
     vectors = make([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<double>, id string")
-    for block_rows in (4096, 64):
+    for block_rows, cell_rows in ((4096, A.CELL_ROWS), (64, 64), (64, 192)):
+        monkeypatch.setattr(A, "CELL_ROWS", cell_rows)
         got = sorted(map(tuple, A.top_k(vectors, 4, 5, 8, block_rows=block_rows).collect()))
         assert got == plain(rows, 4, 5, 8)
 
@@ -69,6 +70,39 @@ def test_blocks_are_exact_and_stop_early(kind):
         assert read < 30 * 3000 / 4
 
 
+@pytest.mark.parametrize("kind", ["normal", "clustered"])
+def test_reading_needs_the_lists_alone(kind):
+    """No vector is looked at before reading stops, and reading stops before the ends of the lists."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 48))
+    if kind == "clustered":
+        x = x[rng.integers(30, size=4000)] + 0.1 * x
+    x = np.floor(100 * x)
+    block = A.Block(np.arange(4000), x)
+    block.x = None
+    left = [block._contenders(x[i], np.flatnonzero(x[i]), np.delete(np.arange(4000), i), 5) for i in range(0, 4000, 200)]
+    scores = x @ x[::200].T
+    for i, found in zip(range(20), left):
+        best = [j for j in np.argsort(-scores[:, i], kind="stable") if j != 200 * i][:5]
+        assert set(best) <= set(found.tolist()) and len(found) <= 250
+    share = block.read / (20 * x.size)
+    print("share of list entries read", share)
+    assert share < 1
+
+
+def test_blocks_of_a_cell_bound_each_other():
+    rng = np.random.default_rng(9)
+    x = np.floor(50 * rng.normal(size=(3000, 16)))
+    x[1000:1400] = x[7]
+    ids = rng.permutation(3000)
+    blocks = [A.Block(ids[a:a + 500], x[a:a + 500]) for a in range(0, 3000, 500)]
+    for i in (0, 7, 1100, 2999):
+        got = A.best_of(blocks, ids[i], x[i], 5)
+        scores = x @ x[i]
+        order = [j for j in np.lexsort((ids, -scores)) if j != i][:5]
+        assert got[0].tolist() == ids[order].tolist() and got[1].tolist() == scores[order].tolist()
+
+
 def test_rows_that_repeat_an_id_are_in_many_blocks(spark, monkeypatch):
     from pyspark.sql import functions as F
     from tallyboard.llm import aggregation
@@ -82,5 +116,6 @@ def test_rows_that_repeat_an_id_are_in_many_blocks(spark, monkeypatch):
 
     plain = aggregation.laid_out
     monkeypatch.setattr(aggregation, "laid_out", seen)
+    monkeypatch.setattr(aggregation, "CELL_ROWS", 60)
     aggregation.top_k(vectors, 3, 50, block_rows=60)
     assert sum(sizes) == 900 and max(sizes) < 120
