@@ -24,11 +24,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyboard.llm.bytepairs import Encoder
 from tallyboard.llm.common import col
 
 BUDGET = 1_024
@@ -63,10 +65,27 @@ def parse(text: str) -> list[tuple[str, str]]:
 
 
 def tokens(formatted: str) -> int:
-    """A token count that needs no vocabulary: one for four bytes, rounded up."""
+    """An estimate that needs no vocabulary: one token for four bytes, rounded up. A budget in real tokens takes ``BytePairCount``."""
     return -(-len(formatted.encode()) // 4)
 
 
+class BytePairCount:
+    """Counts the tokens of a byte-level vocabulary. Travels as the vocabulary; each task builds one encoder."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern = ranks, pattern
+
+    def __getstate__(self) -> dict:
+        return {"ranks": self.ranks, "pattern": self.pattern}
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self.ranks, self.pattern)
+
+    def __call__(self, formatted: str) -> int:
+        return len(self.encoder.encode_text(formatted)) // 4
+
+
 class Windows:
     """Windows of one conversation whose turns come in order, a few at a time."""
 
@@ -137,6 +156,7 @@ def windows(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
             budget: int = BUDGET, history: int = HISTORY, count: Callable[[str], int] = tokens) -> DataFrame:
     """One row per window: conv_id, window, text, mask (start and end in code points), repeated, tokens.
 
+    ``count`` gives the tokens of a formatted turn; a window has no more than ``budget`` of them.
     ``repeated`` is the number of turns that earlier windows had, system turn included.
     """
     rows = turns.select(col(conversation).alias("conv_id"), col(turn).alias("turn"), F.coalesce(col(role), F.lit("")).alias("role"),

@@ -1,9 +1,9 @@
 """Language identification by a byte convolutional network.
 
 Bytes are embedded, convolved with filters of several widths, max-pooled over the window
-and classified by softmax. The network is trained in numpy, in the driver, on windows of
-at most ``sample_docs`` labelled texts in expectation, shared evenly by the languages;
-twice that number is never exceeded. Prediction covers whole texts: windows of fixed
+and classified by softmax. The network is trained in numpy, in the driver, on
+``sample_chars`` characters each of at most ``sample_docs`` labelled texts in expectation,
+shared evenly by the languages; twice that number of texts is never exceeded. Prediction covers whole texts: windows of fixed
 length that overlap by the widest filter less one, in batches; a document's probabilities
 are the means over its windows, weighted by their bytes.
 
@@ -171,11 +171,13 @@ def held_out(id_col: str) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-          sample_docs: int = SAMPLE_DOCS, seed: int = 1) -> Network | None:
+          sample_docs: int = SAMPLE_DOCS, seed: int = 1, sample_chars: int = SAMPLE_CHARS) -> Network | None:
     """Network learned from rows that have a language, a letter and an id, and are not held out.
 
     A hash of the id decides which rows are in the sample: an even share of ``sample_docs``
-    for each language, all rows of a language that has fewer.
+    for each language, all rows of a language that has fewer. Of a row's text a window of
+    ``sample_chars`` characters is learned from, at a place that a hash of the id decides.
+    So what the driver holds is bounded by the product of both parameters.
     """
     usable = (docs.where(col(id_col).isNotNull() & ~held_out(id_col) & col(lang).isNotNull() & col(text).rlike(r"\p{L}"))
               .select(col(id_col).cast("string").alias("id"), col(text).alias("text"), col(lang).cast("string").alias("lang")))
@@ -185,9 +187,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     share = {k: min(1.0, sample_docs / len(counts) / n) for k, n in counts.items()}
     limits = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
     draw = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_000)) / 1_000_000
-    place = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.greatest(F.lit(1), F.char_length("text") - SAMPLE_CHARS + 1)) + 1
+    place = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.greatest(F.lit(1), F.char_length("text") - sample_chars + 1)) + 1
     sample = usable.where(draw < limits[F.col("lang")]).select(
-        "id", "lang", F.col("text").substr(place.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+        "id", "lang", F.col("text").substr(place.cast("int"), F.lit(sample_chars)).alias("text"))
     rows = sorted(tuple(r) for r in sample.limit(2 * sample_docs).collect())
     return train([r[2] for r in rows], [r[1] for r in rows], seed)
 

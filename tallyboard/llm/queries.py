@@ -158,7 +158,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    return chat.digests(chat.windows(turns))
+    ranks = bytepairs.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return chat.digests(chat.windows(turns, count=chat.BytePairCount(ranks, public_tokenizers.PATTERN)))
 
 
 @_query

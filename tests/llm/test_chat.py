@@ -3,9 +3,11 @@
 import hashlib
 import random
 
+import public_tokenizers
 import pytest
+import tiktoken
 
-from tallyboard.llm import chat, queries
+from tallyboard.llm import bytepairs, chat, queries
 
 SF = "/root/testdata/sf0.01"
 NASTY = ["", "\\", "\\\\", "###", "####", "#" * 9, "</turn>", "</turn>\n", "</turn", "<", "\\</turn>", "\\#", "#\\##", "<\\/turn>",
@@ -20,9 +22,9 @@ def test_escape_is_reversible_and_hides_marks(text):
     assert chat.parse(whole) == [("user", text), (text, "x"), (text, text)]
 
 
-def plain_windows(turns, budget, history):
+def plain_windows(turns, budget, history, count=chat.tokens):
     """Turn by turn, without prefix sums."""
-    cost = [chat.tokens(f"{chat.head(r)}{chat.escape(t)}{chat.END}") for r, t in turns]
+    cost = [count(f"{chat.head(r)}{chat.escape(t)}{chat.END}") for r, t in turns]
     out, i = [], 0
     while i < len(turns):
         system = i > 0 and turns[0][0] == "system"
@@ -64,10 +66,10 @@ def test_windows_equal_plain_cutting(piece):
             assert w["tokens"] <= budget or j - i == 1
 
 
-def digest(turns):
+def digest(turns, count=chat.tokens):
     loss = "".join(t for r, t in turns if r == "assistant")
     formatted = sum(len("".join(f"{chat.head(turns[k][0])}{chat.escape(turns[k][1])}{chat.END}" for k in order))
-                    for order, _, _ in plain_windows(turns, chat.BUDGET, chat.HISTORY))
+                    for order, _, _ in plain_windows(turns, chat.BUDGET, chat.HISTORY, count))
     return (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss),
             hashlib.sha256(loss.encode()).hexdigest(), formatted)
 
@@ -78,7 +80,21 @@ def test_query_on_all_conversations(spark):
     for r in sorted(rows, key=lambda r: (r.conv_id, r.turn)):
         turns.setdefault(r.conv_id, []).append((r.role, r.text or ""))
     got = {r[0]: tuple(r)[1:] for r in queries.op7_chat(spark, SF).collect()}
-    assert got == {i: digest(t) for i, t in turns.items()}
+    # Turns are counted by another implementation of the vocabulary.
+    ranks = bytepairs.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert got == {i: digest(t, lambda s: len(library.encode_ordinary(s))) for i, t in turns.items()}
+
+
+def test_windows_hold_their_budget_in_real_tokens(spark):
+    ranks = bytepairs.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    found = chat.windows(turns, budget=300, history=60, count=chat.BytePairCount(ranks, public_tokenizers.PATTERN)).collect()
+    assert len({r.conv_id for r in found}) < len(found)
+    for r in found:
+        n = sum(len(library.encode_ordinary(t + chat.END)) for t in r.text.split(chat.END)[:-1])
+        assert r.tokens == n and (n <= 300 or len(chat.parse(r.text)) - r.repeated == 1)
 
 
 def test_edge_rows(spark, make):

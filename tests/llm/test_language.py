@@ -57,6 +57,37 @@ def test_query_accuracy_on_held_out(spark):
     assert np.mean(hits) >= 0.97
 
 
+def plain_document(network, text):
+    """Label and score of a whole text: plain windows, weighted by their bytes."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    data, step = text.encode(), L.WINDOW - max(L.WIDTHS) + 1
+    starts = [a for a in range(0, len(data), step) if a == 0 or len(data) - a > max(L.WIDTHS) - 1]
+    cut = [data[a:a + L.WINDOW] for a in starts]
+    mean = sum(plain(network, w) * len(w) for w in cut) / sum(map(len, cut))
+    return network.labels[int(mean.argmax())], min(float(mean.max()), 1.0)
+
+
+def test_query_equals_plain_network_on_all_documents(spark):
+    small = SF.replace("0.01", "0.001")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    network = L.learn(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in queries.op1_language(spark, small).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        label, score = plain_document(network, text)
+        assert got[i].lang_pred == label and got[i].score == pytest.approx(score, abs=1e-4), i
+
+
+def test_the_sample_is_bounded_by_its_parameters(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(L, "train", lambda texts, labels, seed: seen.append((len(texts), max(map(len, texts)))))
+    L.learn(docs, sample_docs=100, sample_chars=50)
+    assert 40 < seen[0][0] <= 200 and seen[0][1] == 50
+
+
 def test_labels_and_ids_are_no_inputs(spark, network):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
     changed = docs.selectExpr("doc_id + 1000 AS doc_id", "text", "'xx' AS lang", "'s' AS source")
