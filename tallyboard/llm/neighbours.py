@@ -15,7 +15,11 @@ left out.
 
 How alike neighbours are and how many buckets must be visited for the wanted recall is
 measured on a sample of at most ``sample_rows`` vectors, in the driver. Neighbours in a
-sample are farther than those in all rows, so this errs on the side of recall.
+sample are farther than those in all rows, so this errs on the side of recall. The sample
+also says how many pairs are compared with one table and with several, a pair that meets in
+two tables counted twice. Clustered vectors get several;
+where nearness is hardly better than chance one table that visits most buckets is best, as
+it compares no pair twice.
 
 Defined results: rows without an id, null and zero vectors, vectors with a null or
 non-finite component or of another length than most take no part; rows that repeat id and
@@ -27,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -37,7 +41,7 @@ from tallyboard.llm.vectors import is_query, laid_out, meetings, stacked, usable
 from tallyboard.operators.joins import BROADCAST_ROWS
 from tallyboard.session import scratch_table
 
-TABLES = 4
+TABLES = 4  # at most
 WIDTH = 2.0  # of a cell, in standard deviations of a projection
 BUCKET_ROWS = 1_024  # a table has about one bucket for so many rows, were all cells halves
 GROUP_ROWS = 16_384
@@ -114,7 +118,32 @@ def _normal(z: np.ndarray) -> np.ndarray:
     return np.where(z > 0, 1 - tail, tail)
 
 
-def fit(classes: DataFrame, total: int, k: int, tables: int = TABLES, functions: int | None = None, width: float = WIDTH,
+def _visits_needed(index: Index, x: np.ndarray, asking: np.ndarray, near: np.ndarray, recall: float) -> tuple[int, float]:
+    """Buckets of every table to visit for this share of the neighbours, and the pairs that are then compared, per vector and query."""
+    codes, most = index.buckets(x), 64
+    functions, tables = index.directions.shape[2], len(index.directions)
+    while True:
+        first = np.full(near.shape, most)
+        for t in range(tables):
+            seen = index.visits(x[asking], t, most)
+            hits = seen[:, None, :] == codes[t][near][:, :, None]
+            first = np.minimum(first, np.where(hits.any(axis=2), hits.argmax(axis=2), most))
+        found = np.sort(first.ravel())
+        need = int(found[min(len(found) - 1, math.ceil(recall * len(found)) - 1)])
+        if need < most or most > (2 * REACH + 1) ** functions:
+            break
+        most *= 4
+    probes = min(need, most - 1) + 1
+    pairs = 0
+    for t in range(tables):
+        names, sizes = np.unique(codes[t], return_counts=True)
+        visits = index.visits(x[asking], t, probes)
+        at = np.minimum(np.searchsorted(names, visits), len(names) - 1)
+        pairs += sizes[at][names[at] == visits].sum()
+    return probes, pairs / (len(asking) * len(x))
+
+
+def fit(classes: DataFrame, total: int, k: int, tables: int | None = None, functions: int | None = None, width: float = WIDTH,
         recall: float = RECALL, sample_rows: int = SAMPLE_ROWS, probes: int | None = None, seed: int = 1) -> Index | None:
     """Index for ``total`` distinct vectors, fitted on a sample of at most ``sample_rows`` of them."""
     if not total:
@@ -127,7 +156,8 @@ def fit(classes: DataFrame, total: int, k: int, tables: int = TABLES, functions:
     if functions is None:
         functions = max(2, min(15, round(math.log2(max(2, total / BUCKET_ROWS)))))
     rng = np.random.default_rng(seed)
-    index = Index(rng.normal(size=(tables, dimensions + 1, functions)), rng.uniform(0, width, (tables, functions)), width, longest, 0.5)
+    most = tables or TABLES
+    index = Index(rng.normal(size=(most, dimensions + 1, functions)), rng.uniform(0, width, (most, functions)), width, longest, 0.5)
     x = np.array([r["vec"] for r in sorted(rows, key=lambda r: r["id"])], np.float64).reshape(-1, dimensions)[:sample_rows]
     if len(x) > 1:
         asking = rng.permutation(len(x))[:SAMPLE_QUERIES]
@@ -137,21 +167,15 @@ def fit(classes: DataFrame, total: int, k: int, tables: int = TABLES, functions:
         lifted, asked = index.lifted(x, False), index.lifted(x[asking], True)
         # The least alike of the wanted neighbours decide how far to look.
         index.alike = float(np.clip(np.median((asked * lifted[near[:, -1]]).sum(axis=1)), 0.05, 0.999))
-    if probes is None and len(x) > 1:
-        codes, most = index.buckets(x), 64
-        while True:
-            first = np.full(near.shape, most)
-            for t in range(tables):
-                seen = index.visits(x[asking], t, most)
-                hits = seen[:, None, :] == codes[t][near][:, :, None]
-                first = np.minimum(first, np.where(hits.any(axis=2), hits.argmax(axis=2), most))
-            found = np.sort(first.ravel())
-            need = int(found[min(len(found) - 1, math.ceil(recall * len(found)) - 1)])
-            if need < most or most > (2 * REACH + 1) ** functions:
-                probes = min(need, most - 1) + 1
-                break
-            most *= 4
     index.probes = probes or 1
+    if probes is None and len(x) > 1:
+        sizes = [tables] if tables else [TABLES, 1]
+        tried = [replace(index, directions=index.directions[:n], shifts=index.shifts[:n]) for n in sizes]
+        needs = [_visits_needed(i, x, asking, near, recall) for i in tried]
+        # One table alone loses whole clusters at the edges of its cells, so it is for spread vectors only.
+        fit_for = [i for i in range(len(tried)) if sizes[i] > 1 or tables or needs[i][1] > 1 / 2]
+        best = min(fit_for, key=lambda i: needs[i][1])
+        index = replace(tried[best], probes=needs[best][0])
     return index
 
 
