@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ LOOKAHEAD = 3
 BATCH = 1 << 21  # characters that are encoded together
 SHORT = 64  # characters of a pre-token that is remembered
 REMEMBERED = 1 << 18
+NO_RANK = 1 << 32
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -98,23 +100,22 @@ class Encoder:
         raw = token.encode()
         rank = self.ranks.get(raw)
         ids = [rank] if rank is not None else self._few(raw) if len(raw) <= 2 * SHORT else self._many(raw)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _few(self, raw: bytes) -> list[int]:
         """Merges one by one, each after a look at all pairs."""
+        get = self.ranks.get
         parts = [raw[i:i + 1] for i in range(len(raw))]
-        ranks = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best = min((r for r in ranks if r is not None), default=None)
-            if best is None:
-                return [self.ranks[p] for p in parts]
+        ranks = [get(raw[i:i + 2], NO_RANK) for i in range(len(raw) - 1)]
+        while ranks and (best := min(ranks)) != NO_RANK:
             i = ranks.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
             del ranks[i]
             if i:
-                ranks[i - 1] = self.ranks.get(parts[i - 1] + parts[i])
+                ranks[i - 1] = get(parts[i - 1] + parts[i], NO_RANK)
             if i < len(ranks):
-                ranks[i] = self.ranks.get(parts[i] + parts[i + 1])
+                ranks[i] = get(parts[i] + parts[i + 1], NO_RANK)
+        return [self.ranks[p] for p in parts]
 
     def _many(self, raw: bytes) -> list[int]:
         """Merges from a heap of (rank, place), for long pre-tokens."""
@@ -283,10 +284,21 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds the decoded bytes of the packed ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: raw for raw, rank in ranks.items()}
+        by_id = [token.get(i, b"") for i in range(max(token) + 1)]
+        lengths = np.array([len(t) for t in by_id], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(by_id), np.uint8)
+
+        def raw(cell: bytes) -> bytes:
+            ids = np.frombuffer(cell, "<u4")
+            ends = np.cumsum(lengths[ids])
+            # Position start, start + 1, ... of every token's bytes.
+            return flat[np.repeat(starts[ids] - ends + lengths[ids], lengths[ids]) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+
         for batch in batches:
             cells = batch.column("ids").to_pylist()
             for s in _slices([len(c) for c in cells]):
-                texts = [b"".join([token[i] for i in np.frombuffer(c, "<u4").tolist()]) for c in cells[s]]
+                texts = [raw(c) for c in cells[s]]
                 yield pa.RecordBatch.from_arrays([c.slice(s.start, len(texts)) for c in batch.columns] + [pa.array(texts, pa.binary())],
                                                  [*batch.schema.names, "decoded"])
 
