@@ -11,6 +11,10 @@ begin or end marks and without sampling.
 Merging several occurrences at once equals merging one by one unless a merge gives birth
 to a pair that goes first; occurrences after such a merge wait for the next round.
 
+A round over a long word would look at all its places for each rank. Words of more than
+LONG symbols have rounds of their own, which look only at the places of the smallest rank:
+symbols are linked to their neighbours, and places wait under the rank of their pair.
+
 Defined results: null text is empty text, which has no ids; repeated rows stay repeated;
 other columns play no part, whatever their names; an empty table gives an empty result.
 Texts of any length are encoded whole, in memory proportional to the longest one.
@@ -18,6 +22,7 @@ Texts of any length are encoded whole, in memory proportional to the longest one
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,6 +41,8 @@ NO_RANK = np.iinfo(np.int64).max
 
 # Characters of the texts that are encoded together.
 CHUNK = 2_000_000
+# Words of more characters have rounds that look at the places of one rank alone.
+LONG = 4_096
 
 
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -72,7 +79,7 @@ class Pieces:
         # Equal scores share a rank; a higher score goes first.
         scores = sorted({pieces[i].score for i in ids.values()}, reverse=True)
         rank = {score: r for r, score in enumerate(scores)}
-        self.wide = self.size + CODE_POINTS
+        self.wide = self.size + CODE_POINTS + 1  # one more, so that -1 makes no pair
         keys, merged, ranks = [], [], []
         birth = np.full(self.size, NO_RANK)  # smallest rank of a piece that begins or ends with this one
         for s, i in ids.items():
@@ -163,6 +170,79 @@ class Pieces:
         starts = np.cumsum(lengths) - lengths
         return flat[_ragged(starts[back], lengths[back])], lengths[back]
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Symbols of one long word after all merges."""
+        n = len(symbols)
+        symbols = np.append(symbols, -1)  # the neighbour of the first and of the last place
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        before[0], after[n] = n, n
+        ranks, at = np.full(n + 1, NO_RANK), np.zeros(n + 1, np.int64)
+        waiting: dict[int, list[np.ndarray]] = defaultdict(list)
+        todo: list[int] = []  # heap of the ranks that have places
+
+        def look(places: np.ndarray) -> None:
+            """Files places under the rank of their pair with the next one."""
+            found, ranked = self._rank(symbols[places], symbols[after[places]])
+            ranks[places], at[places] = found, ranked
+            order = np.argsort(found, kind="stable")
+            found, places = found[order], places[order]
+            cuts = np.flatnonzero(np.diff(found, prepend=-1))
+            for rank, some in zip(found[cuts].tolist(), np.split(places, cuts[1:])):
+                if rank != NO_RANK:
+                    if rank not in waiting:
+                        heapq.heappush(todo, rank)
+                    waiting[rank].append(some)
+
+        look(np.arange(n))
+        while todo:
+            rank = heapq.heappop(todo)
+            hits = np.concatenate(waiting.pop(rank))
+            hits = np.unique(hits[ranks[hits] == rank])
+            if not len(hits):
+                continue
+            # Of hits that overlap in a row every other one merges, from the left.
+            alone = np.append(True, after[hits[:-1]] != hits[1:])
+            run = np.maximum.accumulate(np.where(alone, np.arange(len(hits)), 0))
+            chosen = hits[(np.arange(len(hits)) - run) % 2 == 0]
+            merged = self.merged[at[chosen]]
+            risky = np.flatnonzero(self.may_preempt[merged])
+            if len(risky):
+                # In sequence the left neighbour is merged already, the right one not yet.
+                h, m = chosen[risky], merged[risky]
+                touching = (risky > 0) & (after[after[chosen[risky - 1]]] == h)
+                left = np.where(touching, merged[risky - 1], symbols[before[h]])
+                bad = (self._rank(left, m)[0] <= rank) | (self._rank(m, symbols[after[after[h]]])[0] <= rank)
+                if bad.any():
+                    until = risky[np.argmax(bad)] + 1
+                    if until < len(chosen):
+                        waiting[rank].append(hits[hits >= chosen[until]])
+                        heapq.heappush(todo, rank)
+                    chosen, merged = chosen[:until], merged[:until]
+            gone = after[chosen]
+            symbols[chosen] = merged
+            symbols[gone], ranks[gone] = -1, NO_RANK
+            # A place that is merged away has no neighbour that is: hits do not overlap.
+            after[chosen] = after[gone]
+            before[after[chosen]] = chosen
+            left = before[chosen]
+            look(np.unique(np.concatenate([left[left < n], chosen])))
+        return symbols[:n][symbols[:n] >= 0]
+
+    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and their number per word after all merges, of words of any length."""
+        long = lengths > LONG
+        if not long.any():
+            return self.merge_words(symbols, lengths)
+        ends = np.cumsum(lengths)
+        short, few = self.merge_words(symbols[np.repeat(~long, lengths)], lengths[~long])
+        parts = [short, *(self.merge_long(symbols[e - n:e]) for e, n in zip(ends[long], lengths[long]))]
+        # Short words lie first, long ones after them; ``place`` says which is which.
+        sizes = np.concatenate([few, np.array([len(p) for p in parts[1:]], np.int64)])
+        place = np.empty(len(lengths), np.int64)
+        place[np.concatenate([np.flatnonzero(~long), np.flatnonzero(long)])] = np.arange(len(lengths))
+        starts = np.cumsum(sizes) - sizes
+        return np.concatenate(parts)[_ragged(starts[place], sizes[place])], sizes[place]
+
     def _until_preempted(self, hits, symbols, of, merged, best) -> np.ndarray:
         """Of each word, the hits up to the first whose merge makes a pair that goes first."""
         risky = np.flatnonzero(self.may_preempt[merged])
@@ -208,7 +288,7 @@ class Pieces:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
         lengths = np.fromiter(map(len, index), np.int64, len(index))
         points = np.frombuffer("".join(index).encode("utf-32-le"), np.uint32)
-        symbols, lengths = self.merge_words(self.char_ids[points], lengths)
+        symbols, lengths = self.merge(self.char_ids[points], lengths)
         symbols, of = self._bytes_for_unknown(symbols, np.repeat(np.arange(len(lengths)), lengths))
         lengths = np.bincount(of, minlength=len(lengths))
         starts = np.cumsum(lengths) - lengths

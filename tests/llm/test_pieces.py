@@ -56,6 +56,22 @@ def test_random_texts(ours, library):
     check(ours, library, ["".join(r.choices(vocabulary, k=r.randrange(1, 6))) for _ in range(8000)])
 
 
+def test_long_words(ours, library):
+    r = random.Random(5)
+    n = 300_000
+    check(ours, library, ["".join(r.choices("etaoinshrdlu", k=n)), "".join(r.choices("acgt", k=n)), "=" * n, "ab" * n, "x y " + "日本語学校の" * n])
+
+
+def test_rounds_of_long_words_on_short_ones(ours, library, monkeypatch):
+    monkeypatch.setattr(pieces, "LONG", 3)
+    r = random.Random(6)
+    letters = "  \n▁abcdefghinorstuéñß.,'0123日🙂ingaaa==--"
+    check(ours, library, ["".join(r.choices(letters, k=r.randrange(80))) for _ in range(2000)])
+    vocabulary = [library.id_to_piece(i) for i in range(259, 32000)]
+    check(ours, library, ["".join(r.choices(vocabulary, k=r.randrange(1, 12))) for _ in range(4000)])
+    check(ours, library, ["a" * 3001, "the" * 1500, "=" * 777 + "-" * 555, "日本" * 800, "a \U0010ffff b"])
+
+
 def test_query_equals_library_on_all_documents(spark, library):
     want = {}
     for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
