@@ -32,6 +32,10 @@ SEED = 42
 # A meeting place with more distinct fingerprints than this is divided further.
 PLACE_SIZE = 1024
 
+# Row numbers of one bitmap, as many as Spark's bitmap aggregate holds.
+BITMAP_SHIFT = 15
+BITMAP = 1 << BITMAP_SHIFT
+
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # Row i holds the bits of byte i, so that bit counts of many hashes are sums of table rows.
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -206,6 +210,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def numbered_rows(rows: DataFrame, staying: DataFrame, number: str) -> DataFrame:
+    """Rows whose ``number`` is among the numbers of ``staying`` (column of the same name; distinct, none negative).
+
+    Numbers that are dense, as those of one table's partitions, become bitmaps of 4 KiB for
+    32,768 of them. If all bitmaps are within the library's bound they are broadcast and no
+    row moves; beyond it both sides are shuffled by number.
+    """
+    bucket, bits, bit = fresh("bucket"), fresh("bits"), F.col(number).bitwiseAND(F.lit(BITMAP - 1))
+    maps = staying.groupBy(F.shiftright(number, BITMAP_SHIFT).alias(bucket)).agg(F.bitmap_construct_agg(bit).alias(bits))
+    maps = scratch_table(maps, "staying_bits")
+    small = broadcast_measured(maps, BITMAP // 8 + 16)
+    if small is maps:
+        return rows.join(staying, number, "left_semi")
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(small, F.shiftright(number, BITMAP_SHIFT) == F.col(bucket)).where(
+        F.bit_get(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1).drop(bucket, bits)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
              max_bits: int = 2, place_size: int = PLACE_SIZE) -> DataFrame:
     """The input without near duplicates: of each class the row with the smallest doc_id stays.
@@ -220,5 +242,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     nodes = scratch_table(numbered.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first")), "nodes")
     staying = (nodes.join(roots(nodes, max_bits, place_size), "fp").groupBy("root")
                .agg(F.min("first").alias("first")).select(F.col("first.row").alias(number)))
-    staying = scratch_table(staying, "staying")
-    return numbered.join(broadcast_measured(staying, 8), number, "left_semi").select(*map(col, docs.columns))
+    return numbered_rows(numbered, scratch_table(staying, "staying"), number).select(*map(col, docs.columns))

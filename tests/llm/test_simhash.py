@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tallyboard.llm import queries, simhash
+from tallyboard.llm import common, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,6 +102,25 @@ def test_keep_one(spark, make):
         [(1, "a b c d e"), (4, ""), (7, "un autre texte tout seul"), (None, "nameless words here only")], key=repr)
 
 
+def test_rows_by_bitmaps(spark, monkeypatch):
+    r = random.Random(8)
+    parts = [0, 1, 5, 70_000]
+    numbers = [(p << 33) + i for p in parts for i in (*range(300), 32_767, 32_768, 65_535, 65_536, 99_999)]
+    stay = sorted({*r.sample(numbers, 600), numbers[0], numbers[-1]})
+    rows = spark.createDataFrame([(n, f"t{n}") for n in numbers], "n bigint, bits string")
+    kept = spark.createDataFrame([(n,) for n in stay], "n bigint")
+
+    def got():
+        return simhash.numbered_rows(rows, kept, "n")
+    assert got().columns == rows.columns
+    assert sorted(map(tuple, got().collect())) == [(n, f"t{n}") for n in stay]
+    assert "ExistenceJoin" not in got()._jdf.queryExecution().toString() and "LeftSemi" not in got()._jdf.queryExecution().toString()
+    assert simhash.numbered_rows(rows, kept.limit(0), "n").count() == 0
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    assert "LeftSemi" in got()._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got().collect())) == [(n, f"t{n}") for n in stay]
+
+
 def test_empty(spark, make):
     docs = make([], "doc_id bigint, text string")
     assert simhash.classes(docs).count() == 0 and simhash.keep_one(docs).count() == 0
