@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import logging
 import pickle
-import sys
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -103,11 +102,13 @@ def load_pipeline_scorer(path: str, features: Sequence[str]) -> Scorer:
 
 
 def _predicting(estimator: Callable[[], object], features: Sequence[str]) -> Scorer:
-    """Scorer of an estimator with a ``predict(matrix)`` method, batch by batch."""
+    """Scorer of an estimator with a ``predict(matrix)`` method, batch by batch; each task gets the estimator once."""
 
     @F.pandas_udf("double")
-    def predict(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(estimator().predict(batch.to_numpy(dtype=float)))
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        model = estimator()
+        for batch in batches:
+            yield pd.Series(model.predict(batch.to_numpy(dtype=float)))
 
     def score(df: DataFrame, out: str) -> DataFrame:
         columns = [F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)]
@@ -124,23 +125,19 @@ def pickled_scorer(spark: SparkSession, payload: bytes, features: Sequence[str])
     return _predicting(lambda: shared.value, features)
 
 
-def _open_once(name: str) -> Callable[[], object]:
-    """Opens a file of the job at its first use in a Python worker. The code travels with the job."""
+def _opening(name: str) -> Callable[[], object]:
+    """Opens a file of the job. The code travels with the job."""
     def model() -> object:
-        # Kept where all tasks of a worker find it: what travels is unpacked anew for each task.
-        opened = sys.__dict__.setdefault("_models_of_job", {})
-        if name not in opened:
-            with open(SparkFiles.get(name), "rb") as f:
-                opened[name] = pickle.load(f)
-        return opened[name]
+        with open(SparkFiles.get(name), "rb") as f:
+            return pickle.load(f)
     return model
 
 
 def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str]) -> Scorer:
     """Score by a pickled estimator in a file, of any size.
 
-    The file travels as a file of the job, past the driver's memory, and each Python
-    worker opens it once. Unpickling runs code: give it only files you made yourself.
+    The file travels as a file of the job, past the driver's memory, and each task opens
+    it once. Unpickling runs code: give it only files you made yourself.
     """
     hadoop = spark._jsc.hadoopConfiguration()
     source = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -150,7 +147,7 @@ def load_pickled_scorer(spark: SparkSession, path: str, features: Sequence[str])
         source.getFileSystem(hadoop), source, target.getFileSystem(hadoop), target, False, hadoop)
     spark.sparkContext.addFile(target.toString())
     name = target.getName()
-    return _predicting(_open_once(name), features)
+    return _predicting(_opening(name), features)
 
 
 # --- scoring -----------------------------------------------------------------

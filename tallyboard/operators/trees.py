@@ -157,10 +157,11 @@ def load_trees(spark: SparkSession, path: str) -> TreeModel:
 
 def nodes_of_trees(spark: SparkSession, trees: Sequence, features: Sequence[str]) -> DataFrame:
     """Node table of fitted Spark ML regression trees, such as ``forest.trees``, on continuous features."""
-    rows = []
+    rows, sizes = [], [0] * len(trees)
 
     def add(tree: int, node) -> int:
-        at = len([r for r in rows if r[0] == tree])
+        at = sizes[tree]
+        sizes[tree] += 1
         rows.append([tree, at, None, None, None, None, None, node.prediction()])
         if node.subtreeDepth():
             split = node.split()

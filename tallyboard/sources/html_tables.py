@@ -33,7 +33,7 @@ _RAW = {n: re.compile(rf"</{n}(?=[\s/>])", re.I)
 _UNSHOWN = {"script", "style", "iframe", "noembed", "noframes"}
 _SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?(\d+)", re.I)
 _HIDDEN = re.compile(r"style\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
-_MAX_SPAN = 100_000  # a cell said to be wider stops the job rather than being cut
+_MAX_SPAN = 100_000  # a table with a wider cell is not read, rather than being cut
 _BREAKS = {"br", "p", "div", "li"}
 
 
@@ -167,9 +167,9 @@ def first_tables(pages: DataFrame, keys: Sequence[str], columns: Sequence[str],
     """Rows of each page's first table: keys, ``row_no``, and the named columns as text.
 
     Names are looked up in the last header row; a row that is too short gives
-    null. A page without a table or without a named column raises, or is left
-    out with ``on_missing="skip"``; then pages without a table tag never reach
-    Python.
+    null. A page without a table, without a named column, or whose table cannot
+    be laid out raises, or is left out with ``on_missing="skip"``; then pages
+    without a table tag never reach Python.
     """
     skip = on_missing == "skip"
     if skip:
@@ -184,12 +184,14 @@ def first_tables(pages: DataFrame, keys: Sequence[str], columns: Sequence[str],
             pages_at: list[int] = []
             out: list[list] = [[] for _ in arrow_types]
             for page_no, page in enumerate(batch.column(width).to_pylist()):
-                table = parse_first_table(page or "")
+                try:
+                    table, why = parse_first_table(page or ""), f"no table with {list(columns)}"
+                except ValueError as e:
+                    table, why = None, str(e)
                 if table is None or not set(columns) <= set(table[0]):
                     if skip:
                         continue
-                    raise ValueError(f"no table with {list(columns)} in page "
-                                     f"{[batch.column(k)[page_no].as_py() for k in range(width)]}")
+                    raise ValueError(f"{why} in page {[batch.column(k)[page_no].as_py() for k in range(width)]}")
                 at = [table[0].index(c) for c in columns]
                 for row_no, cells in enumerate(table[1]):
                     pages_at.append(page_no)

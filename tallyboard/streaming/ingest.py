@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +11,7 @@ from tallyboard.session import scratch_table
 from tallyboard.sinks.relational import append_jdbc, existing_keys, new_rows
 
 BatchSink = Callable[[DataFrame, int], None]
+OBJECTS = 1_000  # objects that one read opens; so many names are on the driver at a time
 
 
 def ingest_new_files(spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str,
@@ -61,14 +62,30 @@ def event_keys(events: DataFrame, column: str = "event", prefix: str = "data/raw
     return keys.where(F.col("key").startswith(prefix))
 
 
+def key_groups(keys: DataFrame, objects: int) -> Iterator[list[str]]:
+    """Keys in order, ``objects`` at a time."""
+    held: list[str] = []
+    for row in keys.orderBy("key").toLocalIterator():  # one partition of names at a time
+        held.append(row["key"])
+        if len(held) == objects:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def append_named_objects(events: DataFrame, root: str, schema: T.StructType, append: Callable[[DataFrame], None],
-                         column: str = "event", prefix: str = "data/raw/players/") -> int:
+                         column: str = "event", prefix: str = "data/raw/players/", objects: int = OBJECTS) -> int:
     """Append the rows of the objects that events name; returns how many objects there were.
 
-    An object named twice is appended once. The names of the objects, not their
-    rows, pass through the driver: they are the paths of one read.
+    An object named twice is appended once. Objects are opened ``objects`` at a time, one read
+    and one append each; the names of these, and no rows, are on the driver. A call that fails
+    has appended the groups before, and one that is repeated appends again:
+    ``land_noticed_objects`` lands each object once.
     """
-    keys = [r["key"] for r in event_keys(events, column, prefix).distinct().orderBy("key").collect()]
-    if keys:
-        append(events.sparkSession.read.schema(schema).parquet(*[f"{root}/{k}" for k in keys]))
-    return len(keys)
+    # Names and no rows; written once, as they are read in groups.
+    keys, n = scratch_table(event_keys(events, column, prefix).distinct(), "named_objects"), 0
+    for names in key_groups(keys, objects):
+        append(events.sparkSession.read.schema(schema).parquet(*[f"{root}/{k}" for k in names]))
+        n += len(names)
+    return n

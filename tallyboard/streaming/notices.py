@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyboard.session import scratch_table
-from tallyboard.streaming.ingest import event_keys
+from tallyboard.streaming.ingest import OBJECTS, event_keys, key_groups
 
-OBJECTS = 1_000  # objects that one read opens; so many names are on the driver at a time
 THREADS = 16
 
 
-def _groups(keys: DataFrame, objects: int) -> Iterator[list[str]]:
-    """Names in order, ``objects`` at a time."""
-    held: list[str] = []
-    for row in keys.orderBy("key").toLocalIterator():  # one partition of names at a time
-        held.append(row["key"])
-        if len(held) == objects:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
 def _present(spark: SparkSession, paths: list[str]) -> list[bool]:
     hadoop = spark._jsc.hadoopConfiguration()
 
@@ -60,7 +47,7 @@ class NoticeSink:
         # A run that failed may have left more parts than this one makes.
         self._delete(spark, rows)
         absent: list[DataFrame] = []
-        for part, names in enumerate(_groups(keys, self.objects)):
+        for part, names in enumerate(key_groups(keys, self.objects)):
             there = dict(zip(names, _present(spark, [f"{self.root}/{n}" for n in names])))
             found = [n for n, ok in there.items() if ok]
             if found:

@@ -1,6 +1,7 @@
 import time
 
 import pytest
+from pyspark.errors import PythonException
 
 from tallyboard.sources.html_tables import award_rows, first_tables, parse_first_table
 
@@ -97,6 +98,17 @@ def test_wide_spans_are_followed_or_refused():
         parse_first_table("<table><tr><th colspan=9999999>a</th></tr></table>")
 
 
+@pytest.mark.parametrize("span", ["9999999", "9" * 5000])
+def test_a_table_that_cannot_be_laid_out_is_left_out_or_named(make, span):
+    rows = "<tr><th>a</th></tr><tr><td>%s</td></tr></table>"
+    pages = make([(1, "<table>" + rows % "x"), (2, f"<table><tr><td colspan={span}>y</td></tr>" + rows % "y"), (3, None), (4, "<table>" + rows % "z")],
+                 "page_id int, html string")
+    found = first_tables(pages, ["page_id"], ["a"], on_missing="skip").collect()
+    assert sorted(map(tuple, found)) == [(1, 0, "x"), (4, 0, "z")]
+    with pytest.raises(PythonException, match=r"in page \[2\]"):
+        first_tables(pages.where("page_id = 2"), ["page_id"], ["a"]).collect()
+
+
 @pytest.mark.parametrize("markup", ["<td ", "<a href='x", "<!--", "<!-- x -->", "<script>", "<textarea>", "<a b=\"", "<a b='\"", "<", "</", "<b>", "<a x=",
                                     "<td>"])
 @pytest.mark.parametrize("opening", ["", "<table><tr><td>"])

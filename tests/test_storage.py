@@ -310,6 +310,13 @@ def test_objects_named_by_events_are_appended(spark, make, tmp_path):
     assert append_named_objects(events, root, schema, lambda df: append_table(df, out)) == 2
     assert sorted(r.x for r in read_table(spark, out).collect()) == [1, 2]
     assert append_named_objects(events.limit(0), root, schema, lambda df: append_table(df, out)) == 0
+    reads, apart = [], f"file://{tmp_path}/apart"
+
+    def append(df):
+        reads.append(len({f.rsplit("/", 1)[0] for f in df.inputFiles()}))  # each object is a folder here
+        append_table(df, apart)
+    assert append_named_objects(events, root, schema, append, objects=1) == 2 and reads == [1, 1]
+    assert sorted(r.x for r in read_table(spark, apart).collect()) == [1, 2]
 
 
 def test_repeated_stream_batch_adds_nothing_to_the_database(spark, make, monkeypatch):
