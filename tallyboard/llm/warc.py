@@ -37,7 +37,6 @@ END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 1_000_000_000  # an archive of this size is followed by another
 PIECE = 1 << 18
-MOST_HEADER = 1 << 20
 
 
 def _base32(digest: bytes) -> str:
@@ -177,12 +176,18 @@ class _Members:
         return False
 
     def head(self) -> bytes:
-        """Bytes up to the next empty line, which is taken, too."""
-        while END not in self.ready:
-            if len(self.ready) > MOST_HEADER or not self._more():
+        """Bytes up to the next empty line, which is taken, too; however long, as an address may be."""
+        held, seen = bytearray(), 0
+        while True:
+            held += self.ready
+            self.ready = b""
+            end = held.find(END, max(0, seen - len(END) + 1))
+            if end >= 0:
+                self.ready = bytes(held[end + len(END):])
+                return bytes(held[:end])
+            seen = len(held)
+            if not self._more():
                 raise ValueError("no end of header")
-        head, _, self.ready = self.ready.partition(END)
-        return head
 
     def pieces(self, n: int) -> Iterator[bytes]:
         """The next n bytes."""

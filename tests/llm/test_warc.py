@@ -79,6 +79,18 @@ def test_pieces_of_any_size():
     assert [r[6] for r in warc.records(Trickle(small))] == [b"payload %d" % i for i in range(30)]
 
 
+@pytest.mark.parametrize("size", [0, warc.PIECE - 200, warc.PIECE, 3 << 20])
+def test_addresses_of_any_length(size):
+    url = "http://x/" + "y" * size
+    archive = b"".join([warc.record("1", url, b"some payload", None, False, "d"), warc.record("2", url, b"", "1", True, "d")])
+    assert [(r[0], r[1], r[6]) for r in warc.records(io.BytesIO(archive))] == [("1", url, b"some payload"), ("2", url, None)]
+
+
+def test_a_member_without_header_raises():
+    with pytest.raises(ValueError, match="no end of header"):
+        list(warc.records(io.BytesIO(gzip.compress(b"WARC/1.1\r\n" + b"z" * (2 << 20)))))
+
+
 @pytest.mark.parametrize("damage", ["cut", "payload", "length", "extra"])
 def test_damage_raises(damage):
     member = warc.record("1", "u", b"some payload", None, False, "d")
