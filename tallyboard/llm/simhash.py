@@ -202,12 +202,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle
     """
     light = with_fingerprint(docs.select(col(id_col).alias("doc_id"), col(text).alias("text")), "text", shingle)
     light = scratch_table(light.select("doc_id", "fp"), "fingerprints")
-    nodes = scratch_table(light.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    rooted = scratch_table(nodes.join(roots(nodes, max_bits, place_size), "fp"), "roots")
+    nodes = scratch_table(light.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
+    linked = scratch_table(components(close_links(nodes.select("fp"), max_bits, place_size)).select(F.col("u").alias("fp"), "root"), "linked")
+    # Classes of several fingerprints, their roots included.
+    rooted = linked.unionByName(linked.select(F.col("root").alias("fp"), "root").distinct())
+    rooted = scratch_table(nodes.join(broadcast_measured(rooted, 16), "fp").select("fp", "root", "least"), "roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = scratch_table(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return light.join(broadcast_measured(labels, 24), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labels = rooted.join(least, "root").select("fp", "component_id")
+    # Copies of a fingerprint without links; every other document is its own class.
+    copies = nodes.where("n > 1").join(rooted.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
+    labels = scratch_table(labels.unionByName(copies), "labels")
+    return light.join(broadcast_measured(labels, 24), "fp", "left").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def numbered_rows(rows: DataFrame, staying: DataFrame, number: str) -> DataFrame:
